@@ -76,7 +76,7 @@ def _mark_repeated(df: DataFrame, columns: Sequence[str], flag: str) -> DataFram
 
     The repeated keys are written out first: usually few, they are then broadcast by their measured
     size and ``df`` is not shuffled. When they are many the join shuffles, and rows with a NULL key,
-    which match nothing, spread over salts instead of meeting in one task.
+    which match nothing, spread by input partition instead of meeting in one task.
     """
     repeated = materialize(repeated_keys(df, columns), "repeated")
     keys = repeated.select(
@@ -85,7 +85,7 @@ def _mark_repeated(df: DataFrame, columns: Sequence[str], flag: str) -> DataFram
     absent = F.lit(False)
     for column in columns:
         absent = absent | F.col(column).isNull()
-    salt = F.when(absent, F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(_NULL_SALTS)) + 1)
+    salt = F.when(absent, F.pmod(F.spark_partition_id(), F.lit(_NULL_SALTS)) + 1)
     salted = df.withColumn("_salt", F.coalesce(salt, F.lit(0)).cast("int"))
     matches = F.col("_salt") == F.col("_key_salt")
     for i, column in enumerate(columns):

@@ -25,7 +25,6 @@ from orderloom.operators.tablewrites import (
     overwrite_table,
     replace_slice,
 )
-from orderloom.session import materialize
 from orderloom.sources import generate
 from orderloom.sources.tables import Lake
 
@@ -132,11 +131,12 @@ def load_bronze_dimensions(lake: Lake) -> None:
 def load_bronze_orders(lake: Lake, fail_ratio: float = 1.0) -> tuple[int, int, float]:
     """Check the orders, quarantine the bad ones, then copy orders and lines to bronze.
 
-    The annotated orders are written once and feed both outputs and the ratio. The quarantine is
-    written before the gate, so it is there to inspect when the gate stops the run.
+    Only the repeated ids are written to scratch; beyond that the annotation is a scan with a
+    broadcast, cheaper to repeat for each output than to store. The quarantine is written before
+    the gate, so it is there to inspect when the gate stops the run.
     """
     kind = lake.ids
-    annotated = materialize(quality.annotate(lake.read(SOURCE, "order"), quality.order_rules()), "annotated")
+    annotated = quality.annotate(lake.read(SOURCE, "order"), quality.order_rules())
     valid, invalid = quality.split(annotated)
     overwrite_table(invalid, lake.name("raw", "order_quarantine"), schemas.quarantine_schema(kind))
     good, bad, ratio = quality.dq_ratio(annotated).first()
