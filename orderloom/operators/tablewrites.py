@@ -38,7 +38,15 @@ def recover(spark: SparkSession, table: str) -> None:
     if table_exists(spark, table):
         spark.sql(f"DROP TABLE {staged}")
     else:
-        spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+        _take_place(spark, staged, table)
+
+
+def _take_place(spark: SparkSession, staged: str, table: str) -> None:
+    """Rename the staging table; a partitioned one then registers its partitions at the new place."""
+    spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+    spark.catalog.refreshTable(table)
+    if any(column.isPartition for column in spark.catalog.listColumns(table.replace("`", ""))):
+        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
 
 
 def ensure_table(
@@ -57,15 +65,17 @@ def needs_backfill(spark: SparkSession, table: str) -> bool:
     return not table_exists(spark, table) or spark.table(table).isEmpty()
 
 
-def clustered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def clustered(df: DataFrame, keys: Sequence[str], tasks: int | None = None) -> DataFrame:
     """Lay rows out by ``keys`` so that file and row-group statistics prune on them.
 
     The remaining columns and the input partition break ties, so one heavy key value, even one
-    made of identical rows, spreads over several files.
+    made of identical rows, spreads over several files. Without ``tasks`` the adaptive planner
+    sizes the output files.
     """
     spread = F.xxhash64(*[F.col(c) for c in df.columns if c not in keys] or [F.lit(0)])
     placed = df.withColumn("_spread", spread).withColumn("_origin", F.spark_partition_id())
-    ranged = placed.repartitionByRange(*[F.col(k) for k in keys], F.col("_spread"), F.col("_origin"))
+    order = [*[F.col(k) for k in keys], F.col("_spread"), F.col("_origin")]
+    ranged = placed.repartitionByRange(tasks, *order) if tasks else placed.repartitionByRange(*order)
     return ranged.sortWithinPartitions(*keys).drop("_spread", "_origin")
 
 
@@ -81,15 +91,16 @@ def overwrite_table(
     guarded = check_schema(df, schema, table)
     recover(spark, table)
     if cluster_by:
-        guarded = clustered(guarded, cluster_by)
+        # A partitioned table has at least one file per partition to write, however few the rows.
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions")) if partition_by else None
+        guarded = clustered(guarded, cluster_by, tasks)
     exists = table_exists(spark, table)
     destination = _staging(table) if exists else table
     writer = guarded.write
     (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(destination)
     if exists:
         spark.sql(f"DROP TABLE {table}")
-        spark.sql(f"ALTER TABLE {destination} RENAME TO {table}")
-        spark.catalog.refreshTable(table)
+        _take_place(spark, destination, table)
 
 
 def _append(df: DataFrame, table: str, cluster_by: Sequence[str] = ()) -> None:

@@ -28,7 +28,6 @@ from orderloom.sources.tables import Lake
 from orderloom.streaming import freeze
 
 IDS = schemas.IDS_WIDE
-SLICE_DAY = date(1998, 6, 15)
 
 
 def scratch_lake(spark: SparkSession) -> Lake:
@@ -200,14 +199,18 @@ def source_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.source_totals(lake)
 
 
-def _last_day(orders: DataFrame) -> str:
-    return orders.agg(F.max("date")).first()[0]
+SECOND_DAY = "2001-07-01"
+
+
+def _monthly_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders dated on the first of their month, so that a seeded day carries a month of orders."""
+    return t.order(spark, sf_dir).withColumn("date", F.trunc(F.col("date").cast("date"), "month").cast("string"))
 
 
 def _first_load(lake: Lake, spark: SparkSession, sf_dir: str, day: str) -> None:
     """Source tables holding everything but the orders of ``day``."""
     source = m.SOURCE
-    early = t.order(spark, sf_dir).filter(F.col("date") != day)
+    early = _monthly_orders(spark, sf_dir).filter(F.col("date") != day)
     keys = early.select(F.col("id").alias("id_order"))
     lines = t.order_item(spark, sf_dir).join(keys, "id_order", "left_semi")
     overwrite_table(t.customer(spark, sf_dir), lake.name(source, "customer"), schemas.customer_schema(IDS))
@@ -219,7 +222,7 @@ def _first_load(lake: Lake, spark: SparkSession, sf_dir: str, day: str) -> None:
 def _second_day(lake: Lake, spark: SparkSession, sf_dir: str, day: str) -> None:
     """The orders of ``day`` arrive, and every fifth product is renamed."""
     source = m.SOURCE
-    late = t.order(spark, sf_dir).filter(F.col("date") == day)
+    late = _monthly_orders(spark, sf_dir).filter(F.col("date") == day)
     keys = late.select(F.col("id").alias("id_order"))
     lines = t.order_item(spark, sf_dir).join(keys, "id_order", "left_semi")
     append_new(late, lake.name(source, "order"), schemas.order_schema(IDS), ["id"])
@@ -229,8 +232,9 @@ def _second_day(lake: Lake, spark: SparkSession, sf_dir: str, day: str) -> None:
 
 
 _LATE = t.sql(
-    "SELECT customer_name, country, order_date, product_id, CASE WHEN product_id % 5 = 0 AND order_date ="
-    " (SELECT MAX(CAST(date AS DATE)) FROM ord) THEN product_name || '.1' ELSE product_name END AS product_name,"
+    "SELECT customer_name, country, CAST(date_trunc('month', order_date) AS DATE) AS order_date, product_id,"
+    " CASE WHEN product_id % 5 = 0 AND date_trunc('month', order_date) = DATE '2001-07-01'"
+    " THEN product_name || '.1' ELSE product_name END AS product_name,"
     " product_category_id, category_name, CAST(SUM(item_quantity) AS BIGINT) AS total_quantity,"
     " SUM(CAST(item_total AS DOUBLE)) AS total_value, COUNT(DISTINCT order_id) AS total_orders"
     " FROM silver GROUP BY 1, 2, 3, 4, 5, 6, 7",
@@ -240,11 +244,10 @@ _LATE = t.sql(
 
 def two_day_lake(spark: SparkSession, sf_dir: str) -> Lake:
     lake = scratch_lake(spark)
-    day = _last_day(t.order(spark, sf_dir))
-    _first_load(lake, spark, sf_dir, day)
-    m.run_day(lake, day)
-    _second_day(lake, spark, sf_dir, day)
-    m.run_day(lake, day)
+    _first_load(lake, spark, sf_dir, SECOND_DAY)
+    m.run_day(lake, SECOND_DAY)
+    _second_day(lake, spark, sf_dir, SECOND_DAY)
+    m.run_day(lake, SECOND_DAY)
     return lake
 
 
@@ -257,10 +260,9 @@ def freeze_two_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 def two_day_stream(spark: SparkSession, sf_dir: str) -> Lake:
     lake = scratch_lake(spark)
     checkpoints = scratch_path(spark, "offsets")
-    day = _last_day(t.order(spark, sf_dir))
-    _first_load(lake, spark, sf_dir, day)
+    _first_load(lake, spark, sf_dir, SECOND_DAY)
     freeze.refresh(lake, checkpoints)
-    _second_day(lake, spark, sf_dir, day)
+    _second_day(lake, spark, sf_dir, SECOND_DAY)
     freeze.refresh(lake, checkpoints)
     return lake
 
