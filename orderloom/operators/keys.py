@@ -24,9 +24,12 @@ def unmatched(new: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFra
     """Rows of ``new`` whose key is not in ``target``; a NULL key never matches.
 
     The target contributes its key columns only, cut to the key range of ``new``. Found keys are
-    collected with a semi join first: ``new`` is its build side, so a small ``new`` is broadcast and
-    a huge target is scanned without a shuffle. ``new`` is read three times; pass a written frame.
+    looked up with a semi join first: ``new`` is its build side, so a small ``new`` is broadcast and
+    a huge target is scanned without a shuffle. Both build sides are reduced to distinct keys, which
+    combine map-side, so a key with very many copies is one row there. ``new`` is read three times;
+    pass a written frame.
     """
     candidates = within_key_range(target.select(*keys), keys[0], new, keys[0])
-    found = candidates.join(new.select(*keys), list(keys), "left_semi")
+    wanted = new.select(*keys).na.drop("any").distinct()
+    found = candidates.join(wanted, list(keys), "left_semi").distinct()
     return new.join(found, list(keys), "left_anti")

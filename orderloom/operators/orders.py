@@ -68,7 +68,12 @@ def aggregate_orders(enriched: DataFrame) -> DataFrame:
 
 
 def gold_from_bronze(customer: DataFrame, order: DataFrame, order_item: DataFrame, product: DataFrame) -> DataFrame:
-    """The gold rollup of ``enrich_order`` without building silver.
+    """The gold rollup of ``enrich_order`` without building silver."""
+    return gold_from_booked(book_orders(customer, order, product), order_item)
+
+
+def gold_from_booked(booked: DataFrame, order_item: DataFrame) -> DataFrame:
+    """Gold from orders that already carry their attributes, and the lines.
 
     Every gold key is an attribute of the order, so lines are summed per order first. That sum
     combines map-side, which also takes the weight off an order holding a large share of the lines,
@@ -78,7 +83,6 @@ def gold_from_bronze(customer: DataFrame, order: DataFrame, order_item: DataFram
     per_order = order_item.groupBy(F.col("id_order").alias("order_id")).agg(
         F.sum("qty").alias("quantity"), F.sum("total_item").alias("value")
     )
-    booked = book_orders(customer, order, product)
     return (
         booked.join(per_order, "order_id")
         .groupBy(*GOLD_KEYS)

@@ -58,7 +58,8 @@ def _price_by_day(usage: DataFrame, versions: DataFrame, salts: int = _SALTS) ->
         .withColumn("_day", F.explode(F.sequence(begins, ends)))
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     )
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in usage.columns]), F.lit(salts)).cast("int")
+    # By input partition, not by content: equal rows must spread too.
+    spread = F.pmod(F.spark_partition_id(), F.lit(salts))
     keyed = usage.withColumn("_usage_day", end_day).withColumn("_usage_salt", spread)
     condition = (
         (F.col("sku_name") == F.col("_sku"))

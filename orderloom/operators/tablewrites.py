@@ -1,6 +1,6 @@
 """Table writes with drift guard: overwrite, append, merge and slice replacement on Parquet tables.
 
-Plain Parquet tables have no MERGE and no transaction log. Full rewrites go to a staging table and
+Plain Parquet tables have no MERGE and no transaction log. Full rewrites go to a standby table and
 take the target's place by rename, so a failing job leaves the old table whole; slices are replaced
 by partition. Between drop and rename the target is absent for a moment; ``recover`` finishes a swap
 that was cut off there.
@@ -16,14 +16,14 @@ from pyspark.sql import types as T
 
 from orderloom.operators.keys import unmatched
 from orderloom.schemas import check_schema
-from orderloom.session import materialize
+from orderloom.session import staged
 
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
-def _staging(table: str) -> str:
+def _standby(table: str) -> str:
     database, _, name = table.replace("`", "").rpartition(".")
-    return f"`{database}`.`{name}__staged`" if database else f"`{name}__staged`"
+    return f"`{database}`.`{name}__standby`" if database else f"`{name}__standby`"
 
 
 def table_exists(spark: SparkSession, table: str) -> bool:
@@ -31,19 +31,19 @@ def table_exists(spark: SparkSession, table: str) -> bool:
 
 
 def recover(spark: SparkSession, table: str) -> None:
-    """Finish a swap that stopped after dropping the target, or discard a half-written staging table."""
-    staged = _staging(table)
-    if not table_exists(spark, staged):
+    """Finish a swap that stopped after dropping the target, or discard a half-written standby table."""
+    standby = _standby(table)
+    if not table_exists(spark, standby):
         return
     if table_exists(spark, table):
-        spark.sql(f"DROP TABLE {staged}")
+        spark.sql(f"DROP TABLE {standby}")
     else:
-        _take_place(spark, staged, table)
+        _take_place(spark, standby, table)
 
 
-def _take_place(spark: SparkSession, staged: str, table: str) -> None:
-    """Rename the staging table; a partitioned one then registers its partitions at the new place."""
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+def _take_place(spark: SparkSession, standby: str, table: str) -> None:
+    """Rename the standby table; a partitioned one then registers its partitions at the new place."""
+    spark.sql(f"ALTER TABLE {standby} RENAME TO {table}")
     spark.catalog.refreshTable(table)
     if any(column.isPartition for column in spark.catalog.listColumns(table.replace("`", ""))):
         spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
@@ -85,8 +85,13 @@ def overwrite_table(
     schema: T.StructType,
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
+    sort_by: Sequence[str] = (),
 ) -> None:
-    """Replace the whole table. ``df`` may read the table it replaces."""
+    """Replace the whole table. ``df`` may read the table it replaces.
+
+    ``cluster_by`` lays the table out across files, at the price of a shuffle; ``sort_by`` only
+    orders the rows within each file.
+    """
     spark = df.sparkSession
     guarded = check_schema(df, schema, table)
     recover(spark, table)
@@ -94,8 +99,10 @@ def overwrite_table(
         # A partitioned table has at least one file per partition to write, however few the rows.
         tasks = int(spark.conf.get("spark.sql.shuffle.partitions")) if partition_by else None
         guarded = clustered(guarded, cluster_by, tasks)
+    elif sort_by:
+        guarded = guarded.sortWithinPartitions(*sort_by)
     exists = table_exists(spark, table)
-    destination = _staging(table) if exists else table
+    destination = _standby(table) if exists else table
     writer = guarded.write
     (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(destination)
     if exists:
@@ -125,8 +132,8 @@ def merge_insert_only(
     """
     spark = df.sparkSession
     recover(spark, table)
-    new = materialize(check_schema(df, schema, table), "merge")
-    _append(unmatched(new, spark.table(table), keys), table, cluster_by)
+    with staged(check_schema(df, schema, table), "merge") as new:
+        _append(unmatched(new, spark.table(table), keys), table, cluster_by)
 
 
 class AmbiguousUpdate(ValueError):
@@ -171,17 +178,17 @@ def replace_slice(df: DataFrame, table: str, schema: T.StructType, column: str,
     """
     spark = df.sparkSession
     here = F.col(column).eqNullSafe(F.lit(value))
-    fresh = materialize(check_schema(df, schema, table), "slice")
-    strays, size = fresh.agg(F.count_if(~here), F.count(F.lit(1))).first()
-    if strays:
-        raise RowsOutsideSlice(f"{table}: {strays} rows outside {column} = {value}")
-    if size == 0:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column} = '{value}')")
-        spark.catalog.refreshTable(table)
-        return
-    before = spark.conf.get(_OVERWRITE_MODE)
-    spark.conf.set(_OVERWRITE_MODE, "dynamic")
-    try:
-        fresh.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set(_OVERWRITE_MODE, before)
+    with staged(check_schema(df, schema, table), "slice") as fresh:
+        strays, size = fresh.agg(F.count_if(~here), F.count(F.lit(1))).first()
+        if strays:
+            raise RowsOutsideSlice(f"{table}: {strays} rows outside {column} = {value}")
+        if size == 0:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column} = '{value}')")
+            spark.catalog.refreshTable(table)
+            return
+        before = spark.conf.get(_OVERWRITE_MODE)
+        spark.conf.set(_OVERWRITE_MODE, "dynamic")
+        try:
+            fresh.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+        finally:
+            spark.conf.set(_OVERWRITE_MODE, before)

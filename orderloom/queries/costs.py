@@ -114,7 +114,7 @@ def usage_priced_by_day_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(t.sql("SELECT pipeline_id, name FROM pipe_names", "pipe_names"))
-def latest_pipeline_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+def latest_revision_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_revision(t.pipelines(spark, sf_dir))
 
 
@@ -126,7 +126,7 @@ def latest_pipeline_names(spark: SparkSession, sf_dir: str) -> DataFrame:
         "pipe_names",
     )
 )
-def usage_with_pipeline_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+def usage_with_owner_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     owned = c.attributable(t.usage(spark, sf_dir))
     keyed = owned.select("usage_end_time", F.col("usage_metadata.dlt_pipeline_id").alias("pipeline_id"))
     return c.with_pipeline_names(keyed, t.pipelines(spark, sf_dir))
@@ -179,7 +179,7 @@ def _job_costs_sql(join: str, price: str) -> str:
 
 _EQUI = _job_costs_sql("u.cloud = p.cloud", "list_price")
 _INTERVAL = _job_costs_sql(
-    "u.usage_end_time >= p.price_start_time AND (p.price_end_time IS NULL OR u.usage_end_time < p.price_end_time)",
+    "p.price_start_time <= u.usage_end_time AND COALESCE(p.price_end_time, TIMESTAMP 'infinity') > u.usage_end_time",
     "effective_price",
 )
 _JOB_OUT = (

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.functions.columns import epoch_second
-from orderloom.operators.orders import GOLD_KEYS, aggregate_orders, enrich_order
+from orderloom.operators.orders import GOLD_KEYS, book_orders, enrich_order, gold_from_booked
 from orderloom.session import tune
 
 RENAME_DAY = "1998-01-01"
@@ -81,8 +81,9 @@ def _renamed(name: Column) -> Column:
 
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold in which every fifth product was renamed for orders from ``RENAME_DAY`` on."""
-    frozen = silver(spark, sf_dir).withColumn("product_name", _renamed(F.col("product_name")))
-    return aggregate_orders(frozen)
+    booked = book_orders(customer(spark, sf_dir), order(spark, sf_dir), product(spark, sf_dir))
+    frozen = booked.withColumn("product_name", _renamed(F.col("product_name")))
+    return gold_from_booked(frozen, order_item(spark, sf_dir))
 
 
 def dirty_order(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -266,16 +267,15 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "latest": (
         ("gold",),
-        "SELECT product_id, product_name AS latest_name FROM (SELECT product_id, product_name, ROW_NUMBER() OVER"
-        " (PARTITION BY product_id ORDER BY order_date DESC, product_name DESC) AS rn FROM gold) WHERE rn = 1",
+        "SELECT DISTINCT ON (product_id) product_id, product_name AS latest_name FROM gold"
+        " ORDER BY product_id, order_date DESC, product_name DESC",
     ),
     "ds": (
         ("gold", "latest"),
-        "SELECT a.order_date, a.country, a.customer_name AS customer, l.latest_name AS product, a.product_name,"
-        " a.category_name AS category, SUM(a.total_value) AS total_value,"
-        " CAST(SUM(a.total_orders) AS BIGINT) AS total_orders"
-        " FROM gold a JOIN latest l ON a.product_id = l.product_id"
-        " WHERE a.order_date BETWEEN DATE '1997-01-01' AND DATE '2000-12-31' GROUP BY 1, 2, 3, 4, 5, 6",
+        "SELECT latest_name AS product, product_name, customer_name AS customer, country, category_name AS category,"
+        " order_date, SUM(total_value) AS total_value, CAST(SUM(total_orders) AS BIGINT) AS total_orders"
+        " FROM gold JOIN latest USING (product_id)"
+        " WHERE order_date >= DATE '1997-01-01' AND order_date < DATE '2001-01-01' GROUP BY ALL",
     ),
     "dirty": (
         ("ord",),
@@ -327,19 +327,19 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "priced": (
         ("usage", "prices"),
-        "SELECT u.*, p.effective_price, p.sku_name IS NOT NULL AS priced FROM usage u LEFT JOIN prices p"
-        " ON u.sku_name = p.sku_name AND u.usage_end_time >= p.price_start_time"
-        " AND (p.price_end_time IS NULL OR u.usage_end_time < p.price_end_time)",
+        "SELECT u.*, v.effective_price, v.sku_name IS NOT NULL AS priced FROM usage u LEFT JOIN prices v"
+        " ON v.sku_name = u.sku_name AND v.price_start_time <= u.usage_end_time"
+        " AND COALESCE(v.price_end_time, TIMESTAMP 'infinity') > u.usage_end_time",
     ),
     "windowed": (("priced",), "SELECT * FROM priced WHERE usage_date >= DATE '2024-01-31' - INTERVAL 21 DAY"),
     "entity": (
         ("windowed", "pipe_names"),
-        "SELECT COALESCE(u.job_name, n.name, '(unnamed)') AS entity,"
-        " CASE WHEN u.dlt_pipeline_id IS NOT NULL THEN 'pipeline' ELSE 'job' END AS kind, u.usage_unit,"
-        " SUM(u.usage_quantity) AS quantity, SUM(u.usage_quantity * u.effective_price) AS usd,"
-        " COUNT(DISTINCT u.usage_date) AS active_days FROM windowed u"
-        " LEFT JOIN pipe_names n ON n.pipeline_id = u.dlt_pipeline_id"
-        " WHERE COALESCE(u.job_id, u.dlt_pipeline_id) IS NOT NULL GROUP BY 1, 2, 3",
+        "SELECT CASE WHEN job_name IS NOT NULL THEN job_name WHEN name IS NOT NULL THEN name ELSE '(unnamed)' END"
+        " AS entity, CASE WHEN dlt_pipeline_id IS NULL THEN 'job' ELSE 'pipeline' END AS kind, usage_unit,"
+        " COUNT(DISTINCT usage_date) AS active_days, SUM(usage_quantity) AS quantity,"
+        " SUM(effective_price * usage_quantity) AS usd FROM windowed"
+        " LEFT JOIN pipe_names ON pipeline_id = dlt_pipeline_id"
+        " WHERE job_id IS NOT NULL OR dlt_pipeline_id IS NOT NULL GROUP BY ALL",
     ),
     "daily": (
         ("windowed",),

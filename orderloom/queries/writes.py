@@ -257,6 +257,28 @@ def freeze_two_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return two_day_lake(spark, sf_dir).read("report", "order_agg")
 
 
+def _refreshed_views(spark: SparkSession, sf_dir: str) -> Lake:
+    lake = _dirty_sources(spark, sf_dir)
+    freeze.refresh_dimension_views(lake)
+    return lake
+
+
+@query(t.sql("SELECT * FROM cust", "cust"))
+def refreshed_customer_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _refreshed_views(spark, sf_dir).read("raw", "customer_sdp")
+
+
+@query(t.sql("SELECT * FROM prod", "prod"))
+def refreshed_product_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _refreshed_views(spark, sf_dir).read("raw", "product_sdp")
+
+
+@query(t.sql("SELECT * FROM dirty WHERE id IS NOT NULL AND id_customer IS NOT NULL", "dirty"))
+def refreshed_order_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders without id are left out, repeated ones stay."""
+    return _refreshed_views(spark, sf_dir).read("raw", "order_sdp")
+
+
 def two_day_stream(spark: SparkSession, sf_dir: str) -> Lake:
     lake = scratch_lake(spark)
     checkpoints = scratch_path(spark, "offsets")

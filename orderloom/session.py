@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +22,8 @@ ADAPTIVE = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+SCRATCH_DATABASE = "orderloom_scratch"
+
 _local_scratch: dict[str, str] = {}
 
 
@@ -59,3 +63,16 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged(df: DataFrame, label: str = "stage") -> Iterator[DataFrame]:
+    """``df`` written once to a scratch table that is dropped at the end of the block."""
+    spark = df.sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {SCRATCH_DATABASE} LOCATION '{scratch_root(spark)}/staged'")
+    table = f"{SCRATCH_DATABASE}.{label}_{uuid.uuid4().hex}"
+    try:
+        df.write.saveAsTable(table)
+        yield spark.table(table)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")

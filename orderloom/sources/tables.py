@@ -38,6 +38,9 @@ class Lake:
     def read(self, layer: str, table: str) -> DataFrame:
         return self.spark.read.table(self.name(layer, table))
 
-    def read_stream(self, layer: str, table: str) -> DataFrame:
+    def read_stream(self, layer: str, table: str, files_per_batch: int | None = None) -> DataFrame:
         """Append-only table as a stream. The table must only ever be appended to."""
-        return self.spark.readStream.table(self.name(layer, table))
+        reader = self.spark.readStream
+        if files_per_batch:
+            reader = reader.option("maxFilesPerTrigger", files_per_batch)
+        return reader.table(self.name(layer, table))

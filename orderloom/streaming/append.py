@@ -36,17 +36,19 @@ def stream_append(
     checkpoints: str,
     transform: Callable[[DataFrame], DataFrame] | None = None,
     full_refresh: bool = False,
+    files_per_batch: int | None = None,
 ) -> None:
     """Append the source rows that arrived since the last run, then stop.
 
     Each source row is transformed and written once. A full refresh drops the target and consumes
-    the source from the start. ``checkpoints`` is a folder on shared storage. The source must be
+    the source from the start. ``checkpoints`` is a folder on shared storage. ``files_per_batch``
+    divides a large backlog into micro-batches that commit one by one. The source must be
     append-only: rewriting it replays all rows.
     """
     table = lake.name(*target)
     if full_refresh:
         lake.spark.sql(f"DROP TABLE IF EXISTS {table}")
-    rows = lake.read_stream(*source)
+    rows = lake.read_stream(*source, files_per_batch=files_per_batch)
     if transform is not None:
         rows = transform(rows)
     rows = check_schema(rows, schema, table)

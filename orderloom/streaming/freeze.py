@@ -29,6 +29,8 @@ def identified_orders(order: DataFrame) -> DataFrame:
 
 
 def refresh_dimension_views(lake: Lake) -> None:
+    """Recompute the three views. Silver reads all orders at each trigger, so they are sorted within
+    files but not shuffled into a layout."""
     kind = lake.ids
     overwrite_table(
         lake.read(SOURCE, "customer"), lake.name("raw", "customer_sdp"), schemas.customer_schema(kind)
@@ -43,11 +45,13 @@ def refresh_dimension_views(lake: Lake) -> None:
         identified_orders(lake.read(SOURCE, "order")),
         lake.name("raw", "order_sdp"),
         schemas.order_schema(kind),
-        cluster_by=ORDER_LAYOUT,
+        sort_by=ORDER_LAYOUT,
     )
 
 
-def stream_items(lake: Lake, checkpoints: str, full_refresh: bool = False) -> None:
+def stream_items(
+    lake: Lake, checkpoints: str, full_refresh: bool = False, files_per_batch: int | None = None
+) -> None:
     stream_append(
         lake,
         (SOURCE, "order_item"),
@@ -55,10 +59,13 @@ def stream_items(lake: Lake, checkpoints: str, full_refresh: bool = False) -> No
         schemas.order_item_schema(lake.ids),
         f"{checkpoints}/items",
         full_refresh=full_refresh,
+        files_per_batch=files_per_batch,
     )
 
 
-def stream_silver(lake: Lake, checkpoints: str, full_refresh: bool = False) -> None:
+def stream_silver(
+    lake: Lake, checkpoints: str, full_refresh: bool = False, files_per_batch: int | None = None
+) -> None:
     """Stream-static join; the static side is resolved anew at each call."""
     customer, order, product = (lake.read("raw", f"{t}_sdp") for t in ("customer", "order", "product"))
     stream_append(
@@ -69,6 +76,7 @@ def stream_silver(lake: Lake, checkpoints: str, full_refresh: bool = False) -> N
         f"{checkpoints}/silver",
         transform=lambda lines: enrich_order(customer, order, lines, product),
         full_refresh=full_refresh,
+        files_per_batch=files_per_batch,
     )
 
 
@@ -77,9 +85,11 @@ def refresh_gold_view(lake: Lake) -> None:
     backfill_gold(lake, lake.read(*SILVER), GOLD_TABLE)
 
 
-def refresh(lake: Lake, checkpoints: str, full_refresh: bool = False) -> None:
+def refresh(
+    lake: Lake, checkpoints: str, full_refresh: bool = False, files_per_batch: int | None = None
+) -> None:
     """One update of the whole streaming side, in dependency order."""
     refresh_dimension_views(lake)
-    stream_items(lake, checkpoints, full_refresh)
-    stream_silver(lake, checkpoints, full_refresh)
+    stream_items(lake, checkpoints, full_refresh, files_per_batch)
+    stream_silver(lake, checkpoints, full_refresh, files_per_batch)
     refresh_gold_view(lake)

@@ -59,8 +59,7 @@ def test_failing_overwrite_leaves_the_table(spark, table):
 
 
 def test_interrupted_swap_is_finished(spark, table):
-    staged = w._staging(table)
-    spark.createDataFrame([(1, "a")], PAIRS).write.saveAsTable(staged)
+    spark.createDataFrame([(1, "a")], PAIRS).write.saveAsTable(w._standby(table))
     assert not w.needs_backfill(spark, table)
     assert rows(spark.table(table)) == [(1, "a")]
 
