@@ -65,18 +65,30 @@ def needs_backfill(spark: SparkSession, table: str) -> bool:
     return not table_exists(spark, table) or spark.table(table).isEmpty()
 
 
-def clustered(df: DataFrame, keys: Sequence[str], tasks: int | None = None) -> DataFrame:
-    """Lay rows out by ``keys`` so that file and row-group statistics prune on them.
+def clustered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Bring rows with equal leading key together and sort by all ``keys``, so that Parquet row-group
+    statistics prune on them.
 
-    The remaining columns and the input partition break ties, so one heavy key value, even one
-    made of identical rows, spreads over several files. Without ``tasks`` the adaptive planner
-    sizes the output files.
+    The rebalance is sized at run time: small partitions merge, and the partition of a heavy key is
+    split over several files. It needs no sampling pass over ``df``.
     """
-    spread = F.xxhash64(*[F.col(c) for c in df.columns if c not in keys] or [F.lit(0)])
-    placed = df.withColumn("_spread", spread).withColumn("_origin", F.spark_partition_id())
-    order = [*[F.col(k) for k in keys], F.col("_spread"), F.col("_origin")]
-    ranged = placed.repartitionByRange(tasks, *order) if tasks else placed.repartitionByRange(*order)
-    return ranged.sortWithinPartitions(*keys).drop("_spread", "_origin")
+    return df.hint("rebalance", keys[0]).sortWithinPartitions(*keys)
+
+
+def by_partition(df: DataFrame, partition_by: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Rows in order of the table's partitions, a few partitions per task.
+
+    A partitioned table has at least one file per partition to write, however few the rows, so the
+    number of tasks is fixed instead of following the data size. The remaining columns and the input
+    partition break ties: a heavy partition, even one of identical rows, spreads over several tasks.
+    """
+    leading = [*partition_by, *[k for k in keys if k not in partition_by]]
+    rest = [F.col(c) for c in df.columns if c not in leading]
+    placed = df.withColumn("_spread", F.xxhash64(*rest) if rest else F.lit(0))
+    placed = placed.withColumn("_origin", F.spark_partition_id())
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = placed.repartitionByRange(tasks, *[F.col(k) for k in leading], F.col("_spread"), F.col("_origin"))
+    return ranged.sortWithinPartitions(*leading).drop("_spread", "_origin")
 
 
 def overwrite_table(
@@ -95,10 +107,10 @@ def overwrite_table(
     spark = df.sparkSession
     guarded = check_schema(df, schema, table)
     recover(spark, table)
-    if cluster_by:
-        # A partitioned table has at least one file per partition to write, however few the rows.
-        tasks = int(spark.conf.get("spark.sql.shuffle.partitions")) if partition_by else None
-        guarded = clustered(guarded, cluster_by, tasks)
+    if partition_by:
+        guarded = by_partition(guarded, partition_by, cluster_by)
+    elif cluster_by:
+        guarded = clustered(guarded, cluster_by)
     elif sort_by:
         guarded = guarded.sortWithinPartitions(*sort_by)
     exists = table_exists(spark, table)

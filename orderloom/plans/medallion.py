@@ -31,11 +31,11 @@ from orderloom.sources.tables import Lake
 SOURCE = "external_source"
 SILVER_KEYS = ("order_id", "item_seq")
 
-# Layout of the tables that grow: what their readers filter and join on.
-ORDER_LAYOUT = ("date",)
+# Layout of the tables that grow: what their readers filter on, then what they join on.
+ORDER_LAYOUT = ("date", "id")
 ITEM_LAYOUT = ("id_order",)
 PRODUCT_LAYOUT = ("product_id",)
-SILVER_LAYOUT = ("order_date",)
+SILVER_LAYOUT = ("order_date", "order_id")
 GOLD_LAYOUT = ("order_date", "product_id")
 
 

@@ -29,7 +29,7 @@ def unchanged_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     t.sql(
-        "SELECT id, CASE WHEN name LIKE '%.1' THEN 1 ELSE -1 END AS surplus, name FROM (SELECT product_id AS id, name"
+        "SELECT id, CAST(CASE WHEN name LIKE '%.1' THEN 1 ELSE -1 END AS BIGINT) AS surplus, name FROM (SELECT product_id AS id, name"
         " FROM prod WHERE product_id % 5 = 0 UNION ALL SELECT product_id, name || '.1' FROM prod WHERE product_id % 5 = 0)",
         "prod",
     )

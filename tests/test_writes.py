@@ -152,8 +152,26 @@ def test_partitioned_table_survives_repeated_overwrites(spark, sliced):
     assert rows(spark.table(sliced).select("day", "k", "v")) == [(D2, 1, 5)]
 
 
-def test_one_heavy_key_of_equal_rows_spreads_over_files(spark):
-    same = spark.range(0, 40_000, 1, 8).select(F.lit(1).alias("k"), F.lit("x").alias("v"))
-    laid = w.clustered(same, ["k"], tasks=4)
-    sizes = [r["count"] for r in laid.groupBy(F.spark_partition_id()).count().collect()]
+def same_rows(spark):
+    return spark.range(0, 40_000, 1, 8).select(F.lit(1).alias("k"), F.lit("x").alias("v"))
+
+
+def sizes_of(df):
+    return [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+
+
+def test_heavy_key_of_equal_rows_spreads_over_files(spark, table):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "256")
+    try:
+        w.overwrite_table(same_rows(spark), table, PAIRS, cluster_by=["k"])
+    finally:
+        spark.conf.set(key, before)
+    sizes = [r["count"] for r in spark.table(table).groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 40_000 and max(sizes) < 30_000
+
+
+def test_heavy_partition_spreads_over_tasks(spark):
+    sizes = sizes_of(w.by_partition(same_rows(spark), ["k"], []))
     assert sum(sizes) == 40_000 and max(sizes) < 20_000
