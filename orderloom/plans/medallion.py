@@ -27,6 +27,7 @@ from orderloom.operators.tablewrites import (
 )
 from orderloom.sources import generate
 from orderloom.sources.tables import Lake
+from orderloom.streaming.append import filled_by_stream, stream_append
 
 SOURCE = "external_source"
 SILVER_KEYS = ("order_id", "item_seq")
@@ -128,8 +129,25 @@ def load_bronze_dimensions(lake: Lake) -> None:
         overwrite_table(lake.read(SOURCE, table), lake.name("raw", table), shape(lake.ids))
 
 
-def load_bronze_orders(lake: Lake, fail_ratio: float = 1.0) -> tuple[int, int, float]:
-    """Check the orders, quarantine the bad ones, then copy orders and lines to bronze.
+def load_bronze_items(lake: Lake, checkpoints: str | None = None) -> None:
+    """Bring the lines to bronze: a full copy, or with ``checkpoints`` only those that are new.
+
+    Lines are only ever appended at the source, so consuming each once gives the same table. A table
+    that was last written as a full copy is rebuilt by the first incremental load.
+    """
+    shape = schemas.order_item_schema(lake.ids)
+    source, target = (SOURCE, "order_item"), ("raw", "order_item")
+    if checkpoints is None:
+        overwrite_table(lake.read(*source), lake.name(*target), shape)
+        return
+    rebuild = not filled_by_stream(lake, lake.name(*target))
+    stream_append(lake, source, target, shape, f"{checkpoints}/bronze_items", full_refresh=rebuild)
+
+
+def load_bronze_orders(
+    lake: Lake, fail_ratio: float = 1.0, checkpoints: str | None = None
+) -> tuple[int, int, float]:
+    """Check the orders, quarantine the bad ones, then bring orders and lines to bronze.
 
     Only the repeated ids are written to scratch; beyond that the annotation is a scan with a
     broadcast, cheaper to repeat for each output than to store. The quarantine is written before
@@ -142,7 +160,7 @@ def load_bronze_orders(lake: Lake, fail_ratio: float = 1.0) -> tuple[int, int, f
     good, bad, ratio = quality.dq_ratio(annotated).first()
     quality.gate(good, bad, ratio, fail_ratio)
     overwrite_table(valid, lake.name("raw", "order"), schemas.order_schema(kind))
-    overwrite_table(lake.read(SOURCE, "order_item"), lake.name("raw", "order_item"), schemas.order_item_schema(kind))
+    load_bronze_items(lake, checkpoints)
     return good, bad, ratio
 
 
@@ -186,9 +204,14 @@ def backfill_gold(lake: Lake, silver: DataFrame, table: str) -> None:
     )
 
 
-def run_day(lake: Lake, seed_date: str | date, fail_ratio: float = 1.0) -> None:
-    """Bronze, silver and gold for one day, from whatever the source layer holds."""
+def run_day(
+    lake: Lake, seed_date: str | date, fail_ratio: float = 1.0, checkpoints: str | None = None
+) -> None:
+    """Bronze, silver and gold for one day, from whatever the source layer holds.
+
+    With ``checkpoints``, a folder on shared storage, the lines reach bronze incrementally.
+    """
     load_bronze_dimensions(lake)
-    load_bronze_orders(lake, fail_ratio)
+    load_bronze_orders(lake, fail_ratio, checkpoints)
     load_silver(lake, seed_date)
     load_gold(lake, seed_date)

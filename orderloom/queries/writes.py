@@ -309,6 +309,21 @@ def stream_appended_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read(*freeze.ITEMS)
 
 
+@query(t.sql("SELECT * FROM item", "item"))
+def incremental_bronze_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze lines after a full copy, an incremental rebuild and an incremental day."""
+    lake = scratch_lake(spark)
+    checkpoints = scratch_path(spark, "offsets")
+    source, shape = lake.name(m.SOURCE, "order_item"), schemas.order_item_schema(IDS)
+    lines = t.order_item(spark, sf_dir)
+    overwrite_table(lines.filter("id_order % 2 = 0"), source, shape, cluster_by=m.ITEM_LAYOUT)
+    m.load_bronze_items(lake)
+    m.load_bronze_items(lake, checkpoints)
+    lines.filter("id_order % 2 = 1").write.mode("append").insertInto(source)
+    m.load_bronze_items(lake, checkpoints)
+    return lake.read("raw", "order_item")
+
+
 @query(
     t.sql(
         "SELECT * REPLACE (CASE WHEN product_id % 5 = 0 THEN product_name || '.1' ELSE product_name END"

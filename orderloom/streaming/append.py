@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderloom.operators.tablewrites import ensure_table, table_exists
@@ -15,17 +16,29 @@ from orderloom.sources.tables import Lake
 _OFFSETS = "orderloom.stream.checkpoint"
 
 
-def _offsets_of(lake: Lake, table: str, schema: T.StructType, checkpoints: str) -> str:
+def _known_offsets(lake: Lake, table: str) -> str | None:
     """Checkpoint folder of the target's current generation, remembered on the table itself."""
-    spark = lake.spark
-    if not table_exists(spark, table):
-        ensure_table(spark, table, schema)
-    properties = {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
-    if _OFFSETS not in properties:
-        folder = f"{checkpoints.rstrip('/')}/{uuid.uuid4().hex}"
-        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_OFFSETS}' = '{folder}')")
-        return folder
-    return properties[_OFFSETS]
+    if not table_exists(lake.spark, table):
+        return None
+    properties = lake.spark.sql(f"SHOW TBLPROPERTIES {table}").filter(F.col("key") == _OFFSETS).collect()
+    return properties[0]["value"] if properties else None
+
+
+def _offsets_of(lake: Lake, table: str, schema: T.StructType, checkpoints: str) -> str:
+    known = _known_offsets(lake, table)
+    if known:
+        return known
+    folder = f"{checkpoints.rstrip('/')}/{uuid.uuid4().hex}"
+    ensure_table(lake.spark, table, schema)
+    if not lake.spark.table(table).isEmpty():
+        raise ValueError(f"{table} was filled by other means; use full_refresh to rebuild it as a stream")
+    lake.spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_OFFSETS}' = '{folder}')")
+    return folder
+
+
+def filled_by_stream(lake: Lake, table: str) -> bool:
+    """True when the table is the target of a stream and not of a batch write."""
+    return _known_offsets(lake, table) is not None
 
 
 def stream_append(

@@ -115,6 +115,37 @@ def test_two_seeded_days_freeze_names_and_rerun_changes_nothing(spark, lake):
     assert [r[0] for r in moved.select("country").distinct().collect()] == ["UK"]
 
 
+def test_incremental_lines_equal_the_full_copy(spark, lake):
+    offsets = scratch_path(spark, "offsets")
+    seed_example(spark, lake)
+    items = lake.name(m.SOURCE, "order_item")
+    m.load_bronze_items(lake)
+    for number in (4, 5):
+        m.load_bronze_items(lake, offsets)
+        expect_equal(lake.read("raw", "order_item"), lake.read(m.SOURCE, "order_item"))
+        more = spark.createDataFrame([(number, 1, "Item X", 1, 1.0)], schemas.order_item_schema())
+        more.write.insertInto(items)
+    m.run_day(lake, "2023-01-02", checkpoints=offsets)
+    expect_equal(lake.read("raw", "order_item"), lake.read(m.SOURCE, "order_item"))
+    assertDataFrameEqual(gold_of(lake), spark.createDataFrame(EXPECTED, schemas.gold_schema()))
+    m.load_bronze_items(lake)
+    m.load_bronze_items(lake, offsets)
+    expect_equal(lake.read("raw", "order_item"), lake.read(m.SOURCE, "order_item"))
+
+
+def test_backlog_in_several_batches(spark, lake):
+    offsets = scratch_path(spark, "offsets")
+    rows_in = spark.range(0, 100, 1, 10).selectExpr(
+        "CAST(id AS INT) id_order", "1 AS seq", "'x' AS desc_item", "1 AS qty", "CAST(1 AS FLOAT) total_item"
+    )
+    rows_in.write.saveAsTable(lake.name(m.SOURCE, "order_item"))
+    freeze.stream_items(lake, offsets, files_per_batch=3)
+    expect_equal(lake.read(*freeze.ITEMS), lake.read(m.SOURCE, "order_item"))
+    table = lake.name(*freeze.ITEMS)
+    folder = spark.sql(f"SHOW TBLPROPERTIES {table}").filter("key LIKE '%checkpoint'").first()["value"]
+    assert spark.read.text(f"{folder}/commits").select(F.input_file_name()).distinct().count() == 4
+
+
 def test_seeding_before_the_epoch_is_refused(spark, lake):
     m.seed_sources(lake, "2024-01-01", SMALL)
     with pytest.raises(ValueError):
