@@ -44,7 +44,10 @@ def _cloud(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _META = "job_id, job_name, job_run_id, dlt_pipeline_id"
-_USAGE_OUT = f"usage_date, usage_end_time, sku_name, cloud, CAST(usage_quantity AS DOUBLE) AS usage_quantity, usage_unit, {_META}"
+_USAGE_OUT = (
+    "usage_date, usage_end_time, sku_name, cloud, CAST(usage_quantity AS DOUBLE) AS usage_quantity,"
+    f" usage_unit, {_META}"
+)
 
 
 def _flat(usage: DataFrame) -> DataFrame:
@@ -121,7 +124,8 @@ def latest_revision_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     t.sql(
         "SELECT u.usage_end_time, u.dlt_pipeline_id AS pipeline_id, n.name AS pipeline_name FROM usage u"
-        " LEFT JOIN pipe_names n ON n.pipeline_id = u.dlt_pipeline_id WHERE COALESCE(u.job_id, u.dlt_pipeline_id) IS NOT NULL",
+        " LEFT JOIN pipe_names n ON n.pipeline_id = u.dlt_pipeline_id"
+        " WHERE u.job_id IS NOT NULL OR u.dlt_pipeline_id IS NOT NULL",
         "usage",
         "pipe_names",
     )
@@ -218,7 +222,8 @@ def job_costs_by_sku_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     t.sql(
         "SELECT COALESCE(job_id, 'N/A') AS job_id, COALESCE(NULLIF(job_name, ''), 'Unnamed') AS job_name,"
-        " COALESCE(NULLIF(sku_name, ''), 'Unnamed') AS sku_name, num_runs, CAST(COALESCE(total_dbu, 0) AS DOUBLE) AS total_dbu,"
+        " COALESCE(NULLIF(sku_name, ''), 'Unnamed') AS sku_name, num_runs,"
+        " CAST(COALESCE(total_dbu, 0) AS DOUBLE) AS total_dbu,"
         f" CAST(COALESCE(estimated_cost_usd, 0) AS DOUBLE) AS estimated_cost_usd FROM ({_INTERVAL})",
         "usage",
         "prices",

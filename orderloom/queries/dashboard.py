@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from orderloom.operators.latest import latest_names
 from orderloom.operators.series import cumulative_events, cumulative_totals, downsample

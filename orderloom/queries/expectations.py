@@ -18,7 +18,7 @@ def gold_violators(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     t.sql(
-        "SELECT * FROM (SELECT product_id, name, category_id, COUNT(*) AS n FROM prod GROUP BY ALL) WHERE FALSE", "prod"
+        "SELECT product_id, name, category_id, COUNT(*) AS n FROM prod GROUP BY ALL HAVING COUNT(*) < 1", "prod"
     )
 )
 def unchanged_products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,8 +29,8 @@ def unchanged_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     t.sql(
-        "SELECT id, CAST(CASE WHEN name LIKE '%.1' THEN 1 ELSE -1 END AS BIGINT) AS surplus, name FROM (SELECT product_id AS id, name"
-        " FROM prod WHERE product_id % 5 = 0 UNION ALL SELECT product_id, name || '.1' FROM prod WHERE product_id % 5 = 0)",
+        "SELECT product_id AS id, name, CAST(-1 AS BIGINT) AS surplus FROM prod WHERE product_id % 5 = 0"
+        " UNION ALL SELECT product_id, name || '.1', 1 FROM prod WHERE product_id % 5 = 0",
         "prod",
     )
 )

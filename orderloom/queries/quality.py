@@ -39,9 +39,8 @@ def flat_quarantine(invalid: DataFrame) -> DataFrame:
     def names(column: str):
         return F.coalesce(F.concat_ws(",", F.col(f"{column}.name")), F.lit(""))
 
-    return invalid.select(
-        "id", "id_customer", "total", "date", "product_id", names("_errors").alias("errors"), names("_warnings").alias("warnings")
-    )
+    order = ("id", "id_customer", "total", "date", "product_id")
+    return invalid.select(*order, names("_errors").alias("errors"), names("_warnings").alias("warnings"))
 
 
 @query(INVALID_SQL)

@@ -76,7 +76,10 @@ def generated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.gen_orders(_numbers(spark, sf_dir, "orders", "o_orderkey"), SEED_DAY, IDS_WIDE)
 
 
-_ITEMS = "(SELECT o_orderkey + 1 AS ord, seq, o_orderkey * 3 + seq AS item FROM orders CROSS JOIN (SELECT unnest([1, 2, 3]) AS seq))"
+_ITEMS = (
+    "(SELECT o_orderkey + 1 AS ord, seq, o_orderkey * 3 + seq AS item"
+    " FROM orders CROSS JOIN (SELECT unnest([1, 2, 3]) AS seq))"
+)
 
 
 @query(

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from orderloom import schemas
 
-LAYERS = ("external_source", "raw", "curated", "report")
+LAYERS = ("external_source", "raw", "curated", "report", "ops")
 
 
 @dataclass(frozen=True)

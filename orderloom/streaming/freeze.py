@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom import schemas
-from orderloom.operators.orders import aggregate_orders, enrich_order
+from orderloom.operators.orders import enrich_order
 from orderloom.operators.tablewrites import overwrite_table
 from orderloom.plans.medallion import ORDER_LAYOUT, PRODUCT_LAYOUT, SOURCE, backfill_gold
 from orderloom.sources.tables import Lake

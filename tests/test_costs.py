@@ -35,7 +35,11 @@ def used(when, sku, quantity, unit="DBU", job=None, name=None, run=None, pipe=No
 @pytest.fixture
 def prices(spark):
     return spark.createDataFrame(
-        [price("A", datetime(2023, 1, 1), CUT, "1"), price("A", CUT, None, "2"), price("B", datetime(2023, 1, 1), None, "3")],
+        [
+            price("A", datetime(2023, 1, 1), CUT, "1"),
+            price("A", CUT, None, "2"),
+            price("B", datetime(2023, 1, 1), None, "3"),
+        ],
         PRICES,
     )
 

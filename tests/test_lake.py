@@ -12,6 +12,7 @@ from orderloom.operators import quality as q
 from orderloom.operators.expect import ExpectationFailed, differences, expect_count, expect_equal, expect_none, violators
 from orderloom.operators.tablewrites import append_new, merge_update, overwrite_table
 from orderloom.plans import medallion as m
+from orderloom.plans.checks import check_gold, check_load_test, health_check
 from orderloom.session import scratch_path
 from orderloom.streaming import freeze
 
@@ -58,10 +59,7 @@ def test_batch_and_stream_give_the_expected_gold(spark, lake):
     seed_example(spark, lake)
     m.run_day(lake, "2023-01-02")
     freeze.refresh(lake, scratch_path(spark, "offsets"))
-    expected = spark.createDataFrame(EXPECTED, schemas.gold_schema())
-    for table in ("order_agg", freeze.GOLD_TABLE):
-        expect_count(gold_of(lake, table), 2)
-        assertDataFrameEqual(gold_of(lake, table), expected)
+    check_gold(lake, spark.createDataFrame(EXPECTED, schemas.gold_schema()))
     assert lake.read("raw", "order_quarantine").count() == 4
 
 
@@ -184,12 +182,20 @@ def test_stream_freezes_and_full_refresh_restates(spark, lake):
 
 def test_load_test_invariants(spark, lake):
     """Customer determines product, so there are 500 groups; each holds orders / 500 orders."""
-    m.seed_load_test(lake, m.SeedSizes(orders=20_000))
+    sizes = m.SeedSizes(orders=20_000)
+    m.seed_load_test(lake, sizes)
     m.run_day(lake, "2024-01-01")
-    gold = gold_of(lake)
-    expect_count(gold, 500)
-    assert violators(gold, total_quantity=240, total_value=6000.0, total_orders=40).isEmpty()
-    expect_none(gold, F.col("country") != "USA")
+    freeze.refresh(lake, scratch_path(spark, "offsets"))
+    check_load_test(lake, sizes)
+    assert violators(gold_of(lake), total_quantity=240, total_value=6000.0, total_orders=40).isEmpty()
+    expect_none(gold_of(lake), F.col("country") != "USA")
+    with pytest.raises(ExpectationFailed):
+        check_load_test(lake, m.SeedSizes(orders=20_500))
+
+
+def test_health_check(lake):
+    for _ in range(2):
+        assert health_check(lake).first()["ok"] == 1
 
 
 def test_expectations_report_failures(spark):

@@ -17,8 +17,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession
 
-from orderloom.operators.expect import expect_count, violators
 from orderloom.plans import medallion as m
+from orderloom.plans.checks import check_load_test
 from orderloom.session import scratch_path, tune
 from orderloom.sources.tables import Lake
 from orderloom.streaming import freeze
@@ -53,16 +53,13 @@ def main() -> None:
     step("silver", lambda: m.load_silver(lake, "2024-01-01"))
     step("gold", lambda: m.load_gold(lake, "2024-01-01"))
     step("stream_refresh", lambda: freeze.refresh(lake, offsets))
-    # Customer decides product, so there are 500 groups of orders / 500 orders each.
-    share = orders // 500
-    for table in ("order_agg", freeze.GOLD_TABLE):
-        gold = lake.read("report", table)
-        expect_count(gold, 500, table)
-        wrong = violators(gold, total_quantity=share * 6, total_value=share * 150.0, total_orders=share)
-        expect_count(wrong, 0, table)
+    check_load_test(lake, m.SeedSizes(orders=orders))
     step("next_day_seed", lambda: m.seed_day(lake, "2024-01-02"))
     step("next_day_batch", lambda: m.run_day(lake, "2024-01-02"))
     step("next_day_stream", lambda: freeze.refresh(lake, offsets))
+    step("day_after_seed", lambda: m.seed_day(lake, "2024-01-03"))
+    step("items_to_incremental", lambda: m.load_bronze_items(lake, offsets))
+    step("day_after_batch_incremental", lambda: m.run_day(lake, "2024-01-03", checkpoints=offsets))
     print(json.dumps({"orders": orders, "items": orders * 3, "seconds": seconds}))
 
 
