@@ -109,11 +109,13 @@ def _issue(rule: Rule, failed: Column) -> Column:
 
 
 def _issues_of(rules: Sequence[tuple[Rule, Column]]) -> Column:
-    """Array of the failed rules, NULL when none failed."""
+    """Array of the failed rules, NULL when none failed; built for failing rows only."""
     if not rules:
         return F.lit(None).cast(ISSUE)
-    found = F.array_compact(F.array(*[_issue(rule, failed) for rule, failed in rules]))
-    return F.when(F.size(found) > 0, found).cast(ISSUE)
+    any_failed = F.lit(False)
+    for _, failed in rules:
+        any_failed = any_failed | F.coalesce(failed, F.lit(False))
+    return F.when(any_failed, F.array_compact(F.array(*[_issue(rule, failed) for rule, failed in rules]))).cast(ISSUE)
 
 
 def annotate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
