@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.functions.columns import epoch_second
+from orderloom.session import materialize
 
 MAX_POINTS = 200
 _CHUNK = 1_000_000
@@ -17,7 +18,8 @@ def cumulative_totals(events: DataFrame, time: str = "event_time") -> DataFrame:
     Equal times collapse to a count first, map-side. The running total is then built in three
     steps, none of which gathers the events: within a second (at most 1,000,000 microseconds),
     over the seconds of an hour (3,600), and over the hours, whose number depends on the time span
-    only.
+    only. The counts per time and per second feed several steps, so each is written once; the events
+    are read and shuffled a single time.
     """
     kind = events.schema[time].dataType
     per_time = (
@@ -26,8 +28,9 @@ def cumulative_totals(events: DataFrame, time: str = "event_time") -> DataFrame:
         .agg(F.count(F.lit(1)).alias("events"))
         .withColumn("second", epoch_second(F.col("event_time"), kind))
     )
+    per_time = materialize(per_time, "per_time")
     per_second = per_time.groupBy("second").agg(F.sum("events").alias("in_second"))
-    per_second = per_second.withColumn("hour", F.floor(F.col("second") / 3600))
+    per_second = materialize(per_second.withColumn("hour", F.floor(F.col("second") / 3600)), "per_second")
     per_hour = per_second.groupBy("hour").agg(F.sum("in_second").alias("in_hour"))
 
     over_hours = Window.orderBy("hour").rowsBetween(Window.unboundedPreceding, -1)

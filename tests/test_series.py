@@ -28,7 +28,7 @@ def frame(spark, times, kind="timestamp_ntz"):
     return spark.createDataFrame([(t,) for t in times], f"event_time {kind}")
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     offsets=st.lists(st.integers(0, 20_000), min_size=1, max_size=400),
     unit=st.sampled_from([1, 1_000, 1_000_000, 60_000_000]),
