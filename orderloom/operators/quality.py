@@ -164,13 +164,13 @@ def issues(invalid: DataFrame, *carry: str) -> DataFrame:
     return listed.select(*carry, F.col("i.name").alias("name"), F.col("i.level").alias("level"))
 
 
-def dq_ratio(annotated: DataFrame, denominator: str = "reference") -> DataFrame:
+def dq_ratio(annotated: DataFrame, denominator: str = "outputs") -> DataFrame:
     """One row: valid, invalid and the quarantined share, from a single pass.
 
-    ``"reference"`` divides by valid + invalid, where rows with only warnings count twice;
+    ``"outputs"`` divides by valid + invalid, where rows with only warnings count twice;
     ``"rows"`` divides by the number of rows. An empty input has ratio 0.
     """
-    if denominator not in ("reference", "rows"):
+    if denominator not in ("outputs", "rows"):
         raise ValueError(f"unknown denominator {denominator}")
     clean = F.col("_errors").isNull()
     counts = annotated.agg(
@@ -178,7 +178,7 @@ def dq_ratio(annotated: DataFrame, denominator: str = "reference") -> DataFrame:
         F.count_if(~clean | F.col("_warnings").isNotNull()).alias("invalid"),
         F.count(F.lit(1)).alias("rows"),
     )
-    total = F.col("valid") + F.col("invalid") if denominator == "reference" else F.col("rows")
+    total = F.col("valid") + F.col("invalid") if denominator == "outputs" else F.col("rows")
     ratio = F.when(total > 0, F.col("invalid") / total).otherwise(F.lit(0.0))
     return counts.select("valid", "invalid", ratio.alias("ratio"))
 

@@ -16,7 +16,7 @@ from orderloom.plans.checks import check_gold, check_load_test, health_check
 from orderloom.session import scratch_path
 from orderloom.streaming import freeze
 
-SMALL = m.SeedSizes(customers=500, products=100, orders=2000, per_day=5000)
+SMALL = m.SeedSizes(customers=500, products=100, orders=100, per_day=5000)
 
 
 def seed_example(spark, lake):
@@ -91,7 +91,7 @@ def test_two_seeded_days_freeze_names_and_rerun_changes_nothing(spark, lake):
     m.run_day(lake, "2024-01-01")
     freeze.refresh(lake, offsets)
     totals = {r["table"]: r["rows"] for r in m.seed_sources(lake, "2024-01-02", SMALL).collect()}
-    assert totals == {"customer": 500, "order": 7000, "order_item": 11000}
+    assert totals == {"customer": 500, "order": 5100, "order_item": 5300}
     m.run_day(lake, "2024-01-02")
     freeze.refresh(lake, offsets)
 
