@@ -6,24 +6,36 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import packing, simhash
+from orderloom.llm import decontam, packing, quality, simhash
 from orderloom.llm.common import staged_once, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects as unreadable or toxic go."""
+    return quality.kept(docs, table(spark, sf_dir, "labels"))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays."""
     return simhash.keep_one(docs)
 
 
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of a test item go."""
+    return decontam.decontaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The remaining documents as pieces with their place in training sequences."""
     return packing.pack_documents(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality_classifier", quality_classifier),
     ("simhash_near_dedup", near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
     ("best_fit_packing", best_fit_packing),
 ]
 

@@ -57,17 +57,27 @@ def fingerprint(text: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col`` and ``_fp`` (the fingerprint's 64 bits as a long) of every row; a null text has no words."""
+    """``id_col``, ``_text`` (a hash of the text) and ``_fp`` (the fingerprint's 64 bits as a long) of every row.
+
+    A null text has no words.
+    """
     prepare(docs.sparkSession)
-    out = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("_fp", T.LongType())])
+    out = T.StructType(
+        [
+            T.StructField(id_col, docs.schema[id_col].dataType),
+            T.StructField("_text", T.LongType()),
+            T.StructField("_fp", T.LongType()),
+        ]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
+            texts = batch.column(2).cast(pa.binary()).to_pylist()
             made = np.asarray([fingerprint(x or b"") for x in texts], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made)], names=out.fieldNames())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(made)], names=out.fieldNames())
 
-    return docs.select(id_col, text_col).mapInArrow(run, out)
+    read = docs.select(id_col, F.xxhash64(text_col).alias("_text"), F.col(text_col).alias("_whole"))
+    return read.mapInArrow(run, out)
 
 
 def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -234,6 +244,17 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
+def grouped(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The rows' fingerprints, and (_fp, _least, _root) of every distinct one: its smallest id and component."""
+    made = staged_once(fingerprints(docs, id_col, text_col), "fingerprints")
+    classes = staged_once(made.groupBy("_fp").agg(F.min(id_col).alias("_least")), "classes")
+    roots = components(links(classes, classes.count()))
+    rooted = classes.join(roots, classes["_fp"] == roots["node"], "left").select(
+        "_fp", "_least", F.coalesce("root", "_fp").alias("_root")
+    )
+    return made, staged_once(rooted, "rooted")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``id_col``, ``fingerprint`` (16 hex digits) and ``component_id``.
 
@@ -242,13 +263,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Null, empty and blank texts share fingerprint zero and link like any other. Repeated rows are each
     returned; other columns are not read; an empty table gives an empty result.
     """
-    made = staged_once(fingerprints(docs, id_col, text_col), "fingerprints")
-    classes = staged_once(made.groupBy("_fp").agg(F.min(id_col).alias("_least")), "classes")
-    roots = components(links(classes, classes.count()))
-    rooted = classes.join(roots, classes["_fp"] == roots["node"], "left").select(
-        "_fp", "_least", F.coalesce("root", "_fp").alias("_root")
-    )
-    rooted = staged_once(rooted, "rooted")
+    made, rooted = grouped(docs, id_col, text_col)
     named = rooted.groupBy("_root").agg(F.min("_least").alias("component_id"))
     named = rooted.join(named, "_root").select(F.col("_fp").alias("_of"), "component_id")
     return made.join(named, made["_fp"] == named["_of"]).select(
@@ -259,14 +274,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each near-duplicate group: the one with the smallest id.
 
-    All columns stay. Rows that repeat an id count as copies only if their texts do; of rows alike in id
-    and fingerprint one stays. Rows without an id stay only where their group has no row with one.
+    All columns stay, of rows alike in id and text one. Ties of the id go by the text's hash; a row
+    without an id stays only where its group has no row with one.
     """
-    found = near_duplicates(docs, id_col, text_col)
-    best = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).groupBy(id_col).agg(
-        F.min("fingerprint").alias("_print")
+    made, rooted = grouped(docs, id_col, text_col)
+    order = F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).alias("i"), F.col("_text").alias("t"))
+    first = made.groupBy("_fp").agg(F.min(order).alias("_first"))
+    best = first.join(rooted.select(F.col("_fp").alias("_of"), "_root"), F.col("_fp") == F.col("_of"))
+    best = best.groupBy("_root").agg(F.min("_first").alias("_first"))
+    best = best.select(
+        F.xxhash64("_first.i", "_first.t").alias("_k1"), F.xxhash64("_first.t", F.lit(1), "_first.i").alias("_k2")
+    )
+    text = F.xxhash64(text_col)
+    keyed = docs.withColumns(
+        {"_key1": F.xxhash64(F.col(id_col), text), "_key2": F.xxhash64(text, F.lit(1), F.col(id_col))}
     )
-    best = best.withColumnRenamed(id_col, "_keep")
-    kept = docs.join(best, docs[id_col].eqNullSafe(F.col("_keep")), "left_semi")
-    one = Window.partitionBy(id_col).orderBy(F.xxhash64(text_col), F.lit(0))
-    return kept.withColumn("_copy", F.row_number().over(one)).where("_copy = 1").drop("_copy")
+    kept = keyed.join(best, (F.col("_key1") == F.col("_k1")) & (F.col("_key2") == F.col("_k2")), "left_semi")
+    one = Window.partitionBy("_key1", "_key2").orderBy(F.lit(0))
+    return kept.withColumn("_copy", F.row_number().over(one)).where("_copy = 1").drop("_copy", "_key1", "_key2")
