@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import decontam, packing, quality, simhash
+from orderloom.llm import decontam, packing, quality, secretscan, simhash
 from orderloom.llm.common import staged_once, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -27,6 +27,11 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     return decontam.decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets in the texts are replaced by a mark; every document stays."""
+    return secretscan.masked(docs)
+
+
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The remaining documents as pieces with their place in training sequences."""
     return packing.pack_documents(docs)
@@ -36,6 +41,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("quality_classifier", quality_classifier),
     ("simhash_near_dedup", near_dedup),
     ("benchmark_decontamination", benchmark_decontamination),
+    ("secret_scan", secret_scan),
     ("best_fit_packing", best_fit_packing),
 ]
 

@@ -7,6 +7,7 @@ list of rank ranges. The pieces are then ranked within their length and look the
 
 from __future__ import annotations
 
+import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,6 +33,35 @@ BUCKET_ROWS = 250_000
 LEAST_BUCKETS = 64
 
 
+#: Latin letters with marks behind them: the tokenizer cuts such a word there, into at most two runs.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letters that stand for bytes in byte-level vocabularies: printable ones for themselves."""
+    printable = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+class RunIds(dict):
+    """Ids of a run of lower-case letters or of marks, straight from the tokenizer's model."""
+
+    def __init__(self, model: object) -> None:
+        super().__init__({"": b""})
+        self.model, self.letters = model, _byte_letters()
+
+    def __missing__(self, run: str) -> bytes:
+        tokens = self.model.tokenize(run.encode().decode("latin-1").translate(self.letters))
+        ids = np.asarray([t.id for t in tokens], dtype="<u4").tobytes()
+        if len(run) <= 64:
+            if len(self) >= REMEMBERED_WORDS:
+                self.clear()
+                self[""] = b""
+            self[run] = ids
+        return ids
+
+
 class WordIds(dict):
     """Ids of a word as little-endian unsigned 32-bit bytes.
 
@@ -43,9 +73,13 @@ class WordIds(dict):
 
         super().__init__({"": b""})
         self.tokenizer = Tokenizer.from_file(path)
+        self.runs = RunIds(self.tokenizer.model)
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.asarray(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        if plain := _PLAIN.fullmatch(word):
+            ids = self.runs[plain[1].lower()] + self.runs[plain[2]]
+        else:
+            ids = np.asarray(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
         if len(word) <= 64:
             if len(self) >= REMEMBERED_WORDS:
                 self.clear()
