@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import chat, decontam, packing, quality, secretscan, sharding, simhash
+from orderloom.llm import chat, decontam, packing, pii, quality, secretscan, sharding, simhash
 from orderloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,10 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op8_prefix_sum_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, Query] = {
         op3_best_fit_packing,
         op4_benchmark_decontamination,
         op5_simhash_near_dedup,
+        op6_pii,
         op8_prefix_sum_sharding,
         op9_secret_scan,
         op10_chat_formatting,
