@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from orderloom.llm import chat, decontam, packing, pii, quality, secretscan, sharding, simhash
+from orderloom.llm import ann, chat, decontam, licenses, packing, pii, quality, secretscan, sharding, simhash
 from orderloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +19,10 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.where("_keep").selectExpr("doc_id", "_junk AS junk_score", "_toxic AS toxic_score")
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -34,6 +39,10 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op7_kmeans_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op8_prefix_sum_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -53,10 +62,12 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_quality_classifier,
+        op2_license_scan,
         op3_best_fit_packing,
         op4_benchmark_decontamination,
         op5_simhash_near_dedup,
         op6_pii,
+        op7_kmeans_tree_search,
         op8_prefix_sum_sharding,
         op9_secret_scan,
         op10_chat_formatting,
