@@ -399,6 +399,10 @@ def scores(text: Column, models: Models) -> Column:
     return score(text)
 
 
+def passing(made: Column, models: Models) -> Column:
+    return (made["junk"] <= models.junk.threshold) & (made["toxic"] <= models.toxic.threshold)
+
+
 def classify(
     docs: DataFrame, labels: DataFrame | None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -408,17 +412,15 @@ def classify(
     are scored as empty ones; repeated rows alike; an empty table gives an empty result.
     """
     models = fit(docs, labels, id_col, text_col)
-    scored = docs.withColumn("_scores", scores(F.col(text_col), models))
+    made = F.col("__llm_scores")
+    scored = docs.withColumn("__llm_scores", scores(F.col(text_col), models))
     return scored.withColumns(
-        {
-            "_junk": F.col("_scores.junk"),
-            "_toxic": F.col("_scores.toxic"),
-            "_keep": (F.col("_scores.junk") <= models.junk.threshold)
-            & (F.col("_scores.toxic") <= models.toxic.threshold),
-        }
-    ).drop("_scores")
+        {"_junk": made["junk"], "_toxic": made["toxic"], "_keep": passing(made, models)}
+    ).drop("__llm_scores")
 
 
 def kept(docs: DataFrame, labels: DataFrame | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs``, its own columns, without the rows that the classifier rejects."""
-    return classify(docs, labels, id_col, text_col).where("_keep").select(*docs.columns)
+    models = fit(docs, labels, id_col, text_col)
+    scored = docs.withColumn("__llm_scores", scores(F.col(text_col), models))
+    return scored.where(passing(F.col("__llm_scores"), models)).drop("__llm_scores")

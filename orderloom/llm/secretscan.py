@@ -143,14 +143,13 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 def masked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs``, all columns, with every secret in the text replaced by a mark; a null text stays null."""
-    found = scan(docs, id_col, text_col).where(F.size("_spans") > 0)
-    found = staged_once(found, "secrets").dropDuplicates(["_k1", "_k2"]).withColumnsRenamed({"_k1": "_c1", "_k2": "_c2"})
+    found = staged_once(scan(docs, id_col, text_col).where(F.size("_spans") > 0), "secrets").dropDuplicates(["_k1", "_k2"])
+    found = found.select(*[F.col(c).alias(f"__llm{c}") for c in ("_k1", "_k2", "_spans")])
     text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.withColumns(
-        {"_k1": F.xxhash64(F.col(id_col), text), "_k2": F.xxhash64(text, F.lit(1), F.col(id_col))}
+    key1, key2 = F.xxhash64(F.col(id_col), text), F.xxhash64(text, F.lit(1), F.col(id_col))
+    joined = docs.withColumns({"__llm_key1": key1, "__llm_key2": key2}).join(
+        found, (F.col("__llm_key1") == F.col("__llm_k1")) & (F.col("__llm_key2") == F.col("__llm_k2")), "left"
     )
-    joined = keyed.join(
-        found.select("_c1", "_c2", "_spans"), (F.col("_k1") == F.col("_c1")) & (F.col("_k2") == F.col("_c2")), "left"
-    )
-    safe = F.when(F.col("_spans").isNotNull(), S.redacted(F.col(text_col), F.col("_spans"), MARK))
-    return joined.withColumn(text_col, safe.otherwise(F.col(text_col))).select(*docs.columns)
+    spans = F.col("__llm_spans")
+    safe = F.when(spans.isNotNull(), S.redacted(F.col(text_col), spans, MARK)).otherwise(F.col(text_col))
+    return joined.withColumn(text_col, safe).select(*docs.columns)

@@ -283,12 +283,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     best = first.join(rooted.select(F.col("_fp").alias("_of"), "_root"), F.col("_fp") == F.col("_of"))
     best = best.groupBy("_root").agg(F.min("_first").alias("_first"))
     best = best.select(
-        F.xxhash64("_first.i", "_first.t").alias("_k1"), F.xxhash64("_first.t", F.lit(1), "_first.i").alias("_k2")
+        F.xxhash64("_first.i", "_first.t").alias("__llm_k1"), F.xxhash64("_first.t", F.lit(1), "_first.i").alias("__llm_k2")
     )
     text = F.xxhash64(text_col)
     keyed = docs.withColumns(
-        {"_key1": F.xxhash64(F.col(id_col), text), "_key2": F.xxhash64(text, F.lit(1), F.col(id_col))}
+        {"__llm_key1": F.xxhash64(F.col(id_col), text), "__llm_key2": F.xxhash64(text, F.lit(1), F.col(id_col))}
     )
-    kept = keyed.join(best, (F.col("_key1") == F.col("_k1")) & (F.col("_key2") == F.col("_k2")), "left_semi")
-    one = Window.partitionBy("_key1", "_key2").orderBy(F.lit(0))
-    return kept.withColumn("_copy", F.row_number().over(one)).where("_copy = 1").drop("_copy", "_key1", "_key2")
+    kept = keyed.join(best, (F.col("__llm_key1") == F.col("__llm_k1")) & (F.col("__llm_key2") == F.col("__llm_k2")), "left_semi")
+    one = Window.partitionBy("__llm_key1", "__llm_key2").orderBy(F.lit(0))
+    return kept.withColumn("__llm_copy", F.row_number().over(one)).where("__llm_copy = 1").drop("__llm_copy", "__llm_key1", "__llm_key2")

@@ -12,18 +12,35 @@ _BLOCK = 128
 SPAN = "struct<start:int,end:int,match:string>"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once however often and however deep ``body`` names it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _prefixes(values: Column, over: Callable[[Column], Column], join: Callable[[Column, Column], Column]) -> Column:
-    """Running sums (or maxima) of an array, including each element: by blocks, so long arrays stay cheap."""
-    blocks = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / _BLOCK).cast("int"))
-    sums = F.transform(blocks, lambda b: over(F.slice(values, b * _BLOCK + 1, F.lit(_BLOCK))))
-    before = F.transform(blocks, lambda b: F.when(b > 0, over(F.slice(sums, F.lit(1), b))).otherwise(F.lit(0)))
-    return F.transform(
-        values,
-        lambda _, i: join(
-            F.element_at(before, F.floor(i / _BLOCK).cast("int") + 1),
-            over(F.slice(values, i - i % _BLOCK + 1, i % _BLOCK + 1)),
-        ),
-    )
+    """Running sums (or maxima) of a filled array, each element included: by blocks, so long arrays stay cheap."""
+
+    def of(v: Column) -> Column:
+        blocks = F.sequence(F.lit(0), F.floor((F.size(v) - 1) / _BLOCK).cast("int"))
+        return let(F.transform(blocks, lambda b: over(F.slice(v, b * _BLOCK + 1, F.lit(_BLOCK)))), lambda s: before(v, s))
+
+    def before(v: Column, sums: Column) -> Column:
+        starts = F.transform(
+            F.sequence(F.lit(0), F.size(sums) - 1),
+            lambda b: F.when(b > 0, over(F.slice(sums, F.lit(1), b))).otherwise(F.lit(0)),
+        )
+        return let(starts, lambda s: each(v, s))
+
+    def each(v: Column, starts: Column) -> Column:
+        return F.transform(
+            v,
+            lambda _, i: join(
+                F.element_at(starts, F.floor(i / _BLOCK).cast("int") + 1),
+                over(F.slice(v, i - i % _BLOCK + 1, i % _BLOCK + 1)),
+            ),
+        )
+
+    return let(values, of)
 
 
 def running_sums(values: Column) -> Column:
@@ -45,18 +62,24 @@ def located(text: Column, pattern: str, found: Column) -> Column:
 
     ``pattern`` must not match the empty string.
     """
-    between = F.split(text, pattern, -1)
-    steps = F.transform(
-        found,
-        lambda _, i: F.length(F.element_at(between, i + 1))
-        + F.when(i > 0, F.length(F.element_at(found, F.greatest(i, F.lit(1))))).otherwise(0),
-    )
-    spans = F.zip_with(
-        running_sums(steps),
-        found,
-        lambda start, m: F.struct(start.alias("start"), (start + F.length(m)).alias("end"), m.alias("match")),
-    )
-    return F.when(F.size(found) > 0, spans).otherwise(F.array().cast(f"array<{SPAN}>"))
+    def of(f: Column) -> Column:
+        return F.when(F.size(f) > 0, let(F.split(text, pattern, -1), lambda b: zipped(f, b))).otherwise(
+            F.array().cast(f"array<{SPAN}>")
+        )
+
+    def zipped(f: Column, between: Column) -> Column:
+        steps = F.transform(
+            f,
+            lambda _, i: F.length(F.element_at(between, i + 1))
+            + F.when(i > 0, F.length(F.element_at(f, F.greatest(i, F.lit(1))))).otherwise(0),
+        )
+        return F.zip_with(
+            running_sums(steps),
+            f,
+            lambda start, m: F.struct(start.alias("start"), (start + F.length(m)).alias("end"), m.alias("match")),
+        )
+
+    return let(found, of)
 
 
 def labelled(spans: Column, kind: str, rank: int) -> Column:
@@ -89,21 +112,22 @@ def counted(spans: Column, kind: str) -> Column:
 
 def redacted(text: Column, spans: Column, mark: str) -> Column:
     """``text`` with each span, or run of overlapping spans, replaced by ``mark``."""
-    ordered = F.array_sort(spans)
-    covered = running_maxima(F.transform(ordered, lambda s: s["end"]))
-    parts = F.transform(
-        ordered,
-        lambda s, i: F.when(
-            (i == 0) | (s["start"] >= F.element_at(covered, F.greatest(i, F.lit(1)))),
-            F.concat(
-                F.substring(
-                    text,
-                    F.when(i > 0, F.element_at(covered, F.greatest(i, F.lit(1)))).otherwise(0) + 1,
-                    s["start"] - F.when(i > 0, F.element_at(covered, F.greatest(i, F.lit(1)))).otherwise(0),
-                ),
-                F.lit(mark),
-            ),
-        ).otherwise(""),
-    )
-    tail = F.substring(text, F.element_at(covered, -1) + 1, F.length(text))
-    return F.when(F.size(spans) > 0, F.concat(F.array_join(parts, ""), tail)).otherwise(text)
+
+    def of(ordered: Column) -> Column:
+        ends = running_maxima(F.transform(ordered, lambda s: s["end"]))
+        return F.when(F.size(ordered) > 0, let(ends, lambda covered: cut(ordered, covered))).otherwise(text)
+
+    def cut(ordered: Column, covered: Column) -> Column:
+        def before(i: Column) -> Column:
+            return F.when(i > 0, F.element_at(covered, F.greatest(i, F.lit(1)))).otherwise(0)
+
+        parts = F.transform(
+            ordered,
+            lambda s, i: F.when(
+                (i == 0) | (s["start"] >= before(i)),
+                F.concat(F.substring(text, before(i) + 1, s["start"] - before(i)), F.lit(mark)),
+            ).otherwise(""),
+        )
+        return F.concat(F.array_join(parts, ""), F.substring(text, F.element_at(covered, -1) + 1, F.length(text)))
+
+    return let(F.array_sort(spans), of)
