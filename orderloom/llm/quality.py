@@ -10,9 +10,13 @@ have different labellers, and a document is kept if neither scorer rejects it.
 
 from __future__ import annotations
 
+import string
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
+from operator import eq
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -46,19 +50,22 @@ class Shape:
     n: int
 
 
-_MARKS = tuple(a * 2 for a in "%&$#*!?=~^+@")
+_MARKS = "%&$#*!?=~^+@"
 
 
 def shape(words: list[str], text: str) -> Shape:
     n = max(1, len(words))
     lines = [x for x in text.split("\n") if x]
+    different = set(words)
+    spaced = " ".join(words) + " "
+    lone = [x for x in different if len(x) == 1 and not x.isalnum()]
     return Shape(
-        sum(x.endswith(_MARKS) for x in words) / n,
-        sum(len(x) == 1 and not x.isalnum() for x in words) / n,
-        sum(map(str.__eq__, words, words[1:])) / n,
+        sum(spaced.count(f"{a}{a} ") for a in _MARKS) / n,
+        sum(map(words.count, lone)) / n if len(lone) < 50 else sum(x in lone for x in words) / n,
+        sum(map(eq, words, words[1:])) / n,
         1 - len(set(lines)) / len(lines) if lines else 0.0,
         sum(map(str.isupper, words)) / n,
-        len(set(words)) / n,
+        len(different) / n,
         len(words),
     )
 
@@ -77,14 +84,12 @@ def junk_votes(s: Shape) -> list[int]:
     ]
 
 
+_AROUND = string.punctuation + "«»“”„‘’‚…–—¿¡"
+
+
 def bare(word: str) -> str:
     """The word without the marks around it."""
-    low, high = 0, len(word)
-    while low < high and not word[low].isalnum():
-        low += 1
-    while high > low and not word[high - 1].isalnum():
-        high -= 1
-    return word[low:high]
+    return word.strip(_AROUND)
 
 
 def terms(words: list[str]) -> set[str]:
@@ -194,9 +199,7 @@ def fit_labels(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> L
 
 
 def _slot(kind: str, value: str) -> int:
-    from xxhash import xxh32_intdigest
-
-    return xxh32_intdigest(f"{kind}:{value}") % DIMENSIONS
+    return crc32(value.encode(), crc32(kind.encode())) % DIMENSIONS
 
 
 def shape_slots(s: Shape) -> list[int]:
@@ -208,12 +211,25 @@ def shape_slots(s: Shape) -> list[int]:
     return found
 
 
+_WORD, _STEM = crc32(b"word"), crc32(b"stem")
+
+
 class WordSlots(dict):
-    """Hashed features of a word: itself and its stem."""
+    """Hashed features of a word: itself and its stem; with ``used``, those features alone."""
+
+    def __init__(self, used: np.ndarray | None = None) -> None:
+        super().__init__()
+        self.used = used
 
     def __missing__(self, word: str) -> tuple[int, ...]:
         w = bare(word)
-        made = (_slot("w", w), _slot("s", w[:STEM])) if len(w) >= STEM else (_slot("w", w),) if w else ()
+        made = ()
+        if w:
+            made = (crc32(w.encode(), _WORD) % DIMENSIONS,)
+            if len(w) >= STEM:
+                made = (*made, crc32(w[:STEM].encode(), _STEM) % DIMENSIONS)
+            if self.used is not None:
+                made = tuple(x for x in made if self.used[x])
         if len(word) <= 64:
             if len(self) >= REMEMBERED_WORDS:
                 self.clear()
@@ -222,7 +238,7 @@ class WordSlots(dict):
 
 
 def word_slots(words: list[str], memory: WordSlots) -> set[int]:
-    return {x for w in set(words) for x in memory[w]}
+    return set(chain.from_iterable(filter(None, map(memory.__getitem__, set(words)))))
 
 
 @dataclass(frozen=True)
@@ -387,7 +403,7 @@ def scores(text: Column, models: Models) -> Column:
     @F.pandas_udf("junk double, toxic double")
     def score(texts: pd.Series) -> pd.DataFrame:
         if not memory:
-            memory.append(WordSlots())
+            memory.append(WordSlots(toxic.weights != 0))
         made = []
         for text in texts:
             text = text or ""
