@@ -9,9 +9,10 @@ the tasks in blocks of bounded size, one pass over the training side a block.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -196,21 +197,23 @@ def find_leaks(
 
 def leaks_into(text: Column, tests: DataFrame, test_id: str = "item_id", test_text: str = "text") -> Column:
     """Whether a text holds a passage of any test item, as a column; no join, so all other columns stay."""
-    import pandas as pd
-
     found = F.lit(False)
     for block in test_blocks(tests, test_id, test_text):
-        words: list[WordHashes] = []
+        found = found | _leaks_from(block)(text)
+    return found
 
-        @F.pandas_udf("boolean")
-        def leaks(texts: pd.Series, block: TestItems = block) -> pd.Series:
-            if not words:
-                words.append(WordHashes())
-            rows = {row for row, *_ in block.leaks(texts.tolist(), words[0])}
-            return pd.Series([k in rows for k in range(len(texts))])
 
-        found = found | leaks(text)
-    return found
+def _leaks_from(block: TestItems) -> Callable[[Column], Column]:
+    memory: list[WordHashes] = []
+
+    @F.pandas_udf("boolean")
+    def leaks(texts: pd.Series) -> pd.Series:
+        if not memory:
+            memory.append(WordHashes())
+        rows = {row for row, *_ in block.leaks(texts.tolist(), memory[0])}
+        return pd.Series([k in rows for k in range(len(texts))])
+
+    return leaks
 
 
 def decontaminated(docs: DataFrame, tests: DataFrame, text_col: str = "text") -> DataFrame:

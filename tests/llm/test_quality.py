@@ -27,12 +27,12 @@ def test_label_model_finds_the_accuracies():
 
 def test_scorer_separates():
     rng = np.random.default_rng(2)
-    rows = [np.unique(rng.integers(0, 5000, rng.integers(5, 200))) for _ in range(800)]
-    target = rng.random(800) < 0.15
+    rows = [np.unique(rng.integers(0, 5000, rng.integers(5, 200))) for _ in range(2400)]
+    target = rng.random(2400) < 0.15
     rows = [np.append(r, 9000 + rng.integers(0, 5)) if t else r for r, t in zip(rows, target, strict=True)]
     scorer = quality.train(rows, target.astype(float))
     scores = np.asarray([scorer.score(r) for r in rows])
-    assert ((scores > scorer.threshold) == target).mean() > 0.99
+    assert ((scores > scorer.threshold) == target).mean() > 0.98
 
 
 def test_held_out_labels(spark):
