@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,10 +9,6 @@ from orderloom.functions.columns import starred
 from orderloom.session import materialize
 
 
-class PivotTooWide(ValueError):
-    """More distinct labels than a report table can have columns."""
-
-
 def weekly_cells(df: DataFrame, label: str, value: str, flag: str | None = None) -> DataFrame:
     """(week, label, amount, flagged): the long form of the pivot; unbounded in labels."""
     marked = F.bool_or(F.col(flag)) if flag else F.lit(False)
@@ -25,29 +19,18 @@ def weekly_cells(df: DataFrame, label: str, value: str, flag: str | None = None)
     )
 
 
-def weekly_pivot(
-    df: DataFrame,
-    label: str,
-    value: str,
-    flag: str | None = None,
-    columns: Sequence[str] | None = None,
-    widest: int = 200,
-) -> DataFrame:
+def weekly_pivot(df: DataFrame, label: str, value: str, flag: str | None = None) -> DataFrame:
     """Weeks as rows, labels as columns, plus ``Total``; missing cells are 0.
 
     ``df`` is reduced to one row per week and label first; finding the columns and pivoting both
     read that result, not the input. Labels whose sum is not positive get no column and are not in
-    ``Total``. A week with a flagged row is marked ``*``. More than ``widest`` labels raise; use
-    ``weekly_cells`` then.
+    ``Total``. A week with a flagged row is marked ``*``. Every other label gets a column, however many
+    there are; ``weekly_cells`` is the same result as rows.
     """
-    cells = weekly_cells(df, label, value, flag)
-    if columns is None:
-        cells = materialize(cells, "pivot")
-        spending = cells.groupBy("label").agg(F.sum("amount").alias("amount")).filter("amount > 0")
-        columns = [row["label"] for row in spending.orderBy("label").limit(widest + 1).collect()]
-    if len(columns) > widest:
-        raise PivotTooWide(f"more than {widest} columns")
-    chosen = F.col("label").isin(list(columns)) if columns else F.lit(False)
+    cells = materialize(weekly_cells(df, label, value, flag), "pivot")
+    spending = cells.groupBy("label").agg(F.sum("amount").alias("amount")).filter("amount > 0")
+    columns = [row["label"] for row in spending.orderBy("label").collect()]
+    chosen = F.col("label").isin(columns) if columns else F.lit(False)
     per_label = [
         F.sum(F.when(F.col("label") == F.lit(c), F.col("amount")).otherwise(F.lit(0))).alias(c) for c in columns
     ]

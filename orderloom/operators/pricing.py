@@ -5,11 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A price list of at most this many versions is broadcast. Rows are four scalars wide, so the bound
-# stays in the single megabytes.
-BROADCAST_VERSIONS = 50_000
-_SALTS = 16
-
 
 def _versions(list_prices: DataFrame) -> DataFrame:
     return list_prices.select(
@@ -25,52 +20,15 @@ def _in_force(moment: Column) -> Column:
     return (moment >= F.col("_from")) & (F.col("_until").isNull() | (moment < F.col("_until")))
 
 
-def price_usage(
-    usage: DataFrame, list_prices: DataFrame, broadcast_versions: int = BROADCAST_VERSIONS
-) -> DataFrame:
+def price_usage(usage: DataFrame, list_prices: DataFrame) -> DataFrame:
     """Usage left-joined to the price version in force at ``usage_end_time``.
 
-    Adds ``effective_price`` and ``priced``; usage without a version stays, unpriced. The versions
-    are counted first. A short list is broadcast, and usage is not shuffled. A long one is spread
-    over the days of the usage window and over salts, so a SKU that owns a large share of the usage
-    is split by day and salt.
+    Adds ``effective_price`` and ``priced``; usage without a version stays, unpriced. One plan for any
+    size: the optimiser broadcasts a list whose real size allows it, and otherwise adaptive execution
+    splits the usage of a hot SKU, which is the preserved side.
     """
-    versions = _versions(list_prices)
-    if versions.limit(broadcast_versions + 1).count() <= broadcast_versions:
-        return _price_broadcast(usage, versions)
-    return _price_by_day(usage, versions)
-
-
-def _price_broadcast(usage: DataFrame, versions: DataFrame) -> DataFrame:
     condition = (F.col("sku_name") == F.col("_sku")) & _in_force(F.col("usage_end_time"))
-    return _priced(usage, usage.join(F.broadcast(versions), condition, "left"))
-
-
-def _price_by_day(usage: DataFrame, versions: DataFrame, salts: int = _SALTS) -> DataFrame:
-    end_day = F.to_date("usage_end_time")
-    first, last = usage.agg(F.min(end_day), F.max(end_day)).first()
-    if first is None:
-        return _price_broadcast(usage, versions.limit(0))
-    begins = F.greatest(F.to_date("_from"), F.lit(first))
-    ends = F.least(F.coalesce(F.to_date("_until"), F.lit(last)), F.lit(last))
-    daily = (
-        versions.filter(F.col("_from").isNotNull() & (begins <= ends))
-        .withColumn("_day", F.explode(F.sequence(begins, ends)))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    )
-    # By input partition, not by content: equal rows must spread too.
-    spread = F.pmod(F.spark_partition_id(), F.lit(salts))
-    keyed = usage.withColumn("_usage_day", end_day).withColumn("_usage_salt", spread)
-    condition = (
-        (F.col("sku_name") == F.col("_sku"))
-        & (F.col("_usage_day") == F.col("_day"))
-        & (F.col("_usage_salt") == F.col("_salt"))
-        & _in_force(F.col("usage_end_time"))
-    )
-    return _priced(usage, keyed.join(daily, condition, "left"))
-
-
-def _priced(usage: DataFrame, joined: DataFrame) -> DataFrame:
+    joined = usage.join(_versions(list_prices), condition, "left")
     return joined.select(*usage.columns, "effective_price", F.col("_sku").isNotNull().alias("priced"))
 
 

@@ -45,7 +45,7 @@ def _take_place(spark: SparkSession, standby: str, table: str) -> None:
     """Rename the standby table; a partitioned one then registers its partitions at the new place."""
     spark.sql(f"ALTER TABLE {standby} RENAME TO {table}")
     spark.catalog.refreshTable(table)
-    if any(column.isPartition for column in spark.catalog.listColumns(table.replace("`", ""))):
+    if partition_columns(spark, table):
         spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
 
 
@@ -66,13 +66,17 @@ def needs_backfill(spark: SparkSession, table: str) -> bool:
 
 
 def clustered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Bring rows with equal leading key together and sort by all ``keys``, so that Parquet row-group
-    statistics prune on them.
+    """Ranges of ``keys``, sorted, so that each file covers a narrow range and Parquet statistics prune on it.
 
-    The rebalance is sized at run time: small partitions merge, and the partition of a heavy key is
-    split over several files. It needs no sampling pass over ``df``.
+    The remaining columns and the input partition break ties: a heavy key, even one of identical rows,
+    spreads over several files. There are as many ranges as shuffle partitions, which are set by data size.
     """
-    return df.hint("rebalance", keys[0]).sortWithinPartitions(*keys)
+    rest = [F.col(c) for c in df.columns if c not in keys]
+    placed = df.withColumn("_spread", F.xxhash64(*rest) if rest else F.lit(0))
+    placed = placed.withColumn("_origin", F.spark_partition_id())
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = placed.repartitionByRange(tasks, *[F.col(k) for k in keys], F.col("_spread"), F.col("_origin"))
+    return ranged.sortWithinPartitions(*keys).drop("_spread", "_origin")
 
 
 def by_partition(df: DataFrame, partition_by: Sequence[str], keys: Sequence[str]) -> DataFrame:
@@ -91,29 +95,42 @@ def by_partition(df: DataFrame, partition_by: Sequence[str], keys: Sequence[str]
     return ranged.sortWithinPartitions(*leading).drop("_spread", "_origin")
 
 
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table.replace("`", "")) if c.isPartition]
+
+
+class PartitioningChanged(ValueError):
+    """An overwrite with other partition columns than the table has."""
+
+
 def overwrite_table(
     df: DataFrame,
     table: str,
     schema: T.StructType,
-    partition_by: Sequence[str] = (),
+    partition_by: Sequence[str] | None = None,
     cluster_by: Sequence[str] = (),
     sort_by: Sequence[str] = (),
 ) -> None:
     """Replace the whole table. ``df`` may read the table it replaces.
 
+    An existing table keeps its partitioning; naming another one raises before anything is written.
     ``cluster_by`` lays the table out across files, at the price of a shuffle; ``sort_by`` only
     orders the rows within each file.
     """
     spark = df.sparkSession
     guarded = check_schema(df, schema, table)
     recover(spark, table)
+    exists = table_exists(spark, table)
+    now = partition_columns(spark, table) if exists else list(partition_by or ())
+    if partition_by is not None and list(partition_by) != now:
+        raise PartitioningChanged(f"{table}: partitioned by {now}, not by {list(partition_by)}")
+    partition_by = now
     if partition_by:
         guarded = by_partition(guarded, partition_by, cluster_by)
     elif cluster_by:
         guarded = clustered(guarded, cluster_by)
     elif sort_by:
         guarded = guarded.sortWithinPartitions(*sort_by)
-    exists = table_exists(spark, table)
     destination = _standby(table) if exists else table
     writer = guarded.write
     (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(destination)
@@ -164,8 +181,13 @@ def updated(target: DataFrame, updates: DataFrame, keys: Sequence[str], columns:
     return joined.select(*kept)
 
 
-def merge_update(updates: DataFrame, table: str, keys: Sequence[str], columns: Sequence[str]) -> None:
-    """Update ``columns`` of the rows with a matching key; unmatched updates are ignored."""
+def merge_update(
+    updates: DataFrame, table: str, keys: Sequence[str], columns: Sequence[str], cluster_by: Sequence[str] = ()
+) -> None:
+    """Update ``columns`` of the rows with a matching key; unmatched updates are ignored.
+
+    The table keeps its partitioning, and gets the layout ``cluster_by``.
+    """
     spark = updates.sparkSession
     recover(spark, table)
     named = [F.col(k).isNotNull() for k in keys]
@@ -175,20 +197,27 @@ def merge_update(updates: DataFrame, table: str, keys: Sequence[str], columns: S
     if not known.groupBy(*keys).count().filter("count > 1").isEmpty():
         raise AmbiguousUpdate(f"{table}: several updates for one {tuple(keys)}")
     target = spark.table(table)
-    overwrite_table(updated(target, known, keys, columns), table, target.schema)
+    overwrite_table(updated(target, known, keys, columns), table, target.schema, cluster_by=cluster_by)
 
 
 class RowsOutsideSlice(ValueError):
     """Replacement rows that belong to another slice."""
 
 
+class NotASlice(ValueError):
+    """A slice named by a column the table is not partitioned by."""
+
+
 def replace_slice(df: DataFrame, table: str, schema: T.StructType, column: str, value) -> None:
     """Replace the rows with ``column = value``; an empty ``df`` clears the slice.
 
-    ``column`` must be the table's partition column. The new slice is written to scratch first, so
+    ``column`` must be the table's only partition column: anything else raises before a row is written,
+    since a dynamic overwrite would replace rows outside the slice. The new slice is written to scratch first, so
     the check and the insert see the same rows and the table stays unchanged when the check fails.
     """
     spark = df.sparkSession
+    if partition_columns(spark, table) != [column]:
+        raise NotASlice(f"{table}: not partitioned by {column}")
     here = F.col(column).eqNullSafe(F.lit(value))
     with staged(check_schema(df, schema, table), "slice") as fresh:
         strays, size = fresh.agg(F.count_if(~here), F.count(F.lit(1))).first()

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -168,15 +167,15 @@ def job_cost_summary(costs: DataFrame) -> DataFrame:
     )
 
 
-def cloud_weekly_pivot(cloud: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def cloud_weekly_pivot(cloud: DataFrame) -> DataFrame:
     """Weeks by service in USD; weeks holding estimated days are marked."""
     short = cloud.withColumn("short", short_service(F.col("service")))
-    return weekly_pivot(short, "short", "blended_cost_usd", flag="estimated", columns=columns)
+    return weekly_pivot(short, "short", "blended_cost_usd", flag="estimated")
 
 
-def sku_weekly_pivot(report_rows: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def sku_weekly_pivot(report_rows: DataFrame) -> DataFrame:
     """Weeks by short SKU in USD."""
-    return weekly_pivot(report_rows, "sku_short", "usd", columns=columns)
+    return weekly_pivot(report_rows, "sku_short", "usd")
 
 
 def spend_by_sku(report_rows: DataFrame) -> DataFrame:

@@ -62,7 +62,7 @@ def seed_initial(lake: Lake, seed_date: str | date, sizes: SeedSizes = SeedSizes
     """Fill the source tables: customers, products, a year of orders and their lines."""
     spark, kind = lake.spark, lake.ids
     numbers = generate.ids(spark, sizes.orders)
-    orders = generate.gen_orders(numbers, seed_date, kind)
+    orders = generate.gen_orders(numbers, seed_date, kind, sizes.customers, sizes.products)
     items = generate.gen_order_items(numbers, kind)
     products = generate.gen_products(generate.ids(spark, sizes.products), kind)
     overwrite_table(orders, lake.name(SOURCE, "order"), schemas.order_schema(kind), cluster_by=ORDER_LAYOUT)
@@ -73,6 +73,18 @@ def seed_initial(lake: Lake, seed_date: str | date, sizes: SeedSizes = SeedSizes
     overwrite_table(customers, lake.name(SOURCE, "customer"), schemas.customer_schema(kind))
 
 
+class ForeignIds(ValueError):
+    """Orders of another day within a day's range of ids."""
+
+
+def refuse_foreign_ids(lake: Lake, day: date, sizes: SeedSizes) -> None:
+    """Raise if the day's ids are taken by other orders, which would pass for known ones and be left out."""
+    first, last = generate.day_range(day, sizes.per_day, sizes.orders)
+    orders = lake.read(SOURCE, "order").filter(F.col("id").between(first, last))
+    if not orders.filter(~F.col("date").eqNullSafe(F.lit(day.isoformat()))).isEmpty():
+        raise ForeignIds(f"ids {first} to {last} of {day} are taken; was the lake seeded with other sizes?")
+
+
 def seed_day(lake: Lake, seed_date: str | date, sizes: SeedSizes = SeedSizes()) -> None:
     """Add one day: new orders and lines, moved customers, renamed products. A rerun changes nothing."""
     day = as_day(seed_date)
@@ -80,14 +92,15 @@ def seed_day(lake: Lake, seed_date: str | date, sizes: SeedSizes = SeedSizes())
         raise ValueError(f"seed dates start at {EPOCH_DAY}")
     spark, kind = lake.spark, lake.ids
     slots, today = generate.day_slots(spark, day, sizes.per_day), generate.single_day(spark, day)
-    orders = generate.gen_day_orders(slots, kind, sizes.per_day)
-    items = generate.gen_day_items(slots, kind, sizes.per_day)
+    refuse_foreign_ids(lake, day, sizes)
+    orders = generate.gen_day_orders(slots, kind, sizes.per_day, sizes.orders, sizes.customers, sizes.products)
+    items = generate.gen_day_items(slots, kind, sizes.per_day, sizes.orders)
     append_new(orders, lake.name(SOURCE, "order"), schemas.order_schema(kind), ["id"])
     append_new(items, lake.name(SOURCE, "order_item"), schemas.order_item_schema(kind), ["id_order", "seq"])
-    moves = generate.gen_country_updates(today, kind)
+    moves = generate.gen_country_updates(today, kind, sizes.customers)
     renames = generate.gen_rename_updates(today, kind)
     merge_update(moves, lake.name(SOURCE, "customer"), ["id"], ["country"])
-    merge_update(renames, lake.name(SOURCE, "product"), ["product_id"], ["name"])
+    merge_update(renames, lake.name(SOURCE, "product"), ["product_id"], ["name"], cluster_by=PRODUCT_LAYOUT)
 
 
 def seed_sources(lake: Lake, seed_date: str | date, sizes: SeedSizes = SeedSizes()) -> DataFrame:
@@ -118,7 +131,7 @@ def seed_load_test(lake: Lake, sizes: SeedSizes = SeedSizes()) -> None:
     for table, rows, shape, layout in (
         ("customer", customers, schemas.customer_schema, ()),
         ("product", products, schemas.product_schema, PRODUCT_LAYOUT),
-        ("order", generate.gen_load_orders(numbers, kind), schemas.order_schema, ORDER_LAYOUT),
+        ("order", generate.gen_load_orders(numbers, kind, sizes.customers, sizes.products), schemas.order_schema, ORDER_LAYOUT),
         ("order_item", generate.gen_load_items(numbers, kind), schemas.order_item_schema, ITEM_LAYOUT),
     ):
         overwrite_table(rows, lake.name(SOURCE, table), shape(kind), cluster_by=layout)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from orderloom.functions.columns import money, short_service, short_sku
 from orderloom.operators.latest import latest_revision
-from orderloom.operators.pivot import weekly_cells
+from orderloom.operators.pivot import weekly_cells, weekly_pivot
 from orderloom.operators.pricing import price_usage
 from orderloom.operators.report import format_report
 from orderloom.plans import costs as c
@@ -105,9 +105,9 @@ def usage_priced_by_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 )
 def usage_priced_by_day_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same join by the route taken for price lists too long to broadcast."""
+    """The same join over usage that is dealt out by day, as a day's partitions of a usage table would be."""
     prices = t.list_prices(spark, sf_dir)
-    return price_usage(t.usage(spark, sf_dir), prices, broadcast_versions=0).select(
+    return price_usage(t.usage(spark, sf_dir).repartition(F.to_date("usage_end_time")), prices).select(
         "usage_end_time",
         "sku_name",
         F.col("usage_quantity").cast("double").alias("usage_quantity"),
@@ -306,6 +306,42 @@ def cloud_weekly_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weekly_cells(short, "short", "blended_cost_usd", "estimated").withColumn("amount", F.round("amount", 2))
 
 
+@query(
+    t.sql(
+        "SELECT week, label, CAST(ROUND(amount, 4) AS DOUBLE) AS amount, CAST(ROUND(total, 4) AS DOUBLE) AS total FROM ("
+        "SELECT week, sku_short AS label, COALESCE(SUM(usd), 0) AS amount,"
+        " SUM(COALESCE(SUM(usd), 0)) OVER (PARTITION BY week) AS total FROM rows_of_daily GROUP BY 1, 2)",
+        "rows_of_daily",
+    )
+)
+def sku_weekly_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The SKU pivot in long form, each cell with its week's total."""
+    cells = weekly_cells(_report_rows(spark, sf_dir), "sku_short", "usd")
+    totals = cells.groupBy("week").agg(F.sum("amount").alias("total"))
+    return cells.join(totals, "week").select(
+        "week", "label", _exact("amount", 4).alias("amount"), _exact("total", 4).alias("total")
+    )
+
+
+_WIDE = 300
+
+
+@query(
+    "SELECT week AS \"Week\", "
+    + ", ".join(f"SUM(CASE WHEN label = 'p{k}' THEN value ELSE 0 END) AS \"p{k}\"" for k in range(_WIDE))
+    + ', SUM(value) AS "Total" FROM (SELECT strftime(date_trunc(\'week\', CAST(l_shipdate AS DATE)), \'%Y-%m-%d\') AS week,'
+    f" 'p' || (l_orderkey % {_WIDE}) AS label, CAST(l_quantity AS DOUBLE) AS value FROM lineitem) GROUP BY week"
+)
+def wide_weekly_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A pivot with more labels than a screen has columns: quantities by week and order number."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        F.date_format(F.date_trunc("week", "l_shipdate"), "yyyy-MM-dd").alias("week"),
+        F.concat(F.lit("p"), F.col("l_orderkey") % _WIDE).alias("label"),
+        F.col("l_quantity").cast("double").alias("value"),
+    )
+    return weekly_pivot(lines, "label", "value")
+
+
 _BY_SKU = (
     "SELECT sku_name AS \"SKU\", CAST(COALESCE(SUM(total_quantity), 0) AS DOUBLE) AS \"Quantity\","
     " usage_unit AS \"Unit\", CAST(ROUND(COALESCE(SUM(usd), 0), 4) AS DOUBLE) AS \"USD\""

@@ -143,6 +143,27 @@ def date_slice_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read("report", "order_agg")
 
 
+@query(
+    t.sql(
+        "SELECT * REPLACE (CASE WHEN product_id % 5 = 0 AND order_date <> DATE '1998-06-01' THEN product_name || '.1'"
+        f" ELSE product_name END AS product_name) FROM ({_MONTHLY}"
+        f" WHERE (date_trunc('month', order_date) <> DATE '1998-06-01' OR item_seq > 3) {_MONTHLY_GROUP})",
+        "silver",
+    )
+)
+def updated_then_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly gold, renamed by an update merge, then one month replaced: all other months stay whole."""
+    lake = scratch_lake(spark)
+    table, shape = lake.name("report", "order_agg"), schemas.gold_schema(IDS)
+    lines = _by_month(spark, sf_dir)
+    overwrite_table(aggregate_orders(lines), table, shape, partition_by=("order_date",), cluster_by=m.GOLD_LAYOUT)
+    names = lines.select("product_id", F.concat("product_name", F.lit(".1")).alias("product_name")).distinct()
+    merge_update(names.filter("product_id % 5 = 0"), table, ["product_id"], ["product_name"], m.GOLD_LAYOUT)
+    kept = lines.filter((F.col("order_date") == F.lit(date(1998, 6, 1))) & (F.col("item_seq") > 3))
+    replace_slice(aggregate_orders(kept), table, shape, "order_date", date(1998, 6, 1))
+    return lake.read("report", "order_agg")
+
+
 def _dirty_sources(spark: SparkSession, sf_dir: str) -> Lake:
     lake = scratch_lake(spark)
     source = m.SOURCE

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom.functions.columns import as_day, day_offset
+from orderloom.functions.columns import EPOCH_DAY, as_day, day_offset
 from orderloom.schemas import IDS_NARROW
 
 # Sizes of the seed, country rotation and the country bands of the first 500 customers.
@@ -93,13 +93,15 @@ def gen_products(numbers: DataFrame, kind: T.DataType = IDS_NARROW, unit_price:
     return numbers.select(*_product_columns(number, F.concat(F.lit("Product "), number), price, kind))
 
 
-def _order_columns(number: Column, total: Column, day: Column, kind: T.DataType) -> list[Column]:
+def _order_columns(
+    number: Column, total: Column, day: Column, kind: T.DataType, customers: int, products: int
+) -> list[Column]:
     return [
         number.cast(kind).alias("id"),
-        _one_based(number, INITIAL_CUSTOMERS).cast(kind).alias("id_customer"),
+        _one_based(number, customers).cast(kind).alias("id_customer"),
         total.cast("float").alias("total"),
         day.cast("string").alias("date"),
-        (F.pmod(number, F.lit(INITIAL_PRODUCTS)) + 1).cast(kind).alias("product_id"),
+        (F.pmod(number, F.lit(products)) + 1).cast(kind).alias("product_id"),
     ]
 
 
@@ -107,12 +109,18 @@ def _cycling_total(number: Column) -> Column:
     return (F.pmod(number, F.lit(99)) + 1) * 10
 
 
-def gen_orders(numbers: DataFrame, seed_date: str | date, kind: T.DataType = IDS_NARROW) -> DataFrame:
+def gen_orders(
+    numbers: DataFrame,
+    seed_date: str | date,
+    kind: T.DataType = IDS_NARROW,
+    customers: int = INITIAL_CUSTOMERS,
+    products: int = INITIAL_PRODUCTS,
+) -> DataFrame:
     """Backfill orders for an ``id`` relation, spread over the year that ends on ``seed_date``."""
     number = F.col("id")
     back = F.pmod(number, F.lit(BACKFILL_DAYS)).cast("int")
     day = F.date_sub(F.lit(as_day(seed_date)), back)
-    return numbers.select(*_order_columns(number, _cycling_total(number), day, kind))
+    return numbers.select(*_order_columns(number, _cycling_total(number), day, kind, customers, products))
 
 
 def _noise_qty(item: Column) -> Column:
@@ -155,22 +163,37 @@ def day_slots(spark: SparkSession, seed_date: str | date, per_day: int = ORDERS_
     )
 
 
-def _day_number(per_day: int) -> Column:
-    """Order number of a slot: days own disjoint ranges behind the backfill."""
-    return F.lit(INITIAL_ORDERS) + day_offset(F.col("seed_date")).cast("bigint") * per_day + F.col("slot")
+def _day_number(per_day: int, seeded: int) -> Column:
+    """Order number of a slot: days own disjoint ranges behind the ``seeded`` orders."""
+    return F.lit(seeded) + day_offset(F.col("seed_date")).cast("bigint") * per_day + F.col("slot")
+
 
+def day_range(seed_date: str | date, per_day: int = ORDERS_PER_DAY, seeded: int = INITIAL_ORDERS) -> tuple[int, int]:
+    """First and last order number of a day."""
+    first = seeded + (as_day(seed_date) - EPOCH_DAY).days * per_day
+    return first + 1, first + per_day
 
-def gen_day_orders(slots: DataFrame, kind: T.DataType = IDS_NARROW, per_day: int = ORDERS_PER_DAY) -> DataFrame:
-    """Orders of the given days, all dated on their seed date."""
-    numbered = slots.select("seed_date", _day_number(per_day).alias("id"))
+
+def gen_day_orders(
+    slots: DataFrame,
+    kind: T.DataType = IDS_NARROW,
+    per_day: int = ORDERS_PER_DAY,
+    seeded: int = INITIAL_ORDERS,
+    customers: int = INITIAL_CUSTOMERS,
+    products: int = INITIAL_PRODUCTS,
+) -> DataFrame:
+    """Orders of the given days, all dated on their seed date, numbered behind the ``seeded`` ones."""
+    numbered = slots.select("seed_date", _day_number(per_day, seeded).alias("id"))
     number = F.col("id")
-    return numbered.select(*_order_columns(number, _cycling_total(number), F.col("seed_date"), kind))
+    return numbered.select(*_order_columns(number, _cycling_total(number), F.col("seed_date"), kind, customers, products))
 
 
-def gen_day_items(slots: DataFrame, kind: T.DataType = IDS_NARROW, per_day: int = ORDERS_PER_DAY) -> DataFrame:
+def gen_day_items(
+    slots: DataFrame, kind: T.DataType = IDS_NARROW, per_day: int = ORDERS_PER_DAY, seeded: int = INITIAL_ORDERS
+) -> DataFrame:
     """One line for each order of the given days."""
     number = F.col("id")
-    return slots.select(_day_number(per_day).alias("id")).select(
+    return slots.select(_day_number(per_day, seeded).alias("id")).select(
         number.cast(kind).alias("id_order"),
         F.lit(1).cast("int").alias("seq"),
         F.concat(F.lit("Item_incr_"), number).alias("desc_item"),
@@ -195,12 +218,14 @@ def _rotation(days: DataFrame, per_day: int, size: int) -> DataFrame:
     return placed.select("seed_date", "offset", place.alias("number"))
 
 
-def gen_country_updates(days: DataFrame, kind: T.DataType = IDS_NARROW) -> DataFrame:
+def gen_country_updates(
+    days: DataFrame, kind: T.DataType = IDS_NARROW, customers: int = INITIAL_CUSTOMERS
+) -> DataFrame:
     """Customers that move on each day: a rotating block of 50, all to that day's country."""
     number = F.col("number")
     names = F.array(*[F.lit(c) for c in COUNTRY_ROTATION])
     country = F.element_at(names, (F.pmod(F.col("offset"), F.lit(len(COUNTRY_ROTATION))) + 1).cast("int"))
-    return _rotation(days, COUNTRY_UPDATES_PER_DAY, INITIAL_CUSTOMERS).select(
+    return _rotation(days, min(COUNTRY_UPDATES_PER_DAY, customers), customers).select(
         "seed_date",
         number.cast(kind).alias("id"),
         F.concat(F.lit("Customer_"), number).alias("name"),
@@ -223,9 +248,14 @@ def gen_rename_updates(days: DataFrame, kind: T.DataType = IDS_NARROW) -> DataFr
     )
 
 
-def gen_load_orders(numbers: DataFrame, kind: T.DataType = IDS_NARROW) -> DataFrame:
+def gen_load_orders(
+    numbers: DataFrame,
+    kind: T.DataType = IDS_NARROW,
+    customers: int = INITIAL_CUSTOMERS,
+    products: int = INITIAL_PRODUCTS,
+) -> DataFrame:
     """Load-test orders: constant total, one date. Customer decides product, because 100 divides 500."""
-    return numbers.select(*_order_columns(F.col("id"), F.lit(100.0), F.lit("2024-01-01"), kind))
+    return numbers.select(*_order_columns(F.col("id"), F.lit(100.0), F.lit("2024-01-01"), kind, customers, products))
 
 
 def gen_load_items(order_numbers: DataFrame, kind: T.DataType = IDS_NARROW) -> DataFrame:

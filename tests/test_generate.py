@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from orderloom import schemas
+from orderloom.plans import medallion as m
 from orderloom.sources import generate as g
 
 
@@ -90,3 +91,16 @@ def test_first_day_renames_end_in_one(spark):
 def test_days_before_the_epoch_are_rejected(spark):
     with pytest.raises(Exception, match="seed dates start"):
         g.gen_day_orders(g.day_slots(spark, "2023-12-31")).collect()
+
+
+def test_days_follow_the_seed_whatever_its_size(spark, lake):
+    """A day's ids start behind the seeded orders, so a larger seed plus a day grows by exactly a day."""
+    sizes = m.SeedSizes(customers=1000, products=50, orders=2400, per_day=10)
+    m.seed_sources(lake, "2024-01-02", sizes)
+    order = lake.read(m.SOURCE, "order")
+    assert order.agg(F.max("id_customer"), F.max("product_id")).first() == (1000, 50)
+    m.seed_sources(lake, "2024-01-03", sizes)
+    m.seed_sources(lake, "2024-01-03", sizes)
+    assert lake.read(m.SOURCE, "order").count() == 2410
+    with pytest.raises(m.ForeignIds):
+        m.seed_day(lake, "2024-01-03", m.SeedSizes(customers=1000, products=50, orders=2000, per_day=10))

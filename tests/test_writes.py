@@ -175,3 +175,26 @@ def test_heavy_key_of_equal_rows_spreads_over_files(spark, table):
 def test_heavy_partition_spreads_over_tasks(spark):
     sizes = sizes_of(w.by_partition(same_rows(spark), ["k"], []))
     assert sum(sizes) == 40_000 and max(sizes) < 20_000
+
+
+def test_slice_of_an_unpartitioned_table_is_refused(spark, lake):
+    table = lake.name("raw", "flat")
+    rows = spark.createDataFrame([(k, k % 2 and "a" or "b", k) for k in range(10)], "v int, day string, k int")
+    w.overwrite_table(rows, table, rows.schema)
+    with pytest.raises(w.NotASlice):
+        w.replace_slice(rows.filter("day = 'a'"), table, rows.schema, "day", "a")
+    assert spark.table(table).count() == 10
+
+
+def test_update_keeps_the_partitioning(spark, lake):
+    table = lake.name("raw", "parted")
+    rows = spark.createDataFrame([(k, k % 2 and "a" or "b", k) for k in range(10)], "v int, day string, k int")
+    rows = rows.select("v", "k", "day")
+    w.overwrite_table(rows, table, rows.schema, partition_by=["day"])
+    w.merge_update(rows.selectExpr("k", "-1 AS v").filter("k = 3"), table, ["k"], ["v"])
+    assert w.partition_columns(spark, table) == ["day"]
+    w.replace_slice(rows.filter("day = 'b'"), table, rows.schema, "day", "b")
+    assert spark.table(table).count() == 10
+    assert spark.table(table).filter("v = -1").count() == 1
+    with pytest.raises(w.PartitioningChanged):
+        w.overwrite_table(rows, table, rows.schema, partition_by=["k"])

@@ -40,6 +40,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     lake = Lake(tune(spark), "load_").create()
     offsets = scratch_path(spark, "offsets")
+    sizes = m.SeedSizes(orders=orders)
     seconds: dict[str, float] = {}
 
     def step(name: str, work) -> None:
@@ -47,17 +48,17 @@ def main() -> None:
         work()
         seconds[name] = round(time.perf_counter() - start, 1)
 
-    step("seed", lambda: m.seed_load_test(lake, m.SeedSizes(orders=orders)))
+    step("seed", lambda: m.seed_load_test(lake, sizes))
     step("bronze_dimensions", lambda: m.load_bronze_dimensions(lake))
     step("bronze_orders", lambda: m.load_bronze_orders(lake))
     step("silver", lambda: m.load_silver(lake, "2024-01-01"))
     step("gold", lambda: m.load_gold(lake, "2024-01-01"))
     step("stream_refresh", lambda: freeze.refresh(lake, offsets))
-    check_load_test(lake, m.SeedSizes(orders=orders))
-    step("next_day_seed", lambda: m.seed_day(lake, "2024-01-02"))
+    check_load_test(lake, sizes)
+    step("next_day_seed", lambda: m.seed_day(lake, "2024-01-02", sizes))
     step("next_day_batch", lambda: m.run_day(lake, "2024-01-02"))
     step("next_day_stream", lambda: freeze.refresh(lake, offsets))
-    step("day_after_seed", lambda: m.seed_day(lake, "2024-01-03"))
+    step("day_after_seed", lambda: m.seed_day(lake, "2024-01-03", sizes))
     step("items_to_incremental", lambda: m.load_bronze_items(lake, offsets))
     step("day_after_batch_incremental", lambda: m.run_day(lake, "2024-01-03", checkpoints=offsets))
     print(json.dumps({"orders": orders, "items": orders * 3, "seconds": seconds}))
