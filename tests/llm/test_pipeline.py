@@ -1,5 +1,6 @@
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 from tokenizers import Tokenizer
@@ -19,6 +20,18 @@ def test_registered():
     assert set(ORACLE_SQL) <= set(QUERIES)
 
 
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_against_sql(spark, name):
+    con = duckdb.connect()
+    for table in ("documents", "conversations"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
+    got = QUERIES[name](spark, SF_DIR)
+    found = con.execute(ORACLE_SQL[name])
+    names = [c[0] for c in found.description]
+    assert sorted(names) == sorted(got.columns)
+    assert sorted(map(tuple, got.select(*names).collect())) == sorted(found.fetchall())
+
+
 def test_stages_keep_the_columns_and_take_effect(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     kept = docs
