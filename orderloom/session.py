@@ -6,7 +6,6 @@ the folder the cluster names in ``spark.checkpoint.dir``, so a lost executor nev
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -24,8 +23,6 @@ ADAPTIVE = {
 
 SCRATCH_DATABASE = "orderloom_scratch"
 
-_local_scratch: dict[str, str] = {}
-
 
 def tune(spark: SparkSession) -> SparkSession:
     """Turn on the adaptive settings for this session; everything else stays the caller's."""
@@ -36,17 +33,29 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder from ``spark.checkpoint.dir``; a temporary one only on a local master."""
+    """The shared folder from ``spark.checkpoint.dir``; on a local master without it, one in the warehouse."""
     context = spark.sparkContext
     shared = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/") + "/orderloom"
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    app = context.applicationId
-    if app not in _local_scratch:
-        _local_scratch[app] = tempfile.mkdtemp(prefix="orderloom-")
-    return _local_scratch[app]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + f"/orderloom-scratch-{context.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Drop what this package staged: databases and files under the scratch folder.
+
+    Results that are still to be read from there are lost, so this is the last step of a session.
+    """
+    root = scratch_root(spark)
+    place = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    inside = files.makeQualified(place).toUri().getPath().rstrip("/") + "/"
+    for database in spark.catalog.listDatabases():
+        if inside in database.locationUri + "/":
+            spark.sql(f"DROP DATABASE IF EXISTS `{database.name}` CASCADE")
+    files.delete(place, True)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

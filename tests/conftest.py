@@ -9,7 +9,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import SparkSession
 
 from orderloom import schemas
-from orderloom.session import scratch_path, tune
+from orderloom.session import clear_scratch, scratch_path, tune
 from orderloom.sources.tables import Lake
 
 
@@ -28,6 +28,7 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     yield tune(session)
+    clear_scratch(session)
     session.stop()
 
 
