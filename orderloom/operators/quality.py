@@ -39,16 +39,21 @@ def rule_max(column: str, limit: float, level: str = WARN) -> Rule:
 
 
 def rule_not_empty(
-    columns: Sequence[str], level: str = ERROR, metadata: Mapping[str, str] | None = None
+    columns: Sequence[str], level: str = ERROR, metadata: Mapping[str, str] | None = None, trim: bool = True
 ) -> list[Rule]:
-    """One rule per column: neither NULL nor blank."""
+    """One rule per column: neither NULL nor empty; with ``trim`` blanks alone count as empty."""
+
+    def empty(column: str) -> Column:
+        text = F.col(column).cast("string")
+        return F.col(column).isNull() | ((F.trim(text) if trim else text) == "")
+
     return [
         Rule(
             name=f"{column}_is_null_or_empty",
             level=level,
             columns=(column,),
             message=f"{column} is null or empty",
-            violated=lambda column=column: F.col(column).isNull() | (F.trim(F.col(column).cast("string")) == ""),
+            violated=lambda column=column: empty(column),
             metadata=metadata,
         )
         for column in columns

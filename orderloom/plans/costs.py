@@ -178,8 +178,8 @@ def sku_weekly_pivot(report_rows: DataFrame) -> DataFrame:
     return weekly_pivot(report_rows, "sku_short", "usd")
 
 
-def spend_by_sku(report_rows: DataFrame) -> DataFrame:
-    """Quantity, unit and USD per SKU, most expensive first; a SKU without any price costs 0."""
+def sku_totals(report_rows: DataFrame) -> DataFrame:
+    """Quantity, unit and USD per SKU; a SKU without any price costs 0."""
     return (
         report_rows.groupBy(F.col("sku_name").alias("SKU"), F.col("usage_unit").alias("Unit"))
         .agg(
@@ -187,10 +187,14 @@ def spend_by_sku(report_rows: DataFrame) -> DataFrame:
             F.coalesce(F.sum("usd"), F.lit(0)).alias("USD"),
         )
         .select("SKU", "Quantity", "Unit", "USD")
-        .orderBy(F.col("USD").desc())
     )
 
 
+def spend_by_sku(report_rows: DataFrame) -> DataFrame:
+    """The SKU totals, most expensive first."""
+    return sku_totals(report_rows).orderBy(F.col("USD").desc())
+
+
 def spend_by_service(cloud: DataFrame) -> DataFrame:
     return cloud.groupBy(F.col("service").alias("Service")).agg(
         F.coalesce(F.sum("blended_cost_usd"), F.lit(0)).alias("USD")
@@ -219,7 +223,7 @@ def combined_totals(
         )
     if report_rows is not None:
         parts.append(
-            spend_by_sku(report_rows).select(
+            sku_totals(report_rows).select(
                 F.lit(platform_label).alias("Cloud"),
                 F.col("SKU").alias("Service"),
                 quantity.alias("Quantity"),
