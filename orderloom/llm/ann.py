@@ -227,11 +227,10 @@ def search(
             )
 
     bins = asked.select("_id", "_vec").mapInArrow(walk, "query long, qvec array<double>, leaf long, chunk int")
-    sizes = F.lit(1)
-    for leaf, many in chunks.items():
-        if many > 1:
-            sizes = F.when(F.col("_leaf") == leaf, F.lit(many)).otherwise(sizes)
-    filed = indexed.select(F.col("_leaf").alias("leaf"), F.pmod(F.hash("_id", F.lit(19)), sizes).alias("chunk"), "_id", "_vec")
+    sizes = vectors.sparkSession.createDataFrame(list(chunks.items()) or [(-1, 1)], "leaf long, _chunks int")
+    filed = indexed.join(F.broadcast(sizes), F.col("_leaf") == F.col("leaf")).select(
+        "leaf", F.pmod(F.hash("_id", F.lit(19)), F.col("_chunks")).alias("chunk"), "_id", "_vec"
+    )
 
     def compare(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         found = [np.zeros((0,)) for _ in range(3)]

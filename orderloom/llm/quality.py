@@ -369,7 +369,9 @@ def fit(
     lists = mine(labelled)
 
     part = min(1.0, training_rows / max(1, n))
-    taken = F.pmod(F.xxhash64("_id", F.length("_whole"), F.lit(11)), F.lit(1_000_000)) < int(part * 1_000_000)
+    # by the place in the input, so rows that repeat an id or a text are drawn one by one
+    place = F.xxhash64(F.monotonically_increasing_id(), F.lit(11))
+    taken = F.pmod(place, F.lit(1_000_000)) < int(part * 1_000_000)
     voted = staged_once(_voted(whole.withColumn("_taken", taken), lists), "votes")
     opinion = F.concat(
         F.col("_votes"),
@@ -384,7 +386,7 @@ def fit(
     many = np.asarray([r["count"] for r in counts], dtype=float)
     junk_at = [*range(JUNK_LABELLERS), JUNK_LABELLERS + TOXIC_LABELLERS]
     toxic_at = [*range(JUNK_LABELLERS, JUNK_LABELLERS + TOXIC_LABELLERS), JUNK_LABELLERS + TOXIC_LABELLERS + 1]
-    rows = joined.where("_slots is not null").select("_pattern", "_shapes", "_slots").toArrow()
+    rows = joined.where("_slots is not null").select("_pattern", "_shapes", "_slots").limit(2 * training_rows).toArrow()
     cast = np.asarray([[int(v) for v in p] for p in rows.column(0).to_pylist()]).reshape(-1, patterns.shape[1])
 
     def scorer(at: list[int], column: int) -> Scorer:
