@@ -48,6 +48,9 @@ def dq_invalid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_quarantine(q.invalid_rows(annotated(spark, sf_dir)))
 
 
+_METADATA_SQL = "'" + ",".join(f"{key}={value}" for key, value in sorted(q.COMPLETENESS.items())) + "'"
+
+
 @query(
     t.sql(
         "SELECT id, 'id_is_null_or_empty' AS name, 'error' AS level FROM checked WHERE no_id"
@@ -61,6 +64,36 @@ def dq_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.issues(q.invalid_rows(annotated(spark, sf_dir)), "id")
 
 
+@query(
+    t.sql(
+        "SELECT id, 'id_is_null_or_empty' AS name, 'id is null or empty' AS message, 'id' AS columns, "
+        + _METADATA_SQL
+        + " AS metadata FROM checked WHERE no_id"
+        " UNION ALL SELECT id, 'id_customer_is_null_or_empty', 'id_customer is null or empty', 'id_customer', "
+        + _METADATA_SQL
+        + " FROM checked WHERE no_customer"
+        " UNION ALL SELECT id, 'id_is_not_unique', '(id) occurs more than once', 'id', '' FROM checked WHERE repeated"
+        f" UNION ALL SELECT id, 'total_greater_than_limit', 'total is greater than {t.DIRTY_LIMIT}', 'total', ''"
+        " FROM checked WHERE over_limit",
+        "checked",
+    )
+)
+def dq_issue_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything an issue carries: message, columns and metadata, as text."""
+    invalid = q.invalid_rows(annotated(spark, sf_dir))
+    none = F.array().cast(q.ISSUE)
+    both = F.concat(F.coalesce("_errors", none), F.coalesce("_warnings", none))
+    one = invalid.select("id", F.explode(both).alias("i"))
+    pairs = F.transform(F.array_sort(F.map_entries("i.metadata")), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return one.select(
+        "id",
+        F.col("i.name").alias("name"),
+        F.col("i.message").alias("message"),
+        F.concat_ws(",", "i.columns").alias("columns"),
+        F.coalesce(F.concat_ws(",", pairs), F.lit("")).alias("metadata"),
+    )
+
+
 _COUNTS = f"COUNT(*) FILTER (NOT {_ERROR}) AS valid, COUNT(*) FILTER ({_ERROR} OR over_limit) AS invalid"
 
 

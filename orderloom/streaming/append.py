@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -27,6 +28,8 @@ def _known_offsets(lake: Lake, table: str) -> str | None:
 def _offsets_of(lake: Lake, table: str, schema: T.StructType, checkpoints: str) -> str:
     known = _known_offsets(lake, table)
     if known:
+        if known.rpartition("/")[0] != checkpoints.rstrip("/"):
+            warnings.warn(f"{table} goes on from {known}, not from {checkpoints}", stacklevel=3)
         return known
     folder = f"{checkpoints.rstrip('/')}/{uuid.uuid4().hex}"
     ensure_table(lake.spark, table, schema)
