@@ -20,10 +20,21 @@ from pyspark.sql import types as T
 
 from orderloom.llm.common import prepare, whole_text
 
-#: Masks over twelve words, seven of which must agree. Items shorter than that are sought word for word,
-#: and items of fewer words than a shingle are too short to tell a leak by.
-MASKS = ("111001001011", "110100110101", "101011010011", "110010101101")
-#: A leak agrees in this share of the words of a window this long (or of the whole item, if shorter).
+#: Masks by the width of the window that must agree, chosen by enumeration: whatever words of such a window
+#: differ, as long as ``SHARE`` of them agree, some mask fits on agreeing words at some place of it.
+MASKS = {
+    5: ("1111", "10111", "11101", "11011"),
+    6: ("11101", "10111"),
+    7: ("111101", "101111", "110111"),
+    8: ("1111011", "111111", "1101111"),
+    9: ("1101111", "11111001"),
+    10: ("110111", "11001011", "101010011"),
+    11: ("1101111", "111100011", "1100011011"),
+    12: ("11010111", "11101000011", "1100011011"),
+    13: ("111101011", "11001001111", "110001110011"),
+}
+#: A leak agrees in this share of the words of a window this long (or of the whole item, if shorter); items
+#: of fewer words than the least are too short to tell a leak by.
 WINDOW_WORDS = 13
 LEAST_WORDS = 5
 SHARE = 0.8
@@ -31,7 +42,7 @@ SHARE = 0.8
 #: Characters of test items in one block; more items take more passes.
 BLOCK_CHARS = 4_000_000
 REMEMBERED_WORDS = 400_000
-_FILTER_BITS = 22
+_FILTER_BITS = 22  # at most
 _GAP = 64
 
 
@@ -82,26 +93,27 @@ class TestItems:
         words = WordHashes()
         self.ids = [x for x, _ in items]
         self.words = [word_hashes(words, text) for _, text in items]
-        span, by_mask = len(MASKS[0]), defaultdict(list)
+        by_mask = defaultdict(list)
         for number, item in enumerate(self.words):
-            masks = MASKS if len(item) >= span else ("1" * len(item),) * (len(item) >= LEAST_WORDS)
-            for mask in masks:
+            for mask in MASKS[min(WINDOW_WORDS, len(item))] if len(item) >= LEAST_WORDS else ():
                 hashes = _seed_hash(item, mask)
-                by_mask[mask].append((hashes, np.full(len(hashes), number), np.arange(len(hashes))))
+                places = np.arange(len(hashes), dtype=np.int32)
+                by_mask[mask].append((hashes, np.full(len(hashes), number, np.int32), places))
         self.seeds = {}
         for mask, parts in by_mask.items():
             hashes, number, at = (np.concatenate(x) for x in zip(*parts, strict=True))
             order = np.argsort(hashes, kind="stable")
-            present = np.zeros(1 << _FILTER_BITS, bool)
-            present[hashes >> np.uint64(64 - _FILTER_BITS)] = True
-            self.seeds[mask] = (hashes[order], number[order], at[order], present)
+            bits = min(_FILTER_BITS, 6 + len(hashes).bit_length())
+            present = np.zeros(1 << bits, bool)
+            present[hashes >> np.uint64(64 - bits)] = True
+            self.seeds[mask] = (hashes[order], number[order], at[order], present, np.uint64(64 - bits))
 
     def hits(self, stream: np.ndarray) -> np.ndarray:
         """Distinct (start of the item on the stream, item) over all masks."""
         found = [np.zeros((0, 2), np.int64)]
-        for mask, (hashes, number, at, present) in self.seeds.items():
+        for mask, (hashes, number, at, present, shift) in self.seeds.items():
             made = _seed_hash(stream, mask)
-            likely = np.flatnonzero(present[made >> np.uint64(64 - _FILTER_BITS)])
+            likely = np.flatnonzero(present[made >> shift])
             low = np.searchsorted(hashes, made[likely], side="left")
             many = np.searchsorted(hashes, made[likely], side="right") - low
             spots = np.repeat(likely, many)

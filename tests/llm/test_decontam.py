@@ -1,5 +1,7 @@
+import itertools
 import random
 
+import pytest
 from pyspark.sql import types as T
 
 from orderloom.llm import decontam
@@ -84,3 +86,32 @@ def test_odd_rows_and_empty_tables(spark, documents):
     assert decontam.find_leaks(docs, items(spark, [])).count() == 0
     assert decontam.find_leaks(documents([]), tests).count() == 0
     assert decontam.decontaminated(documents([]), tests).count() == 0
+
+
+@pytest.mark.parametrize("width", range(decontam.LEAST_WORDS, decontam.WINDOW_WORDS + 1))
+def test_every_accepted_substitution_is_found(width):
+    """All patterns of changed words that still agree in four fifths of a window, for each width of it."""
+    item = [f"w{k}" for k in range(width)]
+    most = max(k for k in range(width) if width - k >= decontam.SHARE * width)
+    texts = []
+    for k in range(most + 1):
+        for changed in itertools.combinations(range(width), k):
+            texts.append(" ".join(["before", *("x" if j in changed else w for j, w in enumerate(item)), "after"]))
+    block = decontam.TestItems([(1, " ".join(item))])
+    found = {row for row, *_ in block.leaks(texts, decontam.WordHashes())}
+    assert found == set(range(len(texts)))
+    over = " ".join("x" if j <= most else w for j, w in enumerate(item))
+    assert not list(block.leaks([over], decontam.WordHashes()))
+
+
+def test_three_and_four_changed_words_of_fifteen():
+    item = [f"w{k}" for k in range(15)]
+    texts, wanted = [], set()
+    for k in (3, 4):
+        for changed in itertools.combinations(range(15), k):
+            if any(sum(a <= j < a + 13 for j in changed) <= 2 for a in range(3)):
+                wanted.add(len(texts))
+            texts.append(" ".join("x" if j in changed else w for j, w in enumerate(item)))
+    block = decontam.TestItems([(1, " ".join(item))])
+    assert {row for row, *_ in block.leaks(texts, decontam.WordHashes())} == wanted
+    assert wanted
