@@ -108,9 +108,12 @@ class TestItems:
             present[hashes >> np.uint64(64 - bits)] = True
             self.seeds[mask] = (hashes[order], number[order], at[order], present, np.uint64(64 - bits))
 
-    def hits(self, stream: np.ndarray) -> np.ndarray:
-        """Distinct (start of the item on the stream, item) over all masks."""
-        found = [np.zeros((0, 2), np.int64)]
+    def hits(self, stream: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Distinct (row, start of the item in the row's text, item) over all masks; ``starts`` are the rows'.
+
+        The row is that of the words that hit: a mask begins and ends on agreeing words, and gaps agree with none.
+        """
+        found = [np.zeros((0, 3), np.int64)]
         for mask, (hashes, number, at, present, shift) in self.seeds.items():
             made = _seed_hash(stream, mask)
             likely = np.flatnonzero(present[made >> shift])
@@ -118,7 +121,8 @@ class TestItems:
             many = np.searchsorted(hashes, made[likely], side="right") - low
             spots = np.repeat(likely, many)
             entry = np.repeat(low, many) + np.arange(len(spots)) - np.repeat(np.cumsum(many) - many, many)
-            found.append(np.unique(np.stack((spots - at[entry], number[entry]), axis=1), axis=0))
+            rows = np.searchsorted(starts, spots, side="right") - 1
+            found.append(np.unique(np.stack((rows, spots - starts[rows] - at[entry], number[entry]), axis=1), axis=0))
         return np.unique(np.concatenate(found), axis=0)
 
     def verified(self, text: np.ndarray, start: int, number: int) -> tuple[int, int, int] | None:
@@ -143,13 +147,9 @@ class TestItems:
         starts = np.cumsum([0] + [len(x) + _GAP for x in arrays])
         stream = np.concatenate([y for x in arrays for y in (x, gap)]) if arrays else np.zeros(0, np.uint64)
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for at, number in self.hits(stream).tolist():
-            # an alignment may begin before its text: the row is that of the item's middle or so
-            middle = at + len(self.words[number]) // 2
-            for row in {int(np.searchsorted(starts, x, side="right")) - 1 for x in (at, middle, at + len(self.words[number]) - 1)}:
-                if 0 <= row < len(arrays) and (seen := self.verified(arrays[row], at - int(starts[row]), number)):
-                    if seen[1:] > best.get((row, number), (0, 0, 0))[1:]:
-                        best[row, number] = seen
+        for row, at, number in self.hits(stream, starts).tolist():
+            if (seen := self.verified(arrays[row], at, number)) and seen[1:] > best.get((row, number), (0, 0, 0))[1:]:
+                best[row, number] = seen
         for (row, number), seen in sorted(best.items()):
             yield row, number, *seen
 

@@ -115,3 +115,18 @@ def test_three_and_four_changed_words_of_fifteen():
     block = decontam.TestItems([(1, " ".join(item))])
     assert {row for row, *_ in block.leaks(texts, decontam.WordHashes())} == wanted
     assert wanted
+
+
+def test_short_documents_quote_parts_of_a_long_item(spark, documents):
+    """Each document is a few words of an item hundreds of words long, alone or between other documents."""
+    item = [f"w{k}" for k in range(700)]
+    quotes = [" ".join(item[at : at + 13 + at % 3]) for at in range(0, 680, 23)]
+    block = decontam.TestItems([(1, " ".join(item))])
+    for text in quotes:
+        assert [found[:2] for found in block.leaks([text], decontam.WordHashes())] == [(0, 0)]
+    docs = documents([row for k, t in enumerate(quotes) for row in ((k, t), (1000 + k, f"other {k}"), (2000 + k, None))])
+    tests = items(spark, [(1, " ".join(item))])
+    got = sorted(r.doc_id for r in decontam.find_leaks(docs, tests).collect())
+    assert got == list(range(len(quotes)))
+    kept = {r.doc_id for r in decontam.decontaminated(docs, tests).collect()}
+    assert kept == {x + k for k in range(len(quotes)) for x in (1000, 2000)}
