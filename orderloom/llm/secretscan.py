@@ -7,7 +7,7 @@ and only these are searched with the rule's expression. Rules without mandatory
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,13 +19,17 @@ from orderloom.llm.trigrams import query_of
 
 @dataclass(frozen=True)
 class Rule:
-    """``least``: characters that ``group`` of a match must have; shorter matches are dropped, not retried."""
+    """``least``: characters that ``group`` of a match must have; shorter matches are dropped, not retried.
+
+    ``whole`` matches all that is secret where ``pattern``, which the scan reports, is only where it begins.
+    """
 
     name: str
     pattern: str
     group: int = 0
     least: int = 0
     base: bool = False
+    whole: str | None = None
 
 
 # The kinds of the scan's contract, then public credential formats. Runs that are too short
@@ -45,8 +49,18 @@ RULES = (
     Rule("google", r"\bAIza[0-9A-Za-z_-]{35}"),
     Rule("stripe", r"\b[rs]k_live_[0-9A-Za-z]{16,250}"),
     Rule("jwt", r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
+    # to the END line, or without one (before any other line of dashes) to the end of the base64 lines
+    Rule(
+        "pem",
+        r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----",
+        whole=r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"
+        r"(?:[^-]*+(?:-(?!----)[^-]*+)*+-----END [A-Z ]{0,40}PRIVATE KEY-----"
+        r"|(?:(?:\s|\\[rn])*+(?:Proc-Type|DEK-Info):\x20[^\s\\]++)*+"
+        r"(?:(?:\s|\\[rn])*+[A-Za-z0-9+/]{16,}+={0,2})*+"
+        r"(?:(?:\r?\n|(?:\\r)?\\n)[\x20\t]*+[A-Za-z0-9+/]++={0,2}(?=[\x20\t]*+(?:[\r\n\\\"']|\Z)))?+)",
+    ),
 )
+MASKED = tuple(replace(r, pattern=r.whole) if r.whole else r for r in RULES)
 MARK = "[SECRET]"
 
 
@@ -143,7 +157,7 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 def masked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs``, all columns, with every secret in the text replaced by a mark; a null text stays null."""
-    found = staged_once(scan(docs, id_col, text_col).where(F.size("_spans") > 0), "secrets").dropDuplicates(["_k1", "_k2"])
+    found = staged_once(scan(docs, id_col, text_col, MASKED).where(F.size("_spans") > 0), "secrets").dropDuplicates(["_k1", "_k2"])
     found = found.select(*[F.col(c).alias(f"__llm{c}") for c in ("_k1", "_k2", "_spans")])
     text = F.coalesce(F.col(text_col), F.lit(""))
     key1, key2 = F.xxhash64(F.col(id_col), text), F.xxhash64(text, F.lit(1), F.col(id_col))
