@@ -175,6 +175,35 @@ def test_trees_add_what_looks_like_personal_data(spark, documents):
     assert sum("phone:" in got[9000 + k] for k in range(20)) in (0, 20)
 
 
+def test_trees_add_other_formats(spark, documents):
+    """All phones without the plus sign and all obfuscated addresses are added, with exact spans; look-alikes are not."""
+    draw = random.Random(10)
+
+    def number():
+        return f"({draw.randint(200, 999)}) 555-{draw.randint(1000, 9999)}"
+
+    rows = []
+    for k in range(700):
+        item = f"item {draw.randint(10, 99)} {draw.randint(100, 999)} {draw.randint(100, 999)} sold"
+        rows.append((k, f"please call +1 {number()} now" if k % 2 else item))
+        rows.append((1000 + k, f"from a.b{k}@mail{k % 7}.example.com here" if k % 2 else f"we sat{k} (at) noon. then left"))
+    wanted = {}
+    for k in range(20):
+        for at, kind, found in (
+            (9000, "phone", f"1 {number()}"),
+            (9100, "phone", number()),
+            (9200, "email", f"c{k} (at) host{k} (dot) org"),
+            (9300, "email", f"c.d{k}[at]host{k}[dot]example[dot]org"),
+        ):
+            start = "please call " if kind == "phone" else "from "
+            rows.append((at + k, f"{start}{found} now"))
+            wanted[at + k] = f"{kind}:{len(start)}:{len(start) + len(found)}"
+    got = {r.doc_id: r.spans for r in pii.report(documents(rows)).collect()}
+    assert {k: v for k, v in got.items() if k >= 9000} == wanted
+    assert not any(got[k] for k in range(0, 700, 2))
+    assert not any(got[1000 + k] for k in range(0, 700, 2))
+
+
 def test_long_runs_take_linear_time(spark, documents):
     rows = [(1, "a" * 200_000), (2, "1" * 200_000), (3, "+1" + " " * 200_000), (4, "a@" + "b." * 50_000), (5, "9.9.9.9 " * 5000)]
     got = {r.doc_id: r for r in pii.report(documents(rows)).collect()}
