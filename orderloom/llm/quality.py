@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from orderloom.llm.common import prepare, staged_once
 
 #: Bounds of the samples that models are fitted on: labelled rows for the mined word lists, and rows with
-#: posteriors for the scorers. Corpus statistics (vote patterns) are counted over all documents.
+#: posteriors for the scorers, bad ones first. Corpus statistics (vote patterns) are counted over all documents.
 MINING_ROWS = 20_000
 TRAINING_ROWS = 8_000
 
@@ -253,10 +253,18 @@ class Scorer:
         return 1 / (1 + float(np.exp(-np.clip(self.base + self.weights[slots].sum(), -30, 30))))
 
 
-def train(rows: list[np.ndarray], target: np.ndarray, penalty: float = 3e-4, rounds: int = 150) -> Scorer:
+def train(
+    rows: list[np.ndarray],
+    target: np.ndarray,
+    penalty: float = 3e-4,
+    rounds: int = 150,
+    weight: np.ndarray | None = None,
+) -> Scorer:
     """L1-penalised logistic regression on soft targets, by accelerated proximal gradient steps.
 
     A fifth of the rows is held out; the threshold is where scores of the held-out rows separate best.
+    ``weight``: how many documents a row stands for. Weights of features are learnt from the rows as drawn;
+    the base is moved to the true share of bad documents, and the threshold counts documents.
     """
     if not len(rows):
         return Scorer(-30.0, np.zeros(DIMENSIONS, np.float32), 0.5)
@@ -285,13 +293,17 @@ def train(rows: list[np.ndarray], target: np.ndarray, penalty: float = 3e-4, rou
         v, w, momentum = new + (momentum - 1) / after * (new - w), new, after
     scores = 1 / (1 + np.exp(-np.clip(logits(w, base), -30, 30)))
     pick = held if held.any() else learn
+    weight = np.ones(len(rows)) if weight is None else weight
     truth, mine_scores = target[pick] > 0.5, scores[pick]
     best, threshold = -1.0, 0.5
     for t in np.linspace(0.1, 0.9, 33):
-        right = (mine_scores > t) == truth
-        gain = right.mean() - 0.0001 * abs(t - 0.5)
+        right = np.average((mine_scores > t) == truth, weights=weight[pick])
+        gain = right - 0.0001 * abs(t - 0.5)
         if gain > best:
             best, threshold = gain, float(t)
+    drawn, true = (np.clip(np.average(target, weights=x), 1e-6, 1 - 1e-6) for x in (None, weight))
+    shift = float(np.log(true) - np.log1p(-true) - np.log(drawn) + np.log1p(-drawn))
+    base, threshold = base + shift, 1 / (1 + (1 / threshold - 1) * float(np.exp(-shift)))
     weights = np.zeros(DIMENSIONS, np.float32)
     weights[used] = w * scale
     return Scorer(float(base), weights, threshold)
@@ -308,30 +320,50 @@ class Models:
 
 
 def _voted(docs: DataFrame, lists: WordLists) -> DataFrame:
-    """(_id, votes as digits) of every row of (_id, _whole, _taken); hashed features too where ``_taken``."""
+    """(_id, _key, _draw, votes as digits) of every row of (_id, _key, _draw, _whole)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = WordSlots()
         for batch in batches:
-            votes, shapes, slots = [], [], []
-            for text, taken in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            votes = []
+            for text in batch.column(3).to_pylist():
                 words, low = (text or "").split(), (text or "").lower().split()
-                s = shape(words, text or "")
-                votes.append("".join(map(str, junk_votes(s) + toxic_votes(low, lists))))
-                shapes.append(shape_slots(s) if taken else None)
-                slots.append(sorted(word_slots(low, memory)) if taken else None)
+                votes.append("".join(map(str, junk_votes(shape(words, text or "")) + toxic_votes(low, lists))))
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(votes, type=pa.string()),
-                    pa.array(shapes, type=pa.list_(pa.int32())),
-                    pa.array(slots, type=pa.list_(pa.int32())),
-                ],
-                names=["_id", "_votes", "_shapes", "_slots"],
+                [*batch.columns[:3], pa.array(votes, type=pa.string())], names=["_id", "_key", "_draw", "_votes"]
             )
 
     kind = docs.schema["_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"_id {kind}, _votes string, _shapes array<int>, _slots array<int>")
+    return docs.select("_id", "_key", "_draw", "_whole").mapInArrow(run, f"_id {kind}, _key long, _draw int, _votes string")
+
+
+def _featured(rows: DataFrame) -> DataFrame:
+    """(_pattern, _n, hashed features) of rows (_pattern, _n, _whole)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory = WordSlots()
+        for batch in batches:
+            shapes, slots = [], []
+            for text in batch.column(2).to_pylist():
+                shapes.append(shape_slots(shape((text or "").split(), text or "")))
+                slots.append(sorted(word_slots((text or "").lower().split(), memory)))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], *(pa.array(x, type=pa.list_(pa.int32())) for x in (shapes, slots))],
+                names=["_pattern", "_n", "_shapes", "_slots"],
+            )
+
+    rows = rows.select("_pattern", "_n", "_whole")
+    return rows.mapInArrow(run, "_pattern string, _n long, _shapes array<int>, _slots array<int>")
+
+
+def draw_rates(classes: np.ndarray, many: np.ndarray, training_rows: int) -> np.ndarray:
+    """Share of the documents to draw for each pattern: a quarter of the rows for each rare bad class, if it has so many.
+
+    ``classes``: 2 for toxic, 1 for junk, 0 for other patterns; ``many``: how often each pattern occurs.
+    """
+    total = np.asarray([many[classes == c].sum() for c in range(3)])
+    wanted = np.minimum(total, np.maximum(training_rows / 4, training_rows * total / max(1, total.sum())))
+    wanted[0] = min(total[0], max(training_rows / 4, training_rows - wanted[1:].sum()))
+    return np.minimum(1.0, wanted / np.maximum(1, total))[classes]
 
 
 JUNK_LABELLERS, TOXIC_LABELLERS = 7, 4
@@ -350,7 +382,6 @@ def fit(
     Labels of a null id or of an unknown document have no effect; of repeated labels the worse counts.
     """
     spark = prepare(docs.sparkSession)
-    n = docs.count()
     if labels is None:
         labels = spark.createDataFrame([], f"{id_col} {docs.schema[id_col].dataType.simpleString()}, quality int, toxic int")
     labels = (
@@ -368,11 +399,10 @@ def fit(
     )
     lists = mine(labelled)
 
-    part = min(1.0, training_rows / max(1, n))
     # by the place in the input, so rows that repeat an id or a text are drawn one by one
     place = F.xxhash64(F.monotonically_increasing_id(), F.lit(11))
-    taken = F.pmod(place, F.lit(1_000_000)) < int(part * 1_000_000)
-    voted = staged_once(_voted(whole.withColumn("_taken", taken), lists), "votes")
+    keyed = whole.withColumn("_key", F.xxhash64("_id", "_whole", F.lit(7)))
+    voted = staged_once(_voted(keyed.withColumn("_draw", F.pmod(place, F.lit(1_000_000)).cast("int")), lists), "votes")
     opinion = F.concat(
         F.col("_votes"),
         F.when(F.col("_quality") == 0, "1").when(F.col("_quality") == 1, "0").otherwise("2"),
@@ -382,19 +412,31 @@ def fit(
     counts = joined.groupBy("_pattern").count().collect()  # a row for each pattern of votes
     if not counts:
         return Models(train([], np.zeros(0)), train([], np.zeros(0)), lists)
-    patterns = np.asarray([[int(v) for v in r["_pattern"]] for r in counts])
+    names = [r["_pattern"] for r in counts]
+    patterns = np.asarray([[int(v) for v in x] for x in names])
     many = np.asarray([r["count"] for r in counts], dtype=float)
     junk_at = [*range(JUNK_LABELLERS), JUNK_LABELLERS + TOXIC_LABELLERS]
     toxic_at = [*range(JUNK_LABELLERS, JUNK_LABELLERS + TOXIC_LABELLERS), JUNK_LABELLERS + TOXIC_LABELLERS + 1]
-    rows = joined.where("_slots is not null").select("_pattern", "_shapes", "_slots").limit(2 * training_rows).toArrow()
-    cast = np.asarray([[int(v) for v in p] for p in rows.column(0).to_pylist()]).reshape(-1, patterns.shape[1])
-
-    def scorer(at: list[int], column: int) -> Scorer:
-        model = fit_labels(patterns[:, at], many)
+    posteriors = [fit_labels(patterns[:, at], many).posterior(patterns[:, at]) for at in (junk_at, toxic_at)]
+    junk, toxic = ((p > 0.5) | (patterns[:, at[-1]] == BAD) for p, at in zip(posteriors, (junk_at, toxic_at), strict=True))
+    rates = draw_rates(np.where(toxic, 2, np.where(junk, 1, 0)), many, training_rows)
+
+    least = spark.createDataFrame([(x, int(np.ceil(r * 1_000_000))) for x, r in zip(names, rates.tolist(), strict=True)], "_of_pattern string, _least int")
+    drawn = joined.join(F.broadcast(least), F.col("_pattern") == F.col("_of_pattern")).where("_draw < _least")
+    drawn = drawn.groupBy(F.col("_key").alias("_drawn")).agg(F.first("_pattern").alias("_pattern"), F.count("*").alias("_n"))
+    drawn = staged_once(drawn.limit(2 * training_rows), "drawn")  # bounded, so it may go to every task
+    texts = keyed.join(F.broadcast(drawn), F.col("_key") == F.col("_drawn")).groupBy("_key")
+    texts = texts.agg(*[F.first(c).alias(c) for c in ("_pattern", "_n", "_whole")])
+    rows = _featured(texts).toArrow()
+    at = {x: k for k, x in enumerate(names)}
+    cast = np.asarray([at[x] for x in rows.column(0).to_pylist()], dtype=int)
+    weight = rows.column(1).to_numpy() / rates[cast]  # how many documents each row stands for
+
+    def scorer(column: int, posterior: np.ndarray) -> Scorer:
         features = [np.asarray(x.values.to_numpy()) for x in rows.column(column)]
-        return train(features, model.posterior(cast[:, at]) if len(cast) else np.zeros(0))
+        return train(features, posterior[cast], weight=weight)
 
-    return Models(scorer(junk_at, 1), scorer(toxic_at, 2), lists)
+    return Models(scorer(2, posteriors[0]), scorer(3, posteriors[1]), lists)
 
 
 def scores(text: Column, models: Models) -> Column:

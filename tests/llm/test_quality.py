@@ -49,6 +49,24 @@ def test_held_out_labels(spark):
     assert np.mean(toxic) < 0.35  # a few hundred labels name few of the words; more name nearly all
 
 
+def test_rare_toxic_documents_train_the_scorer(spark, documents):
+    """One document in a hundred is toxic: a uniform draw of 400 rows would hold few of them and miss most words."""
+    draw = random.Random(6)
+    rows, marks = [], []
+    for k in range(6000):
+        words = [f"w{draw.randrange(800)}" for _ in range(60)]
+        if k % 100 == 7:
+            words[10], words[40] = f"vile{k // 100 % 12}x", f"foul{k // 100 % 12}x"
+        rows.append((k, " ".join(words)))
+        marks.append((k, 1, int(k % 100 == 7)))
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    docs = documents(rows).repartition(8)
+    models = quality.fit(docs, labels, training_rows=400)
+    scored = docs.select("doc_id", quality.passing(quality.scores(docs["text"], models), models).alias("keep")).collect()
+    assert np.mean([r.keep for r in scored if r.doc_id % 100 == 7]) < 0.1
+    assert np.mean([r.keep for r in scored if r.doc_id % 100 != 7]) > 0.98
+
+
 @pytest.mark.parametrize("with_labels", [False, True])
 def test_odd_rows(spark, documents, with_labels):
     labels = spark.createDataFrame(
