@@ -3,12 +3,28 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import ann, chat, decontam, licenses, packing, pii, quality, secretscan, sharding, simhash
-from orderloom.llm.common import table
+from orderloom.llm import (
+    ann,
+    chat,
+    decisionlist,
+    decontam,
+    licenses,
+    packing,
+    phrases,
+    pii,
+    quality,
+    runs,
+    secretscan,
+    sharding,
+    simhash,
+)
+from orderloom.llm.common import table, whole_text
+from orderloom.llm.spans import let
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,6 +73,51 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_conversations(turns.union(probe)))
 
 
+def op11_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's statistics and the verdict of the base rules and the learned list."""
+    docs = table(spark, sf_dir, "documents")
+    return decisionlist.judge(docs, decisionlist.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's runs, after one in ten documents was given a periodic end."""
+    found = runs.find_runs(with_periodic_ends(table(spark, sf_dir, "documents")))
+    longer = F.expr(
+        "aggregate(slice(runs, 2, greatest(size(runs) - 1, 0)), runs[0],"
+        " (best, x) -> IF(x.length * best.period > best.length * x.period, x, best))"
+    )
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = F.when(F.size("runs") > 0, longer)
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *(best[c].alias(c) for c in ("start", "length", "period")),
+        F.expr("1000 * length DIV period").alias("exponent_milli"),
+        F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def with_periodic_ends(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): of documents whose id's CRC-32 is a multiple of ten, the words from some place on repeat a few."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        return F.transform(words, lambda x, i: F.when(i >= a, words[(a + (i - a) % p).cast("int")]).otherwise(x))
+
+    words = F.filter(F.split(whole_text(), "[\\x20\\x09-\\x0D]+"), lambda x: x != "")
+    changed = let(words, lambda w: F.when(F.size(w) > 0, F.array_join(repeated(w), " ")).otherwise(""))
+    return docs.select("doc_id", F.when(h % 10 == 0, changed).otherwise(whole_text()).alias("text"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -70,6 +131,9 @@ QUERIES: dict[str, Query] = {
         op8_prefix_sum_sharding,
         op9_secret_scan,
         op10_chat_formatting,
+        op11_decision_list,
+        op12_phrase_collocations,
+        op13_periodic_runs,
     )
 }
 
@@ -124,8 +188,45 @@ SELECT doc_id, {", ".join(f"COALESCE(n_{x.name}, 0) AS n_{x.name}" for x in secr
 FROM d LEFT JOIN texts USING (r)
 """
 
+#: For phrases of two and three words: a longer one holds its first and its last two.
+_PHRASES_SQL = f"""
+WITH pieces AS (
+    SELECT COALESCE(lang, '{phrases.NO_LANGUAGE}') AS lang,
+        regexp_extract_all(unnest(string_split_regex(
+            translate(COALESCE(text, ''), '{ascii_uppercase}', '{ascii_lowercase}'), '[.,;:!?\\x0A-\\x0D]')), '[^\\x20\\x09]+') AS w
+    FROM documents
+),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces),
+grams AS (
+    SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase, COUNT(*) AS a,
+        COUNT(*) FILTER (i > 1) AS left_n, COUNT(*) FILTER (i + size - 1 < len(w)) AS right_n
+    FROM places, range(1, {phrases.LONGEST + 1}) AS s(size) WHERE i + size - 1 <= len(w) GROUP BY ALL
+),
+totals AS (SELECT lang, CAST(SUM(a) AS BIGINT) AS n FROM grams WHERE size = 1 GROUP BY lang),
+counts AS MATERIALIZED (SELECT *, string_split(phrase, ' ') AS w FROM grams WHERE a >= {phrases.LEAST_COUNT}),
+cuts AS (SELECT *, unnest(range(1, size)) AS k FROM counts WHERE size > 1),
+cut AS (
+    SELECT c.lang, c.phrase, c.size, c.a, c.left_n, c.right_n, k, x.a AS l, y.a AS r,
+        CAST((CAST(1000000 AS HUGEINT) * c.a * c.a) // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score
+    FROM cuts c
+    JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:k], ' ')
+    JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:], ' ')
+),
+worst AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_pairs AS (
+    SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, a FROM counts WHERE size = 3
+),
+longer AS (SELECT lang, phrase, MAX(a) AS most FROM inner_pairs GROUP BY ALL)
+SELECT lang, rank, phrase, a, l, r, n, score, left_n AS "left", right_n AS "right" FROM (
+    SELECT worst.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+    FROM worst LEFT JOIN longer USING (lang, phrase)
+    WHERE most IS NULL OR 100 * most < {phrases.SUBSUMED} * a
+) JOIN totals USING (lang) WHERE rank <= {phrases.TOP}
+"""
+
 #: Token ids, XXH64, CRC-32 and trained models are beyond DuckDB SQL; their queries have brute-force tests.
 ORACLE_SQL: dict[str, str] = {
     "op9_secret_scan": _SECRETS_SQL,
     "op10_chat_formatting": _CHAT_SQL,
+    "op12_phrase_collocations": _PHRASES_SQL,
 }
