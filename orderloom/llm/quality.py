@@ -456,7 +456,8 @@ def scores(text: Column, models: Models) -> Column:
             made.append((junk.score(shape_slots(shape(words, text))), toxic.score(slots)))
         return pd.DataFrame(made, columns=["junk", "toxic"], dtype=float)
 
-    return score(text)
+    # else the optimiser copies the call into every filter and projection that names its result
+    return score.asNondeterministic()(text)
 
 
 def passing(made: Column, models: Models) -> Column:

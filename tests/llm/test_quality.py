@@ -67,6 +67,15 @@ def test_rare_toxic_documents_train_the_scorer(spark, documents):
     assert np.mean([r.keep for r in scored if r.doc_id % 100 != 7]) > 0.98
 
 
+def test_every_text_is_scored_once(spark):
+    """The verdict and the returned scores come from one evaluation of the scorers."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    scored = quality.classify(docs, labels).where("_keep").selectExpr("doc_id", "_junk", "_toxic")
+    for found in (scored, quality.kept(docs, labels)):
+        assert found._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+
+
 @pytest.mark.parametrize("with_labels", [False, True])
 def test_odd_rows(spark, documents, with_labels):
     labels = spark.createDataFrame(
