@@ -7,10 +7,10 @@ word to the right and narrows both, the forward transform tells what stands to i
 enumerated level by level, all intervals of a level at once. No phrase is longer than ``LONGEST`` words, so
 suffixes are sorted by that many words only.
 
-Counts are summed across shards in two passes. The first counts words and pairs of words. The second lists
-longer phrases, and goes only from pairs that are frequent in the whole corpus, as no longer phrase can be more
-frequent than they are. Tasks know those from a Bloom filter of fixed size: it never misses one, and what it
-lets through wrongly falls to the exact sums.
+Counts are summed across shards in two passes. The first counts pairs of words, under 64-bit keys. The second
+lists words and phrases, the latter only as long as all their pairs are frequent in the whole corpus, since no
+phrase is more frequent than they are. Tasks know those pairs from a Bloom filter of fixed size. Neither keys that
+collide nor the filter ever miss a frequent pair, and what they let through wrongly falls to the exact sums.
 """
 
 from __future__ import annotations
@@ -36,6 +36,7 @@ NO_LANGUAGE = "und"
 
 #: Words of a shard; a longer document is a shard of its own.
 SHARD_WORDS = 1 << 21
+SLICE_ROWS = 50_000
 #: Bits of the filter of frequent pairs: 4 MB, whatever the size of the corpus.
 FILTER_BITS = 1 << 25
 FILTER_HASHES = 3
@@ -135,37 +136,33 @@ def _word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(w) for w in words), dtype=np.uint64, count=len(words))
 
 
-def _bits(language: str, left: np.ndarray, right: np.ndarray) -> Iterator[np.ndarray]:
-    """Places in the filter for pairs of words, given as hashes."""
+def _pair_keys(language: str, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """64-bit keys of pairs of words, given as hashes."""
     mixed = (left * np.uint64(0x9E3779B97F4A7C15)) ^ np.uint64(xxhash.xxh64_intdigest(language.encode()))
     mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + right
     mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
-    step = (mixed >> np.uint64(40)) | np.uint64(1)
+    return mixed ^ (mixed >> np.uint64(31))
+
+
+def _places(keys: np.ndarray) -> Iterator[np.ndarray]:
+    """Places of pairs in the filter: of a key, its low bits moved on by steps of its high ones."""
+    step = (keys >> np.uint64(40)) | np.uint64(1)
     for k in range(FILTER_HASHES):
-        yield ((mixed + np.uint64(k) * step) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+        yield ((keys + np.uint64(k) * step) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
 
 
-def passes(pairs: np.ndarray, language: str, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    found = np.ones(len(left), dtype=bool)
-    for bit in _bits(language, left, right):
+def passes(pairs: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    found = np.ones(len(keys), dtype=bool)
+    for bit in _places(keys):
         found &= (pairs[bit >> 3] >> (bit & 7)) & 1 == 1
     return found
 
 
-def _filter(pairs: DataFrame) -> np.ndarray:
-    """The filter of (lang, phrase) rows, phrases of two words: gathered in blocks of bits, their number fixed."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words = [p.split(b" ") for p in batch.column(1).cast(pa.binary()).to_pylist()]
-            left, right = (_word_hashes([w[k] for w in words]) for k in (0, 1))
-            languages = np.asarray(batch.column(0).to_pylist(), dtype=object)
-            for language in set(languages):
-                own = languages == language
-                for bit in _bits(language, left[own], right[own]):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.unique(bit) + 1)], names=["bit"])
-
-    bits = pairs.select("lang", "phrase").mapInArrow(run, "bit long")
+def _filter(keys: DataFrame) -> np.ndarray:
+    """The filter of rows (key): ``_places`` in SQL, gathered in blocks of bits, whose number is fixed."""
+    mask = FILTER_BITS - 1
+    place = f"((key & {mask}) + k * ((shiftrightunsigned(key, 40) | 1) & {mask})) & {mask}"
+    bits = keys.selectExpr("key", f"explode(sequence(0, {FILTER_HASHES - 1})) AS k").selectExpr(f"({place}) + 1 AS bit")
     blocks = bits.groupBy(F.bitmap_bucket_number("bit").alias("block")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")
     )
@@ -192,40 +189,52 @@ class _Shard:
         return np.concatenate(self.parts)
 
 
-def _listed(language: str, phrases: Phrases, words: pa.Array, *columns: np.ndarray) -> pa.RecordBatch:
-    parts = [words.take(pa.array(x)) for x in phrases.numbers.T]
-    text = pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.binary())) if len(parts) > 1 else parts[0]
-    names = ["lang", "phrase", "a", "left", "right"][: 2 + len(columns)]
-    arrays = [pa.array([language] * len(text), pa.string()), text.cast(pa.string()), *map(pa.array, columns)]
-    return pa.RecordBatch.from_arrays(arrays, names=names)
+def _in_slices(names: list[str], arrays: list[pa.Array]) -> Iterator[pa.RecordBatch]:
+    for start in range(0, len(arrays[0]), SLICE_ROWS):
+        yield pa.RecordBatch.from_arrays([a.slice(start, SLICE_ROWS) for a in arrays], names=names)
+
+
+def _listed(language: str, phrases: Phrases, words: pa.Array, left: np.ndarray, right: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for start in range(0, len(phrases.count), SLICE_ROWS):
+        here = slice(start, start + SLICE_ROWS)
+        parts = [words.take(pa.array(x)) for x in phrases.numbers[here].T]
+        if not parts:
+            text = pa.array([b""], pa.binary())
+        else:
+            text = pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.binary()))
+        counts = [pa.array(c[here]) for c in (phrases.count, left, right)]
+        arrays = [pa.array([language] * len(text), pa.string()), text.cast(pa.string()), *counts]
+        yield pa.RecordBatch.from_arrays(arrays, names=["lang", "phrase", "a", "left", "right"])
 
 
-def _short_counts(language: str, shard: _Shard) -> Iterator[pa.RecordBatch]:
-    """Counts of words and of pairs of words; the empty phrase counts all words."""
+def _pair_counts(language: str, shard: _Shard) -> Iterator[pa.RecordBatch]:
+    """Counts of pairs of words, under their keys."""
     numbers = shard.numbers()
-    words = pa.array(list(shard.known), pa.binary())
-    singles = single_words(numbers)
-    total = pa.array([int((numbers > 0).sum())], pa.int64())
-    yield pa.RecordBatch.from_arrays([pa.array([language]), pa.array([""]), total], names=["lang", "phrase", "a"])
-    yield _listed(language, singles, words, singles.count)
-    pairs = extended(singles, Transform.of(numbers[::-1], 2))
-    yield _listed(language, pairs, words, pairs.count)
+    hashes = _word_hashes(list(shard.known))
+    pairs = extended(single_words(numbers), Transform.of(numbers[::-1], 2))
+    keys = _pair_keys(language, *(hashes[x] for x in pairs.numbers.T))
+    yield from _in_slices(["key", "a"], [pa.array(keys.view(np.int64)), pa.array(pairs.count)])
+
 
+def _phrase_counts(language: str, shard: _Shard, pairs: np.ndarray, longest: int) -> Iterator[pa.RecordBatch]:
+    """Counts of words, and of phrases all of whose pairs are frequent, as far as the filter tells.
 
-def _long_counts(language: str, shard: _Shard, pairs: np.ndarray, longest: int) -> Iterator[pa.RecordBatch]:
-    """Counts of phrases of two to ``longest`` words all of whose pairs are frequent, as far as the filter tells."""
+    The empty phrase stands for every word and counts them all.
+    """
     numbers = shard.numbers()
     words = pa.array(list(shard.known), pa.binary())
     hashes = _word_hashes(list(shard.known))
     forward, reverse = Transform.of(numbers, longest), Transform.of(numbers[::-1], longest)
-    phrases = single_words(numbers)
-    for _ in range(longest - 1):
-        phrases = extended(phrases, reverse)
-        last = phrases.numbers[:, -2:]
-        phrases = phrases.where(passes(pairs, language, hashes[last[:, 0]], hashes[last[:, 1]]))
+    phrases, total = single_words(numbers), np.asarray([(numbers > 0).sum()])
+    yield from _listed(language, Phrases(np.zeros((1, 0), np.int64), total, total, total), words, total, total)
+    for size in range(1, longest + 1):
+        if size > 1:
+            phrases = extended(phrases, reverse)
+            last = phrases.numbers[:, -2:]
+            phrases = phrases.where(passes(pairs, _pair_keys(language, hashes[last[:, 0]], hashes[last[:, 1]])))
         left = neighboured(forward, phrases.forward, phrases.count)
         right = neighboured(reverse, phrases.backward, phrases.count)
-        yield _listed(language, phrases, words, phrases.count, left, right)
+        yield from _listed(language, phrases, words, left, right)
 
 
 def _sharded(texts: DataFrame, schema: str, made) -> DataFrame:
@@ -252,31 +261,26 @@ def _sharded(texts: DataFrame, schema: str, made) -> DataFrame:
 
 def phrase_counts(
     docs: DataFrame, longest: int = LONGEST, least: int = LEAST_COUNT, lang_col: str = "lang", text_col: str = "text"
-) -> tuple[DataFrame, DataFrame]:
-    """((lang, n), (lang, phrase, a, left, right)): words of each language, and its phrases that occur ``least`` times.
+) -> DataFrame:
+    """(lang, phrase, a, left, right) of every phrase of at most ``longest`` words that occurs ``least`` times.
 
     ``left`` and ``right`` tell how many of the ``a`` occurrences have a word of the same piece before and behind
-    them; they are null for single words.
+    them. The empty phrase is there for every language and counts all its words.
     """
     prepare(docs.sparkSession)
     texts = docs.select(
         F.coalesce(docs[lang_col].cast("string"), F.lit(NO_LANGUAGE)).alias("_lang"),
         F.coalesce(docs[text_col], F.lit("")).alias("_text"),
     )
-    short = _sharded(texts, "lang string, phrase string, a long", _short_counts)
-    short = short.groupBy("lang", "phrase").agg(F.sum("a").alias("a"))
-    short = staged_once(short.where((F.col("a") >= least) | (F.col("phrase") == "")), "short-phrases")
-    pairs = _filter(short.where(F.col("phrase").contains(" ")))
-
-    long = _sharded(
+    pairs = _sharded(texts, "key long, a long", _pair_counts).groupBy("key").agg(F.sum("a").alias("a"))
+    known = _filter(pairs.where(F.col("a") >= least))
+    counts = _sharded(
         texts,
         "lang string, phrase string, a long, left long, right long",
-        lambda language, shard: _long_counts(language, shard, pairs, longest),
+        lambda language, shard: _phrase_counts(language, shard, known, longest),
     )
-    long = long.groupBy("lang", "phrase").agg(*(F.sum(c).alias(c) for c in ("a", "left", "right")))
-    singles = short.where((F.col("phrase") != "") & ~F.col("phrase").contains(" "))
-    counts = long.where(F.col("a") >= least).unionByName(singles, allowMissingColumns=True)
-    return short.where("phrase = ''").selectExpr("lang", "a AS n"), staged_once(counts, "phrases")
+    counts = counts.groupBy("lang", "phrase").agg(*(F.sum(c).alias(c) for c in ("a", "left", "right")))
+    return staged_once(counts.where((F.col("a") >= least) | (F.col("phrase") == "")), "phrases")
 
 
 # ---- collocations ---------------------------------------------------------------------------------
@@ -354,7 +358,8 @@ def collocations(
     language is ``und``; repeated rows count again, ids and other columns play no part; a language without a
     frequent phrase has no row.
     """
-    totals, counts = phrase_counts(docs, longest, least, lang_col, text_col)
+    counts = phrase_counts(docs, longest, least, lang_col, text_col)
+    totals = counts.where("phrase = ''").selectExpr("lang", "a AS n")
     candidates = counts.where(F.col("phrase").contains(" "))
     scored = _scored(_standing(candidates, subsumed), counts)
     found = _first_of_each(scored, top).join(totals, "lang")

@@ -63,15 +63,14 @@ def test_large_vocabulary_sorts_alike():
     assert (plain.steps == wide.steps).all()
 
 
-def test_filter_knows_every_pair():
-    words = [f"w{k}".encode() for k in range(300)]
-    hashes = phrases._word_hashes(words)
-    made = np.zeros(phrases.FILTER_BITS // 8, dtype=np.uint8)
-    for bit in phrases._bits("en", hashes[:-1], hashes[1:]):
-        np.bitwise_or.at(made, bit >> 3, (1 << (bit & 7)).astype(np.uint8))
-    assert phrases.passes(made, "en", hashes[:-1], hashes[1:]).all()
-    assert not phrases.passes(made, "de", hashes[:-1], hashes[1:]).any()
-    assert not phrases.passes(made, "en", hashes[1:], hashes[:-1]).any()
+def test_filter_knows_every_pair(spark):
+    hashes = phrases._word_hashes([f"w{k}".encode() for k in range(300)])
+    keys = phrases._pair_keys("en", hashes[:-1], hashes[1:])
+    made = phrases._filter(spark.createDataFrame([(int(k),) for k in keys.view(np.int64)], "key long"))
+    assert phrases.passes(made, keys).all()
+    assert np.unpackbits(made).sum() == len({b for bits in phrases._places(keys) for b in bits.tolist()})
+    assert not phrases.passes(made, phrases._pair_keys("de", hashes[:-1], hashes[1:])).any()
+    assert not phrases.passes(made, phrases._pair_keys("en", hashes[1:], hashes[:-1])).any()
 
 
 @pytest.mark.parametrize("shard_words", [1, 300, 1 << 21])
