@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from orderloom.schemas import ISSUE
@@ -123,15 +124,23 @@ def _issues_of(rules: Sequence[tuple[Rule, Column]]) -> Column:
     return F.when(any_failed, F.array_compact(F.array(*[_issue(rule, failed) for rule, failed in rules]))).cast(ISSUE)
 
 
-def annotate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """``df`` plus ``_errors`` and ``_warnings``: arrays of the failed rules, NULL when clean."""
+def annotate(df: DataFrame, rules: Sequence[Rule], repeated: str | None = None) -> DataFrame:
+    """``df`` plus ``_errors`` and ``_warnings``: arrays of the failed rules, NULL when clean.
+
+    ``repeated`` names a boolean column of ``df`` that already tells whether the key of its uniqueness rule is
+    repeated; it is not in the result.
+    """
     unknown = {rule.level for rule in rules} - {ERROR, WARN}
     if unknown:
         raise ValueError(f"unknown rule levels {unknown}")
-    columns = df.columns
+    columns = [c for c in df.columns if c != repeated]
+    if repeated and sum(rule.violated is None for rule in rules) > 1:
+        raise ValueError("one column cannot answer several uniqueness rules")
     conditions: list[tuple[Rule, Column]] = []
     for position, rule in enumerate(rules):
-        if rule.violated is None:
+        if rule.violated is None and repeated:
+            conditions.append((rule, F.col(repeated)))
+        elif rule.violated is None:
             flag = f"_repeated_{position}"
             df = _mark_repeated(df, rule.columns, flag)
             conditions.append((rule, F.col(flag)))
@@ -169,6 +178,35 @@ def issues(invalid: DataFrame, *carry: str) -> DataFrame:
     return listed.select(*carry, F.col("i.name").alias("name"), F.col("i.level").alias("level"))
 
 
+def _counts() -> list[Column]:
+    clean = F.col("_errors").isNull()
+    return [
+        F.count_if(clean).alias("valid"),
+        F.count_if(~clean | F.col("_warnings").isNotNull()).alias("invalid"),
+        F.count(F.lit(1)).alias("rows"),
+    ]
+
+
+def observed(annotated: DataFrame) -> tuple[DataFrame, Observation]:
+    """``annotated`` that counts its rows while an action writes what is derived from it.
+
+    Counted are the rows that pass here, in the tasks of that action, so place no shuffle behind it: a task that
+    runs again for a lost shuffle file would count its rows again.
+    """
+    seen = Observation(f"quality-{uuid.uuid4().hex}")
+    return annotated.observe(seen, *_counts()), seen
+
+
+def observed_ratio(seen: Observation, denominator: str = "outputs") -> tuple[int, int, float]:
+    """(valid, invalid, ratio) as of ``dq_ratio``, from the counts of a write that has ended."""
+    if denominator not in ("outputs", "rows"):
+        raise ValueError(f"unknown denominator {denominator}")
+    counts = seen.get
+    good, bad, rows = (int(counts.get(name) or 0) for name in ("valid", "invalid", "rows"))
+    total = good + bad if denominator == "outputs" else rows
+    return good, bad, bad / total if total else 0.0
+
+
 def dq_ratio(annotated: DataFrame, denominator: str = "outputs") -> DataFrame:
     """One row: valid, invalid and the quarantined share, from a single pass.
 
@@ -177,12 +215,7 @@ def dq_ratio(annotated: DataFrame, denominator: str = "outputs") -> DataFrame:
     """
     if denominator not in ("outputs", "rows"):
         raise ValueError(f"unknown denominator {denominator}")
-    clean = F.col("_errors").isNull()
-    counts = annotated.agg(
-        F.count_if(clean).alias("valid"),
-        F.count_if(~clean | F.col("_warnings").isNotNull()).alias("invalid"),
-        F.count(F.lit(1)).alias("rows"),
-    )
+    counts = annotated.agg(*_counts())
     total = F.col("valid") + F.col("invalid") if denominator == "outputs" else F.col("rows")
     ratio = F.when(total > 0, F.col("invalid") / total).otherwise(F.lit(0.0))
     return counts.select("valid", "invalid", ratio.alias("ratio"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,13 +65,18 @@ def needs_backfill(spark: SparkSession, table: str) -> bool:
     return not table_exists(spark, table) or spark.table(table).isEmpty()
 
 
+def _hashable(df: DataFrame, besides: Sequence[str]) -> list[Column]:
+    """The other columns, but for those with maps, which have no hash."""
+    return [F.col(f.name) for f in df.schema if f.name not in besides and "map<" not in f.dataType.simpleString()]
+
+
 def clustered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Ranges of ``keys``, sorted, so that each file covers a narrow range and Parquet statistics prune on it.
 
     The remaining columns and the input partition break ties: a heavy key, even one of identical rows,
     spreads over several files. There are as many ranges as shuffle partitions, which are set by data size.
     """
-    rest = [F.col(c) for c in df.columns if c not in keys]
+    rest = _hashable(df, keys)
     placed = df.withColumn("_spread", F.xxhash64(*rest) if rest else F.lit(0))
     placed = placed.withColumn("_origin", F.spark_partition_id())
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -87,7 +92,7 @@ def by_partition(df: DataFrame, partition_by: Sequence[str], keys: Sequence[str]
     partition break ties: a heavy partition, even one of identical rows, spreads over several tasks.
     """
     leading = [*partition_by, *[k for k in keys if k not in partition_by]]
-    rest = [F.col(c) for c in df.columns if c not in leading]
+    rest = _hashable(df, leading)
     placed = df.withColumn("_spread", F.xxhash64(*rest) if rest else F.lit(0))
     placed = placed.withColumn("_origin", F.spark_partition_id())
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -165,6 +170,70 @@ def merge_insert_only(
         _append(unmatched(new, spark.table(table), keys), table, cluster_by)
 
 
+def in_partitions(by: Sequence[str], values: Sequence[Row]) -> Column:
+    """Condition on partition columns that holds in the partitions ``values``; the scan prunes on it."""
+    if len(by) == 1:
+        known = [v[0] for v in values if v[0] is not None]
+        found = F.col(by[0]).isin(known) if known else F.lit(False)
+        return found | F.col(by[0]).isNull() if len(known) < len(values) else found
+    found = F.lit(False)
+    for value in values:
+        here = F.lit(True)
+        for column, part in zip(by, value, strict=True):
+            here &= F.col(column).eqNullSafe(F.lit(part))
+        found |= here
+    return found
+
+
+def hit_partitions(target: DataFrame, by: Sequence[str], matches: DataFrame, keys: Sequence[str]) -> list[Row]:
+    """The partitions of ``target`` that hold a key of ``matches``; reads partition and key columns only.
+
+    At most one row for each partition of the table, a number that the table's layout bounds.
+    """
+    wanted = matches.select(*keys).distinct()
+    return target.select(*{*by, *keys}).join(wanted, list(keys), "left_semi").select(*by).distinct().collect()
+
+
+def replace_partitions(
+    df: DataFrame, table: str, schema: T.StructType, touched: Sequence[Row], cluster_by: Sequence[str] = ()
+) -> None:
+    """Replace the partitions ``touched`` by the rows of ``df``, which may read them; all others keep their files.
+
+    The new rows are written to scratch first. A touched partition without a row is dropped. Partitions take their
+    place one by one: a run that is cut off there is to be repeated, which gives the same result.
+    """
+    spark = df.sparkSession
+    by = partition_columns(spark, table)
+    if not by:
+        raise NotASlice(f"{table}: not partitioned")
+    if not touched:
+        return
+    with staged(check_schema(df, schema, table), "partitions") as fresh:
+        if not fresh.filter(~F.coalesce(in_partitions(by, touched), F.lit(False))).isEmpty():
+            raise RowsOutsideSlice(f"{table}: rows outside the replaced partitions")
+        filled = {tuple(r) for r in fresh.select(*by).distinct().collect()}
+        for value in touched:
+            if tuple(value) not in filled:
+                spec = ", ".join(
+                    f"`{c}` = NULL" if v is None else f"`{c}` = '{str(v).replace(chr(39), chr(92) + chr(39))}'"
+                    for c, v in zip(by, value, strict=True)
+                )
+                spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+        if filled:
+            _overwrite_dynamically(by_partition(fresh, by, cluster_by), table)
+    spark.catalog.refreshTable(table)
+
+
+def _overwrite_dynamically(df: DataFrame, table: str) -> None:
+    spark = df.sparkSession
+    before = spark.conf.get(_OVERWRITE_MODE)
+    spark.conf.set(_OVERWRITE_MODE, "dynamic")
+    try:
+        df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(_OVERWRITE_MODE, before)
+
+
 class AmbiguousUpdate(ValueError):
     """More than one update row for a key."""
 
@@ -186,7 +255,9 @@ def merge_update(
 ) -> None:
     """Update ``columns`` of the rows with a matching key; unmatched updates are ignored.
 
-    The table keeps its partitioning, and gets the layout ``cluster_by``.
+    Of a partitioned table only the partitions that hold a matched key are rewritten, with the layout
+    ``cluster_by``; all others keep their files. A table without partitions, or one whose partition columns are
+    updated, so that rows move, is rewritten whole and keeps its partitioning.
     """
     spark = updates.sparkSession
     recover(spark, table)
@@ -197,7 +268,13 @@ def merge_update(
     if not known.groupBy(*keys).count().filter("count > 1").isEmpty():
         raise AmbiguousUpdate(f"{table}: several updates for one {tuple(keys)}")
     target = spark.table(table)
-    overwrite_table(updated(target, known, keys, columns), table, target.schema, cluster_by=cluster_by)
+    by = partition_columns(spark, table)
+    if not by or set(by) & set(columns):
+        overwrite_table(updated(target, known, keys, columns), table, target.schema, cluster_by=cluster_by)
+        return
+    hit = hit_partitions(target, by, known, keys)
+    held = target.filter(in_partitions(by, hit))
+    replace_partitions(updated(held, known, keys, columns), table, target.schema, hit, cluster_by)
 
 
 class RowsOutsideSlice(ValueError):
@@ -227,9 +304,4 @@ def replace_slice(df: DataFrame, table: str, schema: T.StructType, column: str,
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column} = '{value}')")
             spark.catalog.refreshTable(table)
             return
-        before = spark.conf.get(_OVERWRITE_MODE)
-        spark.conf.set(_OVERWRITE_MODE, "dynamic")
-        try:
-            fresh.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
-        finally:
-            spark.conf.set(_OVERWRITE_MODE, before)
+        _overwrite_dynamically(fresh, table)

@@ -163,16 +163,18 @@ def load_bronze_orders(
     """Check the orders, quarantine the bad ones, then bring orders and lines to bronze.
 
     Only the repeated ids are written to scratch; beyond that the annotation is a scan with a
-    broadcast, cheaper to repeat for each output than to store. The quarantine is written before
-    the gate, so it is there to inspect when the gate stops the run.
+    broadcast, cheaper to repeat for an output than to store. The quarantine is written before the gate, so it
+    is there to inspect when the gate stops the run; the pass that writes it also counts for the gate.
     """
     kind = lake.ids
     annotated = quality.annotate(lake.read(SOURCE, "order"), quality.order_rules())
-    valid, invalid = quality.split(annotated)
-    overwrite_table(invalid, lake.name("raw", "order_quarantine"), schemas.quarantine_schema(kind))
-    good, bad, ratio = quality.dq_ratio(annotated).first()
+    counting, seen = quality.observed(annotated)
+    overwrite_table(
+        quality.invalid_rows(counting), lake.name("raw", "order_quarantine"), schemas.quarantine_schema(kind)
+    )
+    good, bad, ratio = quality.observed_ratio(seen)
     quality.gate(good, bad, ratio, fail_ratio)
-    overwrite_table(valid, lake.name("raw", "order"), schemas.order_schema(kind))
+    overwrite_table(quality.valid_rows(annotated), lake.name("raw", "order"), schemas.order_schema(kind))
     load_bronze_items(lake, checkpoints)
     return good, bad, ratio
 

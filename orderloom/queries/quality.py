@@ -18,7 +18,10 @@ _ORDER = "id, id_customer, total, date, product_id"
 _ERROR = "(no_id OR no_customer OR repeated)"
 
 
-@query(t.sql(f"SELECT {_ORDER} FROM checked WHERE NOT {_ERROR}", "checked"))
+VALID_SQL = t.sql(f"SELECT {_ORDER} FROM checked WHERE NOT {_ERROR}", "checked")
+
+
+@query(VALID_SQL)
 def dq_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.valid_rows(annotated(spark, sf_dir))
 

@@ -82,3 +82,15 @@ def test_uniqueness_without_broadcast(spark):
         assert rows(q.invalid_rows(checked).groupBy("id").count()) == [(7, n // 3)]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("data", [[(1, 1, 5.0, "d", 1), (1, 1, 5.0, "d", 1), (2, 1, 2000.0, "d", 1)], []])
+def test_observed_counts_equal_a_count_of_their_own(spark, data):
+    """The pass that writes the quarantine also counts, and reads the annotated rows once."""
+    annotated = q.annotate(spark.createDataFrame(data, schemas.order_schema()), q.order_rules())
+    counting, seen = q.observed(annotated)
+    counting = q.invalid_rows(counting)
+    assert counting._jdf.queryExecution().optimizedPlan().toString().count("CollectMetrics") == 1
+    counting.write.format("noop").mode("overwrite").save()
+    for denominator in ("outputs", "rows"):
+        assert q.observed_ratio(seen, denominator) == tuple(q.dq_ratio(annotated, denominator).first())

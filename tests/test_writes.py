@@ -1,6 +1,7 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -198,3 +199,46 @@ def test_update_keeps_the_partitioning(spark, lake):
     assert spark.table(table).filter("v = -1").count() == 1
     with pytest.raises(w.PartitioningChanged):
         w.overwrite_table(rows, table, rows.schema, partition_by=["k"])
+
+
+def file_names(spark, table, day):
+    found = spark.table(table).filter(F.col("day").eqNullSafe(F.lit(day))).select("_metadata.file_path").distinct()
+    return sorted(r[0] for r in found.collect())
+
+
+def test_update_rewrites_only_partitions_with_a_matched_key(spark, table):
+    data = [(D1, 1, 1), (D1, 2, 2), (D2, 3, 3), (D3, 1, 4), (None, 5, 5), (None, 6, 6)]
+    w.overwrite_table(spark.createDataFrame(data, SLICED), table, SLICED, partition_by=["day"])
+    before = {day: file_names(spark, table, day) for day in (D1, D2, D3, None)}
+    w.merge_update(spark.createDataFrame([(1, 10), (9, 90)], "k int, v int"), table, ["k"], ["v"])
+    assert rows(spark.table(table).select("day", "k", "v")) == sorted(
+        [(D1, 1, 10), (D1, 2, 2), (D2, 3, 3), (D3, 1, 10), (None, 5, 5), (None, 6, 6)], key=repr
+    )
+    after = {day: file_names(spark, table, day) for day in (D1, D2, D3, None)}
+    assert after[D2] == before[D2] and after[None] == before[None]
+    assert not set(after[D1]) & set(before[D1]) and not set(after[D3]) & set(before[D3])
+    w.merge_update(spark.createDataFrame([(5, 50)], "k int, v int"), table, ["k"], ["v"])
+    assert file_names(spark, table, D1) == after[D1] and file_names(spark, table, None) != after[None]
+    w.merge_update(spark.createDataFrame([(77, 0)], "k int, v int"), table, ["k"], ["v"])
+    assert spark.table(table).filter("v = 50").count() == 1
+
+
+def test_update_of_a_partition_column_moves_rows(spark, sliced):
+    w.merge_update(spark.createDataFrame([(1, D3)], "k int, day date"), sliced, ["k"], ["day"])
+    assert rows(spark.table(sliced).select("day", "k", "v")) == [(D1, 2, 2), (D3, 1, 1), (D3, 1, 3)]
+
+
+def test_replaced_partitions(spark, sliced):
+    """A touched partition without a row goes; a row elsewhere is refused before anything is written."""
+    touched = [Row(day=D1), Row(day=D2)]
+    w.replace_partitions(spark.table(sliced).filter("k = 2"), sliced, SLICED, touched)
+    assert rows(spark.table(sliced).select("day", "k", "v")) == [(D1, 2, 2)]
+    with pytest.raises(w.RowsOutsideSlice):
+        w.replace_partitions(spark.createDataFrame([(D3, 1, 1), (None, 1, 1)], SLICED), sliced, SLICED, touched)
+    assert spark.table(sliced).count() == 1
+
+
+def test_tables_with_maps_are_laid_out(spark, table):
+    data = spark.createDataFrame([(D1, 1, {"a": "b"})], "day date, k int, m map<string,string>")
+    w.overwrite_table(data, table, data.schema, partition_by=["day"], cluster_by=["k"])
+    assert spark.table(table).first()["m"] == {"a": "b"}
