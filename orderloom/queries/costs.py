@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderloom.functions.columns import money, short_service, short_sku
+from orderloom.operators.asof import price_usage_by_sweep
 from orderloom.operators.latest import latest_revision
 from orderloom.operators.pivot import weekly_cells, weekly_pivot
 from orderloom.operators.pricing import price_usage
@@ -97,6 +98,16 @@ def usage_priced_by_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _prices_out(priced: DataFrame) -> DataFrame:
+    return priced.select(
+        "usage_end_time",
+        "sku_name",
+        F.col("usage_quantity").cast("double").alias("usage_quantity"),
+        F.col("effective_price").cast("double").alias("effective_price"),
+        "priced",
+    )
+
+
 @query(
     t.sql(
         "SELECT usage_end_time, sku_name, CAST(usage_quantity AS DOUBLE) AS usage_quantity,"
@@ -105,15 +116,48 @@ def usage_priced_by_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 )
 def usage_priced_by_day_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same join over usage that is dealt out by day, as a day's partitions of a usage table would be."""
-    prices = t.list_prices(spark, sf_dir)
-    return price_usage(t.usage(spark, sf_dir).repartition(F.to_date("usage_end_time")), prices).select(
-        "usage_end_time",
+    """The same prices from a sweep over each SKU's days."""
+    return _prices_out(price_usage_by_sweep(t.usage(spark, sf_dir), t.list_prices(spark, sf_dir)))
+
+
+def many_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A price version for every minute in which a SKU was used by an even user; every seventh ends after a minute."""
+    started = t.usage(spark, sf_dir).filter("CAST(usage_metadata.job_id AS BIGINT) % 2 = 0")
+    starts = started.select("sku_name", "cloud", F.date_trunc("minute", "usage_end_time").alias("begin")).distinct()
+    following = F.lead("begin").over(Window.partitionBy("sku_name").orderBy("begin"))
+    minute = F.minute("begin")
+    brief = F.col("begin") + F.expr("INTERVAL 1 MINUTE")
+    cents = (minute + 1).cast("decimal(18,6)")
+    return starts.withColumn("following", following).select(
         "sku_name",
-        F.col("usage_quantity").cast("double").alias("usage_quantity"),
-        F.col("effective_price").cast("double").alias("effective_price"),
-        "priced",
-    )
+        "cloud",
+        F.col("begin").cast("timestamp_ntz").alias("price_start_time"),
+        F.when(minute % 7 == 0, brief).otherwise(F.col("following")).cast("timestamp_ntz").alias("price_end_time"),
+        F.struct(
+            (cents / 100).cast("decimal(18,6)").alias("default"),
+            F.struct((cents / 200).cast("decimal(18,6)").alias("default")).alias("effective_list"),
+        ).alias("pricing"),
+    )
+
+
+_MANY_VERSIONS = t.sql(
+    "SELECT u.usage_end_time, u.sku_name, CAST(u.usage_quantity AS DOUBLE) AS usage_quantity,"
+    " CASE WHEN v.until IS NULL OR u.usage_end_time < v.until THEN v.price END AS effective_price,"
+    " COALESCE(v.begin IS NOT NULL AND (v.until IS NULL OR u.usage_end_time < v.until), FALSE) AS priced"
+    " FROM usage u ASOF LEFT JOIN (SELECT sku_name, begin,"
+    " CASE WHEN minute(begin) % 7 = 0 THEN begin + INTERVAL 1 MINUTE"
+    " ELSE lead(begin) OVER (PARTITION BY sku_name ORDER BY begin) END AS until,"
+    " CAST(CAST((minute(begin) + 1) / 200.0 AS DECIMAL(18,6)) AS DOUBLE) AS price FROM (SELECT DISTINCT sku_name,"
+    " date_trunc('minute', usage_end_time) AS begin FROM usage WHERE CAST(job_id AS BIGINT) % 2 = 0)) v"
+    " ON u.sku_name = v.sku_name AND u.usage_end_time >= v.begin",
+    "usage",
+)
+
+
+@query(_MANY_VERSIONS)
+def usage_priced_by_many_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Thousands of price versions a SKU: the sweep compares each usage row with one of them."""
+    return _prices_out(price_usage_by_sweep(t.usage(spark, sf_dir), many_versions(spark, sf_dir)))
 
 
 @query(t.sql("SELECT pipeline_id, name FROM pipe_names", "pipe_names"))
