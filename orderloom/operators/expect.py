@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +48,14 @@ def differences(actual: DataFrame, expected: DataFrame) -> DataFrame:
     )
 
 
+def paired(differing: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """``differences`` by key: both sides' measures, NULL on a side that lacks the key. Keys are unique on each side."""
+    side = {"actual": F.col("surplus") > 0, "expected": F.col("surplus") < 0}
+    return differing.groupBy(*keys).agg(
+        *(F.max(F.when(held, F.col(m))).alias(f"{m}_{name}") for m in measures for name, held in side.items())
+    )
+
+
 def expect_equal(actual: DataFrame, expected: DataFrame, what: str = "table") -> None:
     """Both sides hold the same rows with the same number of copies."""
     found = differences(actual, expected).count()

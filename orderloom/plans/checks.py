@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.operators.expect import expect_count, expect_equal
+from orderloom.operators.digest import expect_same
+from orderloom.operators.expect import expect_count
 from orderloom.operators.expect import violators as rows_unlike
 from orderloom.operators.tablewrites import overwrite_table
 from orderloom.plans.medallion import SeedSizes
@@ -30,7 +31,7 @@ def health_check(lake: Lake) -> DataFrame:
 def check_gold(lake: Lake, expected: DataFrame, tables: Sequence[str] = GOLD_TABLES) -> None:
     """Both sides of the lake hold exactly the expected gold rows."""
     for table in tables:
-        expect_equal(lake.read("report", table).select(*gold_schema().fieldNames()), expected, table)
+        expect_same(lake.read("report", table).select(*gold_schema().fieldNames()), expected, table)
 
 
 def check_load_test(lake: Lake, sizes: SeedSizes = SeedSizes(), tables: Sequence[str] = GOLD_TABLES) -> None:

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from orderloom.operators.latest import latest_names
 
 DIMENSIONS = ("country", "customer", "product", "category")
+DAILY = ("country", "product", "category")
+TOTALS = "totals"
 
 
 def in_date_range(gold: DataFrame, date_from: str | date | None = None, date_to: str | date | None = None) -> DataFrame:
@@ -83,3 +85,46 @@ def daily_by(dataset: DataFrame, dimension: str) -> DataFrame:
         raise ValueError(f"unknown dimension {dimension}")
     day = F.date_trunc("DAY", F.col("order_date")).cast("date")
     return dataset.groupBy(day.alias("day"), dimension).agg(F.sum("total_value").alias("total_value"))
+
+
+def widgets(dataset: DataFrame) -> DataFrame:
+    """(widget, day, label, total_value, total_orders, num_customers): every number of the dashboard from one pass.
+
+    ``totals`` is one row with the three totals; the widgets ``DAILY`` have a row for each day and entry. Grouping sets
+    combine map-side, and customers are a grouping set of their own, counted afterwards from its one row each,
+    so that no distinct count multiplies the rows of the others.
+    """
+    day = F.date_trunc("DAY", F.col("order_date")).cast("date")
+    sets = [[], *(["day", dimension] for dimension in DAILY), ["customer"]]
+    grouped = (
+        dataset.withColumn("day", day)
+        .groupingSets(sets, "day", *DAILY, "customer")
+        .agg(
+            F.grouping_id("day", *DAILY, "customer").alias("_set"),
+            F.sum("total_value").alias("total_value"),
+            F.sum("total_orders").alias("total_orders"),
+        )
+    )
+    columns = ("day", *DAILY, "customer")
+
+    def number(chosen: list[str]) -> int:
+        """The grouping id: a bit for each column that is not in the set, the first column's the highest."""
+        return int("".join("0" if c in chosen else "1" for c in columns), 2)
+
+    widget, label = F.lit(TOTALS), F.lit(None).cast("string")
+    for dimension in DAILY:
+        here = F.col("_set") == number(["day", dimension])
+        widget, label = F.when(here, dimension).otherwise(widget), F.when(here, F.col(dimension)).otherwise(label)
+    customers = F.col("_set") == number(["customer"])
+    totals = F.col("_set") == number([])
+    named = grouped.select(
+        widget.alias("widget"),
+        "day",
+        label.alias("label"),
+        F.when(~customers, F.col("total_value")).alias("total_value"),
+        F.when(~customers, F.col("total_orders")).alias("total_orders"),
+        F.when(customers & F.col("customer").isNotNull(), 1).when(customers | totals, 0).alias("num_customers"),
+    )
+    return named.groupBy("widget", "day", "label").agg(
+        *(F.sum(c).alias(c) for c in ("total_value", "total_orders", "num_customers"))
+    )

@@ -16,16 +16,9 @@ from orderloom.sources.events import event_times
 RANGE = ("1997-01-01", "2000-12-31")
 
 
-_written: dict[tuple[str, str], DataFrame] = {}
-
-
 def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gold as a written table in ranges of dates: all dashboard queries of a session read the same one."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _written:
-        gold = t.gold(spark, sf_dir).repartitionByRange("order_date", F.xxhash64("customer_name", "product_id"))
-        _written[key] = materialize(gold.sortWithinPartitions("order_date"), "gold")
-    return _written[key]
+    """Gold written once for this query, which reads it twice: for the latest names and for the rows."""
+    return materialize(t.gold(spark, sf_dir), "gold")
 
 
 def dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,10 +74,27 @@ def _register_dimension(dimension: str) -> None:
         return d.daily_by(dataset(spark, sf_dir), dimension)
 
 
-for _dimension in ("country", "product", "category"):
+for _dimension in d.DAILY:
     _register_dimension(_dimension)
 
 
+_WIDGETS = (
+    "SELECT 'totals' AS widget, CAST(NULL AS DATE) AS day, CAST(NULL AS VARCHAR) AS label, SUM(total_value) AS total_value,"
+    " CAST(SUM(total_orders) AS BIGINT) AS total_orders, COUNT(DISTINCT customer) AS num_customers FROM ds"
+    + "".join(
+        f" UNION ALL SELECT '{dimension}', order_date, {dimension}, SUM(total_value), CAST(SUM(total_orders) AS BIGINT), NULL"
+        f" FROM ds GROUP BY order_date, {dimension}"
+        for dimension in d.DAILY
+    )
+)
+
+
+@query(t.sql(_WIDGETS, "ds"))
+def dashboard_widgets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All numbers of the dashboard, its three totals and its three daily series, from one pass over the dataset."""
+    return d.widgets(dataset(spark, sf_dir))
+
+
 def _register_filter(dimension: str) -> None:
     @query(t.sql(f"SELECT DISTINCT {dimension} FROM ds", "ds"), name=f"filter_values_{dimension}")
     def values(spark: SparkSession, sf_dir: str) -> DataFrame:

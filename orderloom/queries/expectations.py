@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.operators.expect import differences, violators
-from orderloom.operators.orders import aggregate_orders, gold_from_bronze
+from orderloom.operators.digest import differences_by_digest
+from orderloom.operators.expect import differences, paired, violators
+from orderloom.operators.orders import GOLD_KEYS, aggregate_orders, gold_from_bronze
 from orderloom.queries import tables as t
 from orderloom.queries.registry import query
+from orderloom.session import materialize
 
 
 @query(t.sql("SELECT * FROM gold WHERE total_orders <> 1 OR total_quantity <> 30", "gold"))
@@ -41,13 +43,69 @@ def changed_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return differences(before.withColumn("name", renamed), before)
 
 
-@query(t.sql("SELECT COUNT(*) AS differing FROM gold_plain WHERE FALSE", "gold_plain"))
-def gold_routes_agree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both ways to gold give the same rows; values compared to the cent."""
+def _routes_sql(kept: str) -> str:
+    """Gold by order sums against gold from silver lines of which only some are kept."""
+    keys = ", ".join(GOLD_KEYS)
+    both = " AND ".join(f"a.{k} = b.{k}" for k in GOLD_KEYS)
+    either = ", ".join(f"COALESCE(a.{k}, b.{k}) AS {k}" for k in GOLD_KEYS)
+    sums = (
+        "SELECT c.name AS customer_name, c.country, CAST(o.date AS DATE) AS order_date, o.product_id,"
+        " p.name AS product_name, p.category_id AS product_category_id, p.category_name,"
+        " CAST(SUM(i.q) AS BIGINT) AS total_quantity, ROUND(SUM(i.v), 2) AS total_value FROM ord o"
+        " JOIN (SELECT id_order, SUM(qty) AS q, SUM(CAST(total_item AS DOUBLE)) AS v FROM item GROUP BY id_order) i"
+        " ON i.id_order = o.id JOIN cust c ON o.id_customer = c.id JOIN prod p ON o.product_id = p.product_id"
+        " GROUP BY 1, 2, 3, 4, 5, 6, 7"
+    )
+    staged = (
+        f"SELECT {keys}, CAST(SUM(item_quantity) AS BIGINT) AS total_quantity,"
+        f" ROUND(SUM(CAST(item_total AS DOUBLE)), 2) AS total_value FROM silver WHERE {kept} GROUP BY {keys}"
+    )
+    return t.sql(
+        f"SELECT {either}, a.total_quantity AS total_quantity_actual, b.total_quantity AS total_quantity_expected,"
+        " a.total_value AS total_value_actual, b.total_value AS total_value_expected"
+        f" FROM ({sums}) a FULL JOIN ({staged}) b ON {both}"
+        " WHERE a.total_quantity IS DISTINCT FROM b.total_quantity OR a.total_value IS DISTINCT FROM b.total_value",
+        "silver",
+        "ord",
+        "item",
+        "cust",
+        "prod",
+    )
+
+
+def _routes(spark: SparkSession, sf_dir: str, kept: str) -> DataFrame:
     parts = (
         t.customer(spark, sf_dir), t.order(spark, sf_dir), t.order_item(spark, sf_dir), t.product(spark, sf_dir)
     )
     cents = F.round("total_value", 2)
-    direct = gold_from_bronze(*parts).withColumn("total_value", cents)
-    staged = aggregate_orders(t.silver(spark, sf_dir)).withColumn("total_value", cents)
-    return differences(direct, staged).agg(F.count(F.lit(1)).alias("differing"))
+    measures = ("total_quantity", "total_value")
+    direct = gold_from_bronze(*parts).withColumn("total_value", cents).select(*GOLD_KEYS, *measures)
+    staged = aggregate_orders(t.silver(spark, sf_dir).filter(kept)).withColumn("total_value", cents)
+    differing = differences_by_digest(materialize(direct, "direct"), materialize(staged.select(*GOLD_KEYS, *measures), "staged"))
+    return paired(differing, GOLD_KEYS, measures)
+
+
+@query(_routes_sql("TRUE"))
+def gold_routes_agree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups on which both ways to gold differ, with both sums to the cent: there are none."""
+    return _routes(spark, sf_dir, "TRUE")
+
+
+@query(_routes_sql("item_quantity <> 50"))
+def gold_routes_differ(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same comparison when one way lost the lines of fifty pieces: their groups, named with both sums."""
+    return _routes(spark, sf_dir, "item_quantity <> 50")
+
+
+@query(
+    t.sql(
+        "SELECT id_order, seq, desc_item, qty, total_item, CAST(-1 AS BIGINT) AS surplus FROM item WHERE id_order = 33"
+        " UNION ALL SELECT id_order, seq, desc_item, qty + 1, total_item, 1 FROM item WHERE id_order = 33",
+        "item",
+    )
+)
+def changed_lines_by_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One order's lines changed among all lines: only the buckets they are in are compared row by row."""
+    lines = t.order_item(spark, sf_dir)
+    changed = F.when(F.col("id_order") == 33, F.col("qty") + 1).otherwise(F.col("qty"))
+    return differences_by_digest(lines.withColumn("qty", changed), lines)

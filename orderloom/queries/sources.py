@@ -12,6 +12,7 @@ from orderloom.queries.registry import query
 from orderloom.schemas import IDS_WIDE
 from orderloom.sources import generate as g
 from orderloom.sources.costfeed import flatten_cost_json
+from orderloom.sources.costvariant import read_cost_documents
 from orderloom.sources.events import event_times
 from orderloom.sources.runs import run_summary, runs_on_day
 
@@ -176,6 +177,30 @@ def flattened_cost_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_cost_json(t.cost_documents(spark, sf_dir))
 
 
+def drifting_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cost documents as they drift: amounts as numbers, other fields, lone periods; and copies that were cut off."""
+    payload, form = F.col("payload"), F.pmod(F.crc32(F.col("payload").cast("binary")), F.lit(5))
+    numbers = F.regexp_replace(payload, '"Amount":"([0-9.]+)"', '"Amount":$1,"Unit":"USD"')
+    lone = F.regexp_replace(payload, r'^\{"ResultsByTime":\[(.*)\]\}$', '{"Version":2,"ResultsByTime":$1}')
+    other = F.regexp_replace(F.regexp_replace(payload, "BlendedCost", "UnblendedCost"), r'"Keys":\["([^"]*)"\]', '"Keys":"$1"')
+    shaped = F.when(form == 1, numbers).when(form == 2, lone).when(form == 3, other).otherwise(payload)
+    documents = t.cost_documents(spark, sf_dir)
+    cut = documents.select(F.substring("payload", 1, 40).alias("payload"))
+    return documents.select(shaped.alias("payload")).unionByName(cut)
+
+
+@query(t.sql("SELECT * FROM cloud_cost", "cloud_cost"))
+def drifting_cost_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows as from documents of one shape."""
+    return read_cost_documents(drifting_documents(spark, sf_dir))[0]
+
+
+@query("SELECT 'not JSON' AS problem, COUNT(DISTINCT CAST(l_shipdate AS DATE)) AS documents FROM lineitem")
+def cost_document_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    problems = read_cost_documents(drifting_documents(spark, sf_dir))[1]
+    return problems.groupBy("problem").agg(F.count(F.lit(1)).alias("documents"))
+
+
 @query(t.sql("SELECT * FROM day_runs", "day_runs"))
 def job_runs_on_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs_on_day(t.runs(spark, sf_dir), "2024-01-12")
