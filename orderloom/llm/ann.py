@@ -22,13 +22,18 @@ from orderloom.llm.common import prepare, staged_once
 NEAREST = 20
 BRANCHES = 8
 
-#: Bounds: vectors the tree is fitted on, sampled vectors in a leaf, rows one task compares at once.
-SAMPLE_ROWS = 20_000
+#: Vectors the tree is fitted on: one row in ``SAMPLE_SHARE``, within these bounds, so that leaves stay at about
+#: ``LEAF_SAMPLE * SAMPLE_SHARE`` rows until the upper bound is reached.
+SAMPLE_SHARE = 64
+SAMPLE_ROWS = (20_000, 200_000)
 LEAF_SAMPLE = 64
+#: Rows, and queries, that one task compares at once: a leaf with more of either is dealt to several.
 CHUNK_ROWS = 4096
+CHUNK_QUERIES = 2048
 
-CALIBRATION_QUERIES = 64
-RECALL = 0.98
+#: Calibration aims at this share of the true neighbours; what a search finds is a little above or below.
+CALIBRATION_QUERIES = 128
+RECALL = 0.94
 
 
 @dataclass
@@ -101,31 +106,45 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
 
 
 def inner_products(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """In double precision, component after component, so equal vectors score exactly alike."""
-    total = np.zeros((len(queries), len(vectors)))
+    """Of each query with the vector in the same row: in double precision, component after component, so that equal
+    vectors score exactly alike."""
+    total = np.zeros(len(queries))
     for k in range(queries.shape[1]):
-        total += queries[:, k, None] * vectors[None, :, k]
+        total += queries[:, k] * vectors[:, k]
     return total
 
 
 def top(queries: np.ndarray, own: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(query's place, places of its nearest vectors, scores): ties go to the smaller id."""
+    """(query's place, places of its nearest vectors, scores): ties go to the smaller id.
+
+    A matrix product finds all that can be among the nearest, whatever the order in which it sums; only those are
+    scored component after component.
+    """
     order = np.argsort(ids, kind="stable")
     vectors, ids = vectors[order], ids[order]
+    largest = np.sqrt((vectors**2).sum(axis=1).max(initial=0.0))
     for at in range(0, len(queries), 128):
-        scores = inner_products(queries[at : at + 128], vectors)
-        scores[own[at : at + 128, None] == ids[None, :]] = -np.inf
-        for row, mine in enumerate(scores):
-            likely = np.arange(len(mine))
-            if len(mine) > k:
-                likely = np.flatnonzero(mine >= np.partition(mine, len(mine) - k)[len(mine) - k])
-            best = likely[np.argsort(-mine[likely], kind="stable")][:k]
-            best = best[np.isfinite(mine[best])]
-            yield at + row, order[best], mine[best]
-
-
-def usable(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, int]:
-    """(_id, _vec) of vectors that take part, and their length: the most frequent one."""
+        block = queries[at : at + 128]
+        rough = block @ vectors.T
+        rough[own[at : at + 128, None] == ids[None, :]] = -np.inf
+        if len(vectors) > k:
+            least = np.partition(rough, len(vectors) - k, axis=1)[:, len(vectors) - k]
+            slack = 8 * (queries.shape[1] + 1) * np.finfo(float).eps * largest * np.sqrt((block**2).sum(axis=1))
+            likely = rough >= (least - slack)[:, None]
+        else:
+            likely = np.ones(rough.shape, dtype=bool)
+        row, column = np.nonzero(likely & (rough > -np.inf))
+        scores = inner_products(block[row], vectors[column])
+        ranked = np.lexsort((column, -scores, row))  # columns are in order of ids
+        row, column, scores = row[ranked], column[ranked], scores[ranked]
+        starts = np.searchsorted(row, np.arange(len(block) + 1))
+        for q, (a, b) in enumerate(zip(starts[:-1], starts[1:], strict=True)):
+            b = min(a + k, b)
+            yield at + q, order[column[a:b]], scores[a:b]
+
+
+def usable(vectors: DataFrame, queries: Column, id_col: str, vector_col: str) -> tuple[DataFrame, int]:
+    """(_id, _vec, _asked) of vectors that take part, and their length: the most frequent one of the whole table."""
     vec = F.col(vector_col).cast("array<double>")
     fine = (
         F.col(id_col).isNotNull()
@@ -133,16 +152,24 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame,
         & F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
         & F.exists(vec, lambda x: x != 0)
     )
-    rows = vectors.where(fine).select(F.col(id_col).cast("long").alias("_id"), vec.alias("_vec"))
+    rows = vectors.where(fine).select(
+        F.col(id_col).cast("long").alias("_id"), vec.alias("_vec"), F.coalesce(queries, F.lit(False)).alias("_asked")
+    )
     sizes = rows.groupBy(F.size("_vec").alias("w")).count().orderBy(F.desc("count"), "w").first()
     width = sizes["w"] if sizes else 0
     return rows.where(F.size("_vec") == width), width
 
 
 def _distinct_enough(rows: DataFrame, k: int) -> DataFrame:
-    """Of equal vectors, the ``k`` + 1 smallest ids: ties go to smaller ids, so no other can be among ``k``."""
+    """Of equal vectors, the rows of the ``k`` + 1 smallest ids, at most ``k`` of each.
+
+    Ties go to smaller ids, and a query passes over the rows of one id, its own: no other row can be among its ``k``
+    nearest. Copies are counted first, which combines map-side, however often a vector occurs.
+    """
+    copies = rows.groupBy("_vec", "_id").agg(F.least(F.count(F.lit(1)), F.lit(k)).cast("int").alias("_copies"))
     alike = Window.partitionBy(F.xxhash64("_vec"), "_vec").orderBy("_id")
-    return rows.withColumn("_n", F.row_number().over(alike)).where(F.col("_n") <= k + 1).drop("_n")
+    few = copies.withColumn("_n", F.row_number().over(alike)).where(F.col("_n") <= k + 1)
+    return few.select("_id", "_vec", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("_id", "_vec")
 
 
 def _calibrate(indexed: DataFrame, tree: Tree, width: int, k: int, n: int) -> int:
@@ -180,20 +207,22 @@ def search(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found of every row that ``queries`` selects.
 
-    Candidates are all rows but those with the query's id. Null ids, and vectors that are null, zero, of
-    an unusual length or hold null or non-finite components, take no part. Repeated rows are candidates
+    Candidates are all rows but those with the query's id. Null ids, and vectors that are null, zero, of another
+    length than most of the table or hold null or non-finite components, take no part, as queries neither. Repeated rows are candidates
     each, and a repeated query is answered once. Fewer than ``k`` candidates are all returned. An empty
     table gives an empty result; other columns are not read.
     """
     prepare(vectors.sparkSession)
-    rows, width = usable(vectors, id_col, vector_col)
-    asked = usable(vectors.where(queries), id_col, vector_col)[0].dropDuplicates(["_id"])
-    asked = asked.where(F.size("_vec") == width)
+    rows, width = usable(vectors, queries, id_col, vector_col)
     kept = staged_once(_distinct_enough(rows, k), "vectors")
+    asked = rows.where("_asked").select("_id", "_vec").dropDuplicates(["_id"])  # dealt out by id
+    asked = staged_once(asked.repartition(F.xxhash64("_id")), "queries")
     n = kept.count()
-    part = min(1.0, SAMPLE_ROWS / max(1, n))
+    least, most = SAMPLE_ROWS
+    wanted = min(most, max(least, n // SAMPLE_SHARE))
+    part = min(1.0, wanted / max(1, n))
     sampled = kept.where(F.pmod(F.xxhash64("_id", F.lit(17)), F.lit(1_000_000)) < max(1, int(part * 1_000_000)))
-    sample = _matrix(sampled.select("_vec").limit(2 * SAMPLE_ROWS).toArrow().column(0).combine_chunks(), max(1, width))
+    sample = _matrix(sampled.select("_vec").limit(2 * wanted).toArrow().column(0).combine_chunks(), max(1, width))
     tree = fit_tree(sample)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,32 +234,42 @@ def search(
     visits = _calibrate(indexed, tree, width, k, n)
     # a row for each leaf of the bounded tree
     held = {r["_leaf"]: r["count"] for r in indexed.groupBy("_leaf").count().collect()}
-    chunks = {leaf: -(-count // CHUNK_ROWS) for leaf, count in held.items()}
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            owner, leaf, chunk = [], [], []
+            owner, leaf = [], []
             for place, query in enumerate(_matrix(batch.column(1), width)):
                 rows = 0
                 for seen, bin_ in enumerate(tree.best_bins(query), 1):
                     rows += held.get(bin_, 0)
-                    for c in range(chunks.get(bin_, 0)):
+                    if bin_ in held:
                         owner.append(place)
                         leaf.append(bin_)
-                        chunk.append(c)
-                    if seen >= visits and rows > k:
+                    if seen >= visits and rows > 2 * k:
                         break
-            where = pa.array(owner, type=pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(where), batch.column(1).take(where), pa.array(leaf, pa.int64()), pa.array(chunk, pa.int32())],
-                names=["query", "qvec", "leaf", "chunk"],
-            )
-
-    bins = asked.select("_id", "_vec").mapInArrow(walk, "query long, qvec array<double>, leaf long, chunk int")
-    sizes = vectors.sparkSession.createDataFrame(list(chunks.items()) or [(-1, 1)], "leaf long, _chunks int")
-    filed = indexed.join(F.broadcast(sizes), F.col("_leaf") == F.col("leaf")).select(
-        "leaf", F.pmod(F.hash("_id", F.lit(19)), F.col("_chunks")).alias("chunk"), "_id", "_vec"
-    )
+            own = batch.column(0).take(pa.array(owner, type=pa.int64()))
+            yield pa.RecordBatch.from_arrays([own, pa.array(leaf, pa.int64())], names=["query", "leaf"])
+
+    visited = staged_once(asked.mapInArrow(walk, "query long, leaf long"), "visited-leaves")
+    met = {r["leaf"]: r["count"] for r in visited.groupBy("leaf").count().collect()}
+    blocks = [(leaf, -(-held[leaf] // CHUNK_ROWS), -(-count // CHUNK_QUERIES)) for leaf, count in met.items()]
+    sizes = vectors.sparkSession.createDataFrame(blocks, "leaf long, _row_chunks int, _query_chunks int")
+    sizes = F.broadcast(sizes)  # a row for each leaf
+
+    def chunk(id_: str, of: str, salt: int) -> Column:
+        return F.pmod(F.hash(id_, F.lit(salt)), F.col(of)).alias(of.replace("chunks", "chunk"))
+
+    def every(of: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(of) - 1)).alias(of.replace("chunks", "chunk"))
+
+    # blocks of queries against blocks of rows, so that no leaf is one task, however many rows or queries it has
+    block = ("leaf", "_row_chunk", "_query_chunk")
+    bins = visited.join(sizes, "leaf").select("query", "leaf", "_row_chunks", chunk("query", "_query_chunks", 23))
+    bins = bins.join(asked.withColumnsRenamed({"_id": "query", "_vec": "qvec"}), "query")
+    bins = bins.select("query", "qvec", "leaf", "_query_chunk", every("_row_chunks"))
+    filed = indexed.join(sizes, F.col("_leaf") == F.col("leaf"))
+    filed = filed.select("leaf", "_id", "_vec", "_query_chunks", chunk("_id", "_row_chunks", 19))
+    filed = filed.select("leaf", "_id", "_vec", "_row_chunk", every("_query_chunks"))
 
     def compare(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         found = [np.zeros((0,)) for _ in range(3)]
@@ -246,11 +285,7 @@ def search(
             {"query_id": found[0].astype(np.int64), "vec_id": found[1].astype(np.int64), "score": found[2].astype(float)}
         )
 
-    near = (
-        bins.groupBy("leaf", "chunk")
-        .cogroup(filed.groupBy("leaf", "chunk"))
-        .applyInPandas(compare, "query_id long, vec_id long, score double")
-    )
+    near = bins.groupBy(*block).cogroup(filed.groupBy(*block)).applyInPandas(compare, "query_id long, vec_id long, score double")
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     best = near.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k)
     return best.select("query_id", "rank", "vec_id", "score")
@@ -258,8 +293,9 @@ def search(
 
 def recall(found: DataFrame, vectors: DataFrame, queries: Column, k: int = NEAREST) -> float:
     """Share of true nearest neighbours found: brute force on Spark, the query set in blocks against all rows."""
-    rows, width = usable(vectors, "vec_id", "embedding")
-    asked = usable(vectors.where(queries), "vec_id", "embedding")[0].dropDuplicates(["_id"]).toArrow()
+    rows, width = usable(vectors, queries, "vec_id", "embedding")
+    asked = rows.where("_asked").select("_id", "_vec").dropDuplicates(["_id"]).toArrow()
+    rows = rows.select("_id", "_vec")
     own, matrix = asked.column("_id").to_numpy(), _matrix(asked.column("_vec").combine_chunks(), width)
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
