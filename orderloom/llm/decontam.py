@@ -1,24 +1,24 @@
 """Benchmark decontamination with spaced seeds.
 
 A seed is a fixed mask over a window of words: positions it ignores may differ. The masked hashes of the
-test items are joined with those of every window of the training texts, and each hit is verified on its
-alignment: some window of it must agree in four fifths of its words. The test side is looked up inside
-the tasks in blocks of bounded size, one pass over the training side a block.
+test items are joined with those of the training texts, one row for each hash and text, however often a text
+repeats it. Before the join the training side keeps the windows whose hash passes a filter of fixed size built
+from all test hashes. Texts and items that meet are verified on every alignment on which a seed agrees: some window
+of it must agree in four fifths of its words. Equal texts are compared once; their rows are told by content keys.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from orderloom.llm.common import prepare, whole_text
+from orderloom.llm import bitfilter
+from orderloom.llm.common import prepare, staged_once, whole_text
 
 #: Masks by the width of the window that must agree, chosen by enumeration: whatever words of such a window
 #: differ, as long as ``SHARE`` of them agree, some mask fits on agreeing words at some place of it.
@@ -39,11 +39,8 @@ WINDOW_WORDS = 13
 LEAST_WORDS = 5
 SHARE = 0.8
 
-#: Characters of test items in one block; more items take more passes.
-BLOCK_CHARS = 4_000_000
 REMEMBERED_WORDS = 400_000
-_FILTER_BITS = 22  # at most
-_GAP = 64
+_CELLS = 1 << 20  # of arrays compared at once
 
 
 class WordHashes(dict):
@@ -72,11 +69,11 @@ def word_hashes(words: WordHashes, text: str | None) -> np.ndarray:
 
 
 def _seed_hash(stream: np.ndarray, mask: str) -> np.ndarray:
-    """Hash of the words under the mask, for every window of the stream."""
+    """Hash of the mask and of the words under it, for every window of the stream."""
     n = len(stream) - len(mask) + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    total, factor = np.zeros(n, np.uint64), np.uint64(0x9E3779B97F4A7C15)
+    total, factor = np.full(n, crc32(mask.encode()), np.uint64), np.uint64(0x9E3779B97F4A7C15)
     for at, bit in enumerate(mask):
         if bit == "1":
             total += stream[at : at + n]
@@ -84,89 +81,161 @@ def _seed_hash(stream: np.ndarray, mask: str) -> np.ndarray:
     return total ^ (total >> np.uint64(29))
 
 
-class TestItems:
-    """A block of test items with the sorted seed hashes of all their windows."""
+def masks_of(item: np.ndarray) -> tuple[str, ...]:
+    return MASKS[min(WINDOW_WORDS, len(item))] if len(item) >= LEAST_WORDS else ()
 
-    __test__ = False
 
-    def __init__(self, items: list[tuple[object, str | None]]) -> None:
+def _diagonals(text: np.ndarray, item: np.ndarray) -> np.ndarray:
+    """Starts of the item in the text, negative ones too, at which some seed of both agrees, in order."""
+    met = np.zeros(len(text) + len(item) + 1, dtype=bool)
+    for mask in masks_of(item):
+        mine, theirs = _seed_hash(text, mask), _seed_hash(item, mask)
+        order = np.argsort(mine, kind="stable")
+        low = np.searchsorted(mine[order], theirs, side="left")
+        high = np.searchsorted(mine[order], theirs, side="right")
+        for place in np.flatnonzero(high > low).tolist():  # marked one by one: no product of repeated words is built
+            met[order[low[place] : high[place]] - place + len(item)] = True
+    return np.flatnonzero(met) - len(item)
+
+
+def overlap(text: np.ndarray, item: np.ndarray) -> tuple[int, int, int] | None:
+    """(first word, words, agreeing words) of the longest leak of the item into the text, over all alignments."""
+    width, best = min(WINDOW_WORDS, len(item)), None
+    starts = _diagonals(text, item)
+    rows = max(1, _CELLS // max(1, len(item)))
+    for at in range(0, len(starts), rows):
+        start = starts[at : at + rows, None]
+        place = start + np.arange(len(item))
+        inside = (place >= 0) & (place < len(text))
+        agree = inside & (text[np.clip(place, 0, len(text) - 1)] == item)
+        sums = np.concatenate([np.zeros((len(start), 1), np.int64), np.cumsum(agree, axis=1)], axis=1)
+        good = (sums[:, width:] - sums[:, :-width] >= SHARE * width) & inside[:, : len(item) - width + 1] & inside[:, width - 1 :]
+        some = np.flatnonzero(good.any(axis=1))
+        first = good[some].argmax(axis=1)
+        last = len(item) - good[some, ::-1].argmax(axis=1)
+        agreeing = sums[some, last] - sums[some, first]
+        for k in np.lexsort((some, -agreeing, first - last))[:1]:
+            found = (int(start[some[k], 0] + first[k]), int(last[k] - first[k]), int(agreeing[k]))
+            if best is None or found[1:] > best[1:]:
+                best = found
+    return best
+
+
+# ---- on Spark -------------------------------------------------------------------------------------
+
+_KEY = ("_k1", "_k2")
+
+
+def _keys(text: Column) -> list[Column]:
+    """128 bits that tell a text."""
+    return [F.xxhash64(F.lit(k), text).alias(name) for k, name in enumerate(_KEY)]
+
+
+def _item_seeds(items: DataFrame) -> DataFrame:
+    """(key, width, _i1, _i2): the seeds of rows (_k1, _k2, _text), each hash of an item once.
+
+    ``width`` is that of the window whose masks made them.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordHashes()
+        for batch in batches:
+            for row, text in enumerate(batch.column(2).to_pylist()):
+                item = word_hashes(words, text)
+                parts = [np.zeros(0, np.uint64), *(_seed_hash(item, mask) for mask in masks_of(item))]
+                hashes = np.unique(np.concatenate(parts)).view(np.int64)
+                owner = pa.array(np.full(len(hashes), row))
+                width = pa.array(np.full(len(hashes), min(WINDOW_WORDS, len(item)), np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(hashes), width, *(batch.column(k).take(owner) for k in (0, 1))],
+                    names=["key", "width", "_i1", "_i2"],
+                )
+
+    return items.select(*_KEY, "_text").mapInArrow(run, "key long, width int, _i1 long, _i2 long")
+
+
+def _text_seeds(texts: DataFrame, bits: np.ndarray, masks: tuple[str, ...]) -> DataFrame:
+    """(key, _k1, _k2): the seeds of rows (_k1, _k2, _text) that pass the filter, each hash of a text once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
-        self.ids = [x for x, _ in items]
-        self.words = [word_hashes(words, text) for _, text in items]
-        by_mask = defaultdict(list)
-        for number, item in enumerate(self.words):
-            for mask in MASKS[min(WINDOW_WORDS, len(item))] if len(item) >= LEAST_WORDS else ():
-                hashes = _seed_hash(item, mask)
-                places = np.arange(len(hashes), dtype=np.int32)
-                by_mask[mask].append((hashes, np.full(len(hashes), number, np.int32), places))
-        self.seeds = {}
-        for mask, parts in by_mask.items():
-            hashes, number, at = (np.concatenate(x) for x in zip(*parts, strict=True))
-            order = np.argsort(hashes, kind="stable")
-            bits = min(_FILTER_BITS, 6 + len(hashes).bit_length())
-            present = np.zeros(1 << bits, bool)
-            present[hashes >> np.uint64(64 - bits)] = True
-            self.seeds[mask] = (hashes[order], number[order], at[order], present, np.uint64(64 - bits))
-
-    def hits(self, stream: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Distinct (row, start of the item in the row's text, item) over all masks; ``starts`` are the rows'.
-
-        The row is that of the words that hit: a mask begins and ends on agreeing words, and gaps agree with none.
-        """
-        found = [np.zeros((0, 3), np.int64)]
-        for mask, (hashes, number, at, present, shift) in self.seeds.items():
-            made = _seed_hash(stream, mask)
-            likely = np.flatnonzero(present[made >> shift])
-            low = np.searchsorted(hashes, made[likely], side="left")
-            many = np.searchsorted(hashes, made[likely], side="right") - low
-            spots = np.repeat(likely, many)
-            entry = np.repeat(low, many) + np.arange(len(spots)) - np.repeat(np.cumsum(many) - many, many)
-            rows = np.searchsorted(starts, spots, side="right") - 1
-            found.append(np.unique(np.stack((rows, spots - starts[rows] - at[entry], number[entry]), axis=1), axis=0))
-        return np.unique(np.concatenate(found), axis=0)
-
-    def verified(self, text: np.ndarray, start: int, number: int) -> tuple[int, int, int] | None:
-        """(first word, words, agreeing words) of the overlap at this alignment, if it is a leak."""
-        item = self.words[number]
-        low, high = max(0, start), min(len(text), start + len(item))
-        agree = text[low:high] == item[low - start : high - start]
-        width = min(WINDOW_WORDS, len(item))
-        if len(agree) < width:
-            return None
-        sums = np.concatenate(([0], np.cumsum(agree)))
-        good = np.flatnonzero(sums[width:] - sums[:-width] >= SHARE * width)
-        if not len(good):
-            return None
-        first, last = int(good[0]), int(good[-1]) + width
-        return low + first, last - first, int(sums[last] - sums[first])
-
-    def leaks(self, texts: list[str | None], words: WordHashes) -> Iterator[tuple[int, int, int, int, int]]:
-        """(row, item number, first word, words, agreeing words): the longest overlap of each row and item."""
-        arrays = [word_hashes(words, text) for text in texts]
-        gap = np.arange(1, _GAP + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)  # matches no word
-        starts = np.cumsum([0] + [len(x) + _GAP for x in arrays])
-        stream = np.concatenate([y for x in arrays for y in (x, gap)]) if arrays else np.zeros(0, np.uint64)
-        best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for row, at, number in self.hits(stream, starts).tolist():
-            if (seen := self.verified(arrays[row], at, number)) and seen[1:] > best.get((row, number), (0, 0, 0))[1:]:
-                best[row, number] = seen
-        for (row, number), seen in sorted(best.items()):
-            yield row, number, *seen
-
-
-def test_blocks(tests: DataFrame, id_col: str, text_col: str) -> Iterator[TestItems]:
-    """The test items in blocks of about ``BLOCK_CHARS`` characters, each small enough for any task."""
-    sized = tests.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    chars = sized.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    blocks = 1 + chars // BLOCK_CHARS
-    for block in range(blocks):
-        # by the place in the input, so repeated items spread too
-        place = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks))
-        mine = sized.withColumn("_block", place).where(F.col("_block") == block).select("id", "text")
-        yield TestItems([tuple(r) for r in mine.collect()])
-
-
-test_blocks.__test__ = False
+        for batch in batches:
+            arrays = [word_hashes(words, text) for text in batch.column(2).to_pylist()]
+            starts = np.cumsum([0, *(len(x) for x in arrays)])
+            stream = np.concatenate([*arrays, np.zeros(0, np.uint64)])
+            owners, found = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+            for mask in masks:
+                made = _seed_hash(stream, mask)
+                spots = np.flatnonzero(bitfilter.passes(bits, made))
+                rows = np.searchsorted(starts, spots, side="right") - 1
+                within = spots + len(mask) <= starts[rows + 1]  # not over the end of its text
+                owners.append(rows[within])
+                found.append(made[spots[within]])
+            owner, hashes = np.concatenate(owners), np.concatenate(found)
+            order = np.lexsort((hashes, owner))
+            owner, hashes = owner[order], hashes[order]
+            fresh = np.r_[True, (owner[1:] != owner[:-1]) | (hashes[1:] != hashes[:-1])][: len(owner)]
+            rows = pa.array(owner[fresh])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hashes[fresh].view(np.int64)), *(batch.column(k).take(rows) for k in (0, 1))],
+                names=["key", *_KEY],
+            )
+
+    return texts.select(*_KEY, "_text").mapInArrow(run, "key long, _k1 long, _k2 long")
+
+
+def _verified(pairs: DataFrame) -> DataFrame:
+    """The leaks among rows (_k1, _k2, _text, _i1, _i2, _item): keys, first_word, words, agreeing."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordHashes()
+        now, text = None, np.zeros(0, np.uint64)
+        for batch in batches:
+            rows, found = [], []
+            keys = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+            for row, key in enumerate(keys):
+                if key != now:  # the items of a text stand together
+                    now, text = key, word_hashes(words, batch.column(2)[row].as_py())
+                if seen := overlap(text, word_hashes(words, batch.column(5)[row].as_py())):
+                    rows.append(row)
+                    found.append(seen)
+            at = pa.array(rows, type=pa.int64())
+            figures = [pa.array([f[k] for f in found], type=pa.int64()) for k in range(3)]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(k).take(at) for k in (0, 1, 3, 4)), *figures],
+                names=[*_KEY, "_i1", "_i2", "first_word", "words", "agreeing"],
+            )
+
+    pairs = pairs.select(*_KEY, "_text", "_i1", "_i2", "_item")
+    return pairs.mapInArrow(
+        run, "_k1 long, _k2 long, _i1 long, _i2 long, first_word long, words long, agreeing long"
+    )
+
+
+def _leaks(texts: DataFrame, items: DataFrame) -> DataFrame:
+    """Leaks between rows (_k1, _k2, _text) and (_i1, _i2, _item), distinct on both sides, by their keys, written."""
+    seeds = staged_once(_item_seeds(items.withColumnsRenamed({"_i1": "_k1", "_i2": "_k2", "_item": "_text"})), "test-seeds")
+    widths = [r["width"] for r in seeds.select("width").distinct().collect()]  # at most one for each of ``MASKS``
+    masks = tuple(sorted({mask for width in widths for mask in MASKS[width]}))
+    # a frequent hash is one row a text; adaptive execution splits it among tasks
+    hits = _text_seeds(texts, bitfilter.build(seeds.select("key").distinct()), masks)
+    met = staged_once(hits.join(seeds, "key").select(*_KEY, "_i1", "_i2").distinct(), "texts-and-tests")
+    asked = texts.join(met.select(*_KEY).distinct(), list(_KEY), "left_semi").dropDuplicates(list(_KEY))
+    pairs = asked.join(met.join(items, ["_i1", "_i2"]), list(_KEY))
+    return staged_once(_verified(pairs), "leaks")
+
+
+def _items(tests: DataFrame, test_text: str) -> DataFrame:
+    """Distinct non-empty texts of test items, as (_i1, _i2, _item)."""
+    text = F.col(test_text)
+    first, second = _keys(text)
+    held = tests.where(F.length(text) > 0).select(first.alias("_i1"), second.alias("_i2"), text.alias("_item"))
+    return staged_once(held.dropDuplicates(["_i1", "_i2"]), "tests")
+
+
+def _texts(docs: DataFrame, text_col: str) -> DataFrame:
+    text = whole_text(text_col)
+    return docs.select(*_keys(text), text.alias("_text"))
 
 
 def find_leaks(
@@ -179,58 +248,25 @@ def find_leaks(
 ) -> DataFrame:
     """(doc id, item id, first_word, words, agreeing): the longest overlap of each leaking pair of rows.
 
-    Words are compared lower-cased and without the marks around them. Null and empty texts on either
-    side leak nothing; repeated rows on either side each give rows; null ids are carried; other columns
-    are not read; an empty table on either side gives an empty result.
+    Words are compared lower-cased and without the marks around them. Items of fewer than ``LEAST_WORDS`` words are
+    too short to tell a leak by and leak nothing, as do null and empty texts on either side. Repeated rows on either
+    side each give rows; null ids are carried; other columns are not read; an empty table on either side gives an
+    empty result.
     """
     prepare(docs.sparkSession)
-    test_kind = tests.schema[test_id].dataType
-    out = T.StructType(
-        [T.StructField(id_col, docs.schema[id_col].dataType), T.StructField(test_id, test_kind)]
-        + [T.StructField(name, T.LongType()) for name in ("first_word", "words", "agreeing")]
+    leaks = _leaks(_texts(docs, text_col), _items(tests, test_text))
+    rows = docs.select(docs[id_col].alias("_doc"), *_keys(whole_text(text_col))).join(leaks, list(_KEY))
+    first, second = _keys(F.col(test_text))
+    named = tests.where(F.length(test_text) > 0).select(tests[test_id].alias("_test"), first.alias("_i1"), second.alias("_i2"))
+    return rows.join(named, ["_i1", "_i2"]).select(
+        F.col("_doc").alias(id_col), F.col("_test").alias(test_id), "first_word", "words", "agreeing"
     )
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    arrow_kind = to_arrow_type(test_kind)
-    result = docs.sparkSession.createDataFrame([], out)
-    for number, block in enumerate(test_blocks(tests, test_id, test_text)):
-
-        def run(batches: Iterator[pa.RecordBatch], block: TestItems = block) -> Iterator[pa.RecordBatch]:
-            words = WordHashes()
-            for batch in batches:
-                found = list(block.leaks(batch.column(1).to_pylist(), words))
-                cols = [pa.array([f[k] for f in found], type=pa.int64()) for k in (0, 2, 3, 4)]
-                owner = batch.column(0).take(cols[0])
-                item = pa.array([block.ids[f[1]] for f in found], type=arrow_kind)
-                yield pa.RecordBatch.from_arrays([owner, item, *cols[1:]], names=out.fieldNames())
-
-        part = docs.select(id_col, text_col).mapInArrow(run, out)
-        result = part if number == 0 else result.union(part)
-    return result
-
-
-def leaks_into(text: Column, tests: DataFrame, test_id: str = "item_id", test_text: str = "text") -> Column:
-    """Whether a text holds a passage of any test item, as a column; no join, so all other columns stay."""
-    found = F.lit(False)
-    for block in test_blocks(tests, test_id, test_text):
-        found = found | _leaks_from(block)(text)
-    return found
-
-
-def _leaks_from(block: TestItems) -> Callable[[Column], Column]:
-    memory: list[WordHashes] = []
-
-    @F.pandas_udf("boolean")
-    def leaks(texts: pd.Series) -> pd.Series:
-        if not memory:
-            memory.append(WordHashes())
-        rows = {row for row, *_ in block.leaks(texts.tolist(), memory[0])}
-        return pd.Series([k in rows for k in range(len(texts))])
-
-    return leaks
 
 
 def decontaminated(docs: DataFrame, tests: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that hold a passage of a test item; a row with a null text stays."""
+    """``docs``, its own columns, without the rows that hold a passage of a test item; a row with a null text stays."""
     prepare(docs.sparkSession)
-    return docs.where(~leaks_into(whole_text(text_col), tests))
+    leaks = _leaks(_texts(docs, text_col), _items(tests, "text"))
+    leaking = staged_once(leaks.select(*_KEY).distinct(), "leaking").select(*(F.col(k).alias(f"__llm{k}") for k in _KEY))
+    first, second = _keys(whole_text(text_col))
+    return docs.join(leaking, (first == F.col("__llm_k1")) & (second == F.col("__llm_k2")), "left_anti")

@@ -25,6 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderloom.llm import bitfilter
 from orderloom.llm.common import prepare, staged_once
 from orderloom.llm.words import Numbering
 
@@ -37,9 +38,6 @@ NO_LANGUAGE = "und"
 #: Words of a shard; a longer document is a shard of its own.
 SHARD_WORDS = 1 << 21
 SLICE_ROWS = 50_000
-#: Bits of the filter of frequent pairs: 4 MB, whatever the size of the corpus.
-FILTER_BITS = 1 << 25
-FILTER_HASHES = 3
 
 #: The marks between pieces, as the last of which all of them are written.
 _BREAKS = b"\n\x0b\x0c\r.,;:!?"
@@ -129,7 +127,7 @@ def neighboured(transform: Transform, start: np.ndarray, count: np.ndarray) -> n
     return words[start + count] - words[start]
 
 
-# ---- the filter of frequent pairs -----------------------------------------------------------------
+# ---- keys of pairs --------------------------------------------------------------------------------
 
 
 def _word_hashes(words: list[bytes]) -> np.ndarray:
@@ -144,34 +142,6 @@ def _pair_keys(language: str, left: np.ndarray, right: np.ndarray) -> np.ndarray
     return mixed ^ (mixed >> np.uint64(31))
 
 
-def _places(keys: np.ndarray) -> Iterator[np.ndarray]:
-    """Places of pairs in the filter: of a key, its low bits moved on by steps of its high ones."""
-    step = (keys >> np.uint64(40)) | np.uint64(1)
-    for k in range(FILTER_HASHES):
-        yield ((keys + np.uint64(k) * step) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
-
-
-def passes(pairs: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    found = np.ones(len(keys), dtype=bool)
-    for bit in _places(keys):
-        found &= (pairs[bit >> 3] >> (bit & 7)) & 1 == 1
-    return found
-
-
-def _filter(keys: DataFrame) -> np.ndarray:
-    """The filter of rows (key): ``_places`` in SQL, gathered in blocks of bits, whose number is fixed."""
-    mask = FILTER_BITS - 1
-    place = f"((key & {mask}) + k * ((shiftrightunsigned(key, 40) | 1) & {mask})) & {mask}"
-    bits = keys.selectExpr("key", f"explode(sequence(0, {FILTER_HASHES - 1})) AS k").selectExpr(f"({place}) + 1 AS bit")
-    blocks = bits.groupBy(F.bitmap_bucket_number("bit").alias("block")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")
-    )
-    made = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
-    for block, bits in blocks.collect():  # at most FILTER_BITS in all
-        made[(block - 1) * len(bits) :][: len(bits)] = np.frombuffer(bits, dtype=np.uint8)
-    return made
-
-
 # ---- shards and their sums ------------------------------------------------------------------------
 
 
@@ -231,7 +201,7 @@ def _phrase_counts(language: str, shard: _Shard, pairs: np.ndarray, longest: int
         if size > 1:
             phrases = extended(phrases, reverse)
             last = phrases.numbers[:, -2:]
-            phrases = phrases.where(passes(pairs, _pair_keys(language, hashes[last[:, 0]], hashes[last[:, 1]])))
+            phrases = phrases.where(bitfilter.passes(pairs, _pair_keys(language, hashes[last[:, 0]], hashes[last[:, 1]])))
         left = neighboured(forward, phrases.forward, phrases.count)
         right = neighboured(reverse, phrases.backward, phrases.count)
         yield from _listed(language, phrases, words, left, right)
@@ -273,7 +243,7 @@ def phrase_counts(
         F.coalesce(docs[text_col], F.lit("")).alias("_text"),
     )
     pairs = _sharded(texts, "key long, a long", _pair_counts).groupBy("key").agg(F.sum("a").alias("a"))
-    known = _filter(pairs.where(F.col("a") >= least))
+    known = bitfilter.build(pairs.where(F.col("a") >= least))
     counts = _sharded(
         texts,
         "lang string, phrase string, a long, left long, right long",

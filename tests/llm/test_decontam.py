@@ -1,5 +1,6 @@
 import itertools
 import random
+import time
 
 import pytest
 from pyspark.sql import types as T
@@ -64,14 +65,21 @@ def test_short_items_word_for_word(spark, documents):
     assert [(r.doc_id, r.item_id) for r in decontam.find_leaks(docs, tests).collect()] == [(1, 1)]
 
 
-def test_blocks_of_test_items(spark, documents, monkeypatch):
-    monkeypatch.setattr(decontam, "BLOCK_CHARS", 100)
+def leaks_of(texts, item):
+    """The rows of ``texts`` that the item leaks into, as the tasks compare them."""
+    words = decontam.WordHashes()
+    mine = decontam.word_hashes(words, item)
+    return {k for k, text in enumerate(texts) if decontam.overlap(decontam.word_hashes(words, text), mine)}
+
+
+def test_items_in_partitions(spark, documents):
     draw = random.Random(2)
     tests = [(k, " ".join(prose(draw, 20))) for k in range(12)]
-    docs = documents([(k, f"before {t} after") for k, t in tests])
-    got = sorted((r.doc_id, r.item_id) for r in decontam.find_leaks(docs, items(spark, tests)).collect())
+    docs = documents([(k, f"before {t} after") for k, t in tests]).repartition(5)
+    many = items(spark, tests).repartition(7)
+    got = sorted((r.doc_id, r.item_id) for r in decontam.find_leaks(docs, many).collect())
     assert got == [(k, k) for k in range(12)]
-    assert decontam.decontaminated(docs, items(spark, tests)).count() == 0
+    assert decontam.decontaminated(docs, many).count() == 0
 
 
 def test_odd_rows_and_empty_tables(spark, documents):
@@ -97,11 +105,9 @@ def test_every_accepted_substitution_is_found(width):
     for k in range(most + 1):
         for changed in itertools.combinations(range(width), k):
             texts.append(" ".join(["before", *("x" if j in changed else w for j, w in enumerate(item)), "after"]))
-    block = decontam.TestItems([(1, " ".join(item))])
-    found = {row for row, *_ in block.leaks(texts, decontam.WordHashes())}
-    assert found == set(range(len(texts)))
+    assert leaks_of(texts, " ".join(item)) == set(range(len(texts)))
     over = " ".join("x" if j <= most else w for j, w in enumerate(item))
-    assert not list(block.leaks([over], decontam.WordHashes()))
+    assert not leaks_of([over], " ".join(item))
 
 
 def test_three_and_four_changed_words_of_fifteen():
@@ -112,8 +118,7 @@ def test_three_and_four_changed_words_of_fifteen():
             if any(sum(a <= j < a + 13 for j in changed) <= 2 for a in range(3)):
                 wanted.add(len(texts))
             texts.append(" ".join("x" if j in changed else w for j, w in enumerate(item)))
-    block = decontam.TestItems([(1, " ".join(item))])
-    assert {row for row, *_ in block.leaks(texts, decontam.WordHashes())} == wanted
+    assert leaks_of(texts, " ".join(item)) == wanted
     assert wanted
 
 
@@ -121,12 +126,59 @@ def test_short_documents_quote_parts_of_a_long_item(spark, documents):
     """Each document is a few words of an item hundreds of words long, alone or between other documents."""
     item = [f"w{k}" for k in range(700)]
     quotes = [" ".join(item[at : at + 13 + at % 3]) for at in range(0, 680, 23)]
-    block = decontam.TestItems([(1, " ".join(item))])
-    for text in quotes:
-        assert [found[:2] for found in block.leaks([text], decontam.WordHashes())] == [(0, 0)]
+    assert leaks_of(quotes, " ".join(item)) == set(range(len(quotes)))
     docs = documents([row for k, t in enumerate(quotes) for row in ((k, t), (1000 + k, f"other {k}"), (2000 + k, None))])
     tests = items(spark, [(1, " ".join(item))])
     got = sorted(r.doc_id for r in decontam.find_leaks(docs, tests).collect())
     assert got == list(range(len(quotes)))
     kept = {r.doc_id for r in decontam.decontaminated(docs, tests).collect()}
     assert kept == {x + k for k in range(len(quotes)) for x in (1000, 2000)}
+
+
+@pytest.mark.parametrize("unit", ["w", "w v", "w v u w v", " ".join(f"w{k}" for k in range(13))])
+def test_repeated_words_on_both_sides(spark, documents, unit):
+    """A long text and a long item of the same few words: time and memory follow their lengths, not the product of hits."""
+    text, item = " ".join([unit] * 20_000).split()[:20_000], " ".join([unit] * 1000).split()[:1000]
+    began = time.monotonic()
+    docs = documents([(1, " ".join(text)), (2, "x " + " ".join(item[:500]) + " y"), (3, "nothing of it")])
+    got = sorted(decontam.find_leaks(docs, items(spark, [(7, " ".join(item))])).collect())
+    assert [(r.doc_id, r.words, r.agreeing) for r in got] == [(1, 1000, 1000), (2, 502, 500)]  # of a window's words two may differ
+    assert time.monotonic() - began < 30
+
+
+def test_longest_overlap_equals_brute_force():
+    """First word, words and agreeing words over all alignments, the first of the longest."""
+    draw = random.Random(6)
+    for _ in range(150):
+        vocabulary = [f"w{k}" for k in range(draw.choice([2, 4, 300]))]
+        item = [draw.choice(vocabulary) for _ in range(draw.randint(5, 40))]
+        text = [draw.choice(vocabulary) for _ in range(draw.randint(0, 60))]
+        at = draw.randint(0, len(text))
+        text[at:at] = [w if draw.random() < 0.9 else "x" for w in item[draw.randint(0, 5) :]]
+        a, b = (decontam.word_hashes(decontam.WordHashes(), " ".join(x)) for x in (text, item))
+        width, best = min(13, len(b)), None
+        for start in range(-len(b) + 1, len(a)):
+            low, high = max(0, start), min(len(a), start + len(b))
+            agree = (a[low:high] == b[low - start : high - start]).tolist()
+            good = [k for k in range(len(agree) - width + 1) if sum(agree[k : k + width]) >= 0.8 * width]
+            if good:
+                first, last = good[0], good[-1] + width
+                found = (low + first, last - first, sum(agree[first:last]))
+                if best is None or found[1:] > best[1:]:
+                    best = found
+        assert decontam.overlap(a, b) == best
+
+
+def test_nothing_of_the_tables_goes_to_the_driver(spark, documents, monkeypatch):
+    """Items, texts and hits stay in Spark: what is collected is the window widths and the filter, whose sizes are fixed."""
+    collected = []
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    for name in ("collect", "toArrow", "toPandas"):
+        old = getattr(DataFrame, name)
+        monkeypatch.setattr(DataFrame, name, lambda df, *a, old=old: (collected.append(df.columns), old(df, *a))[1])
+    draw = random.Random(3)
+    tests = [(k, " ".join(prose(draw, 30))) for k in range(20)]
+    found = decontam.find_leaks(documents([(k, f"a {t} b") for k, t in tests]), items(spark, tests))
+    assert collected == [["width"], ["block", "bits"]]
+    assert found.count() >= 20

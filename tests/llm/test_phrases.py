@@ -5,7 +5,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from orderloom.llm import phrases, queries
+from orderloom.llm import bitfilter, phrases, queries
 
 SCHEMA = "doc_id long, text string, lang string, a int, phrase string, left string"
 
@@ -66,11 +66,11 @@ def test_large_vocabulary_sorts_alike():
 def test_filter_knows_every_pair(spark):
     hashes = phrases._word_hashes([f"w{k}".encode() for k in range(300)])
     keys = phrases._pair_keys("en", hashes[:-1], hashes[1:])
-    made = phrases._filter(spark.createDataFrame([(int(k),) for k in keys.view(np.int64)], "key long"))
-    assert phrases.passes(made, keys).all()
-    assert np.unpackbits(made).sum() == len({b for bits in phrases._places(keys) for b in bits.tolist()})
-    assert not phrases.passes(made, phrases._pair_keys("de", hashes[:-1], hashes[1:])).any()
-    assert not phrases.passes(made, phrases._pair_keys("en", hashes[1:], hashes[:-1])).any()
+    made = bitfilter.build(spark.createDataFrame([(int(k),) for k in keys.view(np.int64)], "key long"))
+    assert bitfilter.passes(made, keys).all()
+    assert np.unpackbits(made).sum() == len({b for bits in bitfilter.places(keys) for b in bits.tolist()})
+    assert not bitfilter.passes(made, phrases._pair_keys("de", hashes[:-1], hashes[1:])).any()
+    assert not bitfilter.passes(made, phrases._pair_keys("en", hashes[1:], hashes[:-1])).any()
 
 
 @pytest.mark.parametrize("shard_words", [1, 300, 1 << 21])
