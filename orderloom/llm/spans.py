@@ -57,14 +57,34 @@ def matches(text: Column, pattern: str, needs: Column | None = None) -> Column:
     return found if needs is None else F.when(needs, found).otherwise(F.array().cast("array<string>"))
 
 
-def located(text: Column, pattern: str, found: Column) -> Column:
+def located(text: Column, pattern: str, found: Column, context: int = 0) -> Column:
     """``found`` (of ``matches``) as spans: what stands between matches tells where each one starts.
 
-    ``pattern`` must not match the empty string.
+    ``pattern`` must not match the empty string. With ``context`` spans also have ``before``, at most so many
+    characters as far as the second match before, and ``after``, the next character: taken from the pieces, as a
+    substring of the text would count its way there from the start of the text for every span.
     """
+    shape = "struct<start:int,end:int,match:string,before:string,after:string>" if context else SPAN
+
     def of(f: Column) -> Column:
         return F.when(F.size(f) > 0, let(F.split(text, pattern, -1), lambda b: zipped(f, b))).otherwise(
-            F.array().cast(f"array<{SPAN}>")
+            F.array().cast(f"array<{shape}>")
+        )
+
+    def piece(parts: Column, i: Column) -> Column:
+        return F.coalesce(F.get(parts, i), F.lit(""))
+
+    def around(f: Column, between: Column, i: Column) -> list[Column]:
+        ahead = (piece(f, i - 2), piece(between, i - 1), piece(f, i - 1), piece(between, i))
+        return [
+            F.right(F.concat(*ahead), F.lit(context)).alias("before"),
+            F.left(F.concat(piece(between, i + 1), piece(f, i + 1)), F.lit(1)).alias("after"),
+        ]
+
+    def with_context(f: Column, between: Column, spans: Column) -> Column:
+        return F.transform(
+            spans,
+            lambda s, i: F.struct(*(s[x].alias(x) for x in ("start", "end", "match")), *around(f, between, i)),
         )
 
     def zipped(f: Column, between: Column) -> Column:
@@ -73,11 +93,12 @@ def located(text: Column, pattern: str, found: Column) -> Column:
             lambda _, i: F.length(F.element_at(between, i + 1))
             + F.when(i > 0, F.length(F.element_at(f, F.greatest(i, F.lit(1))))).otherwise(0),
         )
-        return F.zip_with(
+        spans = F.zip_with(
             running_sums(steps),
             f,
             lambda start, m: F.struct(start.alias("start"), (start + F.length(m)).alias("end"), m.alias("match")),
         )
+        return with_context(f, between, spans) if context else spans
 
     return let(found, of)
 
