@@ -392,17 +392,18 @@ def fit(
     labels = staged_once(labels, "labels")
     part = min(1.0, mining_rows / max(1, labels.count()))
     sampled = labels.where(F.pmod(F.xxhash64("_of", F.lit(3)), F.lit(1_000_000)) < int(part * 1_000_000))
-    sampled = sampled.where("_toxic in (0, 1)").limit(2 * mining_rows)  # bounded, so it may go to every task
+    sampled = sampled.where("_toxic in (0, 1)").orderBy(F.xxhash64("_of", F.lit(3)), "_of").limit(2 * mining_rows)
+    # bounded, so it may go to every task
     whole = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_whole"))
     labelled = whole.join(F.broadcast(sampled), whole["_id"] == sampled["_of"]).select(
         F.pmod(F.xxhash64("_id", F.lit(5)), F.lit(1 << 20)).cast("int").alias("_key"), "_whole", "_toxic"
     )
     lists = mine(labelled)
 
-    # by the place in the input, so rows that repeat an id or a text are drawn one by one
-    place = F.xxhash64(F.monotonically_increasing_id(), F.lit(11))
+    # by id and text, so that the draw does not depend on partitions; equal rows are one row that stands for all
     keyed = whole.withColumn("_key", F.xxhash64("_id", "_whole", F.lit(7)))
-    voted = staged_once(_voted(keyed.withColumn("_draw", F.pmod(place, F.lit(1_000_000)).cast("int")), lists), "votes")
+    place = F.pmod(F.xxhash64("_key", F.lit(11)), F.lit(1_000_000)).cast("int")
+    voted = staged_once(_voted(keyed.withColumn("_draw", place), lists), "votes")
     opinion = F.concat(
         F.col("_votes"),
         F.when(F.col("_quality") == 0, "1").when(F.col("_quality") == 1, "0").otherwise("2"),
@@ -424,7 +425,7 @@ def fit(
     least = spark.createDataFrame([(x, int(np.ceil(r * 1_000_000))) for x, r in zip(names, rates.tolist(), strict=True)], "_of_pattern string, _least int")
     drawn = joined.join(F.broadcast(least), F.col("_pattern") == F.col("_of_pattern")).where("_draw < _least")
     drawn = drawn.groupBy(F.col("_key").alias("_drawn")).agg(F.first("_pattern").alias("_pattern"), F.count("*").alias("_n"))
-    drawn = staged_once(drawn.limit(2 * training_rows), "drawn")  # bounded, so it may go to every task
+    drawn = staged_once(drawn.orderBy("_drawn").limit(2 * training_rows), "drawn")  # bounded, so it may go to every task
     texts = keyed.join(F.broadcast(drawn), F.col("_key") == F.col("_drawn")).groupBy("_key")
     texts = texts.agg(*[F.first(c).alias(c) for c in ("_pattern", "_n", "_whole")])
     rows = _featured(texts).toArrow()

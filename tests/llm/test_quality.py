@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from orderloom.llm import quality
 from tests.llm.conftest import ODD_ROWS
@@ -76,6 +77,17 @@ def test_every_text_is_scored_once(spark):
         assert found._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
 
 
+def test_models_do_not_depend_on_partitions(spark):
+    """The same table dealt out otherwise, and read in another order, keeps the same documents."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    kept = [
+        {r.doc_id for r in quality.kept(d, l).select("doc_id").collect()}
+        for d, l in ((docs, labels), (docs.repartition(7, "text"), labels.orderBy(F.desc("doc_id"))))
+    ]
+    assert kept[0] == kept[1]
+
+
 @pytest.mark.parametrize("with_labels", [False, True])
 def test_odd_rows(spark, documents, with_labels):
     labels = spark.createDataFrame(
