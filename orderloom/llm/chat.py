@@ -11,9 +11,10 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +27,8 @@ LOSS_ROLE = "assistant"
 #: A part of a conversation that one task renders and encodes: so many turns, and about so many characters.
 PART_TURNS = 64
 PART_CHARS = 1_000_000
+#: Parts that are encoded and handed on together, if they have no more characters than that.
+FRAME_PARTS = 256
 
 _ESCAPED = re.compile(r"<(\\*)\|")
 _UNESCAPED = re.compile(r"<\\(\\*)\|")
@@ -62,6 +65,9 @@ def parse(formatted: str) -> list[tuple[str, str]]:
 
 
 def load(path: str) -> object:
+    import os
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     from tokenizers import AddedToken, Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
@@ -70,15 +76,26 @@ def load(path: str) -> object:
     return tokenizer
 
 
-def encode(tokenizer: object, formatted: str, spans: np.ndarray) -> tuple[list[int], np.ndarray, np.ndarray]:
-    """Ids, offsets and loss mask: a token counts if it lies in a span of a text to learn."""
-    made = tokenizer.encode(formatted, add_special_tokens=False)
-    offsets = np.asarray(made.offsets, dtype=np.int64).reshape(-1, 2)
+def masked(offsets: np.ndarray, spans: np.ndarray) -> np.ndarray:
+    """Loss mask: a token counts if it lies in a span of a text to learn."""
     mask = np.zeros(len(offsets), bool)
-    for start, end in spans.tolist():
-        # tokens that share a character have the same or overlapping offsets, still in order
-        mask[np.searchsorted(offsets[:, 1], start, side="right") : np.searchsorted(offsets[:, 0], end, side="left")] = True
-    return made.ids, offsets, mask
+    # tokens that share a character have the same or overlapping offsets, still in order
+    first = np.searchsorted(offsets[:, 1], spans[:, 0], side="right")
+    last = np.searchsorted(offsets[:, 0], spans[:, 1], side="left")
+    for a, b in zip(first.tolist(), last.tolist(), strict=True):
+        mask[a:b] = True
+    return mask
+
+
+def encode_all(tokenizer: object, formatted: list[str], spans: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Ids, offsets and loss mask of each formatted text."""
+    for made, mine in zip(tokenizer.encode_batch(formatted, add_special_tokens=False), spans, strict=True):
+        offsets = np.fromiter(chain.from_iterable(made.offsets), np.int64).reshape(-1, 2)
+        yield np.asarray(made.ids, np.int32), offsets, masked(offsets, mine)
+
+
+def encode(tokenizer: object, formatted: str, spans: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return next(encode_all(tokenizer, [formatted], [spans]))
 
 
 def learnt(formatted: str, offsets: np.ndarray, mask: np.ndarray) -> list[str]:
@@ -98,6 +115,11 @@ def learnt(formatted: str, offsets: np.ndarray, mask: np.ndarray) -> list[str]:
 _FORMATTED = "conv_id long, part long, formatted string, ids array<int>, loss array<boolean>, learnt array<string>"
 
 
+def _lists(rows: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows)))
+
+
 def format_conversations(turns: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     """Parts of conversations (conv_id, part): formatted text, token ids, loss mask, texts under the mask.
 
@@ -108,32 +130,44 @@ def format_conversations(turns: DataFrame, tokenizer: str = TOKENIZER) -> DataFr
     """
     prepare(turns.sparkSession)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool, held, key, size, part = load(tokenizer), [], None, 0, 0
-
-        def flush() -> pd.DataFrame:
-            formatted, spans = render(held)
-            ids, offsets, mask = encode(tool, formatted, spans)
-            conv = None if pd.isna(key[0]) else int(key[0])
-            row = (conv, (key[1] << 24) + part, formatted, ids, mask.tolist(), learnt(formatted, offsets, mask))
-            return pd.DataFrame([row], columns=["conv_id", "part", "formatted", "ids", "loss", "learnt"]).astype(
-                {"conv_id": "Int64"}
-            )
-
-        for frame in frames:
-            for conv, block, role, text in zip(frame["conv_id"], frame["_block"], frame["role"], frame["text"], strict=True):
-                now = (None if pd.isna(conv) else conv, int(block))
+        done: list[tuple] = []
+        chars = 0
+
+        def encoded() -> pa.RecordBatch:
+            convs, numbers, texts, spans = (list(x) for x in zip(*done, strict=True))
+            ids, masks, learn = [], [], []
+            for text, (mine, offsets, mask) in zip(texts, encode_all(tool, texts, spans), strict=True):
+                ids.append(mine)
+                masks.append(mask)
+                learn.append(learnt(text, offsets, mask))
+            columns = [
+                pa.array(convs, pa.int64()), pa.array(numbers, pa.int64()), pa.array(texts, pa.string()),
+                _lists(ids), _lists(masks), pa.array(learn, pa.list_(pa.string())),
+            ]
+            return pa.RecordBatch.from_arrays(columns, names=["conv_id", "part", "formatted", "ids", "loss", "learnt"])
+
+        for batch in batches:
+            for conv, block, role, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                now = (conv, block)
                 if held and (now != key or len(held) >= PART_TURNS or size >= PART_CHARS):
-                    yield flush()
+                    done.append((key[0], (key[1] << 24) + part, *render(held)))
+                    chars += size
                     part = part + 1 if now == key else 0
                     held, size = [], 0
+                    if len(done) >= FRAME_PARTS or chars >= PART_CHARS:
+                        yield encoded()
+                        done, chars = [], 0
                 elif now != key:
                     part = 0
                 key = now
                 held.append((role, text))
                 size += len(text)
         if held:
-            yield flush()
+            done.append((key[0], (key[1] << 24) + part, *render(held)))
+        if done:
+            yield encoded()
 
     ordered = (
         turns.select(
@@ -146,7 +180,7 @@ def format_conversations(turns: DataFrame, tokenizer: str = TOKENIZER) -> DataFr
         .repartition("conv_id", "_block")
         .sortWithinPartitions("conv_id", "_block", "turn", "role", "text")
     )
-    return ordered.drop("turn").mapInPandas(run, _FORMATTED)
+    return ordered.select("conv_id", "_block", "role", "text").mapInArrow(run, _FORMATTED)
 
 
 def digests(parts: DataFrame) -> DataFrame:
@@ -155,17 +189,22 @@ def digests(parts: DataFrame) -> DataFrame:
     The parts of a conversation are streamed in order through running hashes, never held together.
     """
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+    kinds = {"conv_id": pa.int64(), "n_turns": pa.int64(), "turns_sha256": pa.string(), "loss_chars": pa.int64()}
+    kinds |= {"loss_sha256": pa.string(), "formatted_chars": pa.int64()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = None
 
         def row() -> tuple:
             return state[0], state[1], state[2].hexdigest(), state[3], state[4].hexdigest(), state[5]
 
-        for frame in frames:
+        def made(rows: list[tuple]) -> pa.RecordBatch:
+            columns = zip(*rows, strict=True) if rows else [[]] * len(kinds)
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values(), strict=True)], names=list(kinds))
+
+        for batch in batches:
             done = []
-            for conv, formatted, texts in zip(frame["conv_id"], frame["formatted"], frame["learnt"], strict=True):
-                conv = None if pd.isna(conv) else int(conv)
+            for conv, formatted, texts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if state is None or conv != state[0]:
                     if state is not None:
                         done.append(row())
@@ -177,16 +216,16 @@ def digests(parts: DataFrame) -> DataFrame:
                     state[3] += len(text)
                     state[4].update(text.encode())
                 state[5] += len(formatted)
-            yield pd.DataFrame(done, columns=names).astype({"conv_id": "Int64"})
+            yield made(done)
         if state is not None:
-            yield pd.DataFrame([row()], columns=names).astype({"conv_id": "Int64"})
+            yield made([row()])
 
     ordered = (
         parts.select("conv_id", "part", "formatted", "learnt")
         .repartition("conv_id")
         .sortWithinPartitions("conv_id", "part")
     )
-    return ordered.drop("part").mapInPandas(
+    return ordered.drop("part").mapInArrow(
         run,
         "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long",
     )
