@@ -32,6 +32,8 @@ BLOCK_RADIUS = MOST_BITS // len(BLOCKS)
 #: Fingerprints a shard should hold, and the bound on the sample that shapes the trees.
 SHARD_ROWS = 2048
 SAMPLE_ROWS = 20_000
+#: Fingerprints that one task compares with each other at most; a larger shard is dealt to pairs of blocks.
+MOST_ROWS = 16 * SHARD_ROWS
 
 
 def fingerprint(text: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
@@ -215,8 +217,22 @@ def links(distinct: DataFrame, n: int, most: int = MOST_BITS) -> DataFrame:
         tied = label != np.arange(len(fps))
         return pd.DataFrame({"a": fps[tied], "b": fps[label[tied]]})
 
-    routed = distinct.select("_fp").mapInArrow(route, "shard long, fp long, home boolean")
-    return routed.groupBy("shard").applyInPandas(solve, "a long, b long").distinct()
+    routed = staged_once(distinct.select("_fp").mapInArrow(route, "shard long, fp long, home boolean"), "shards")
+    return _in_blocks(routed).groupBy("shard", "_i", "_j").applyInPandas(solve, "a long, b long").distinct()
+
+
+def _in_blocks(routed: DataFrame) -> DataFrame:
+    """Rows of shards with the pair (_i, _j) of blocks that a task compares: one pair, but for shards over ``MOST_ROWS``.
+
+    A cluster that no tree can split is dealt to blocks, and every two blocks meet in a task of their own, so
+    that no task holds more than two of them and every pair of the shard is compared in one.
+    """
+    sizes = routed.groupBy("shard").count().where(F.col("count") > MOST_ROWS)
+    sizes = staged_once(sizes.select("shard", F.ceil(F.col("count") / (MOST_ROWS // 2)).cast("int").alias("_blocks")), "large-shards")
+    dealt = routed.join(sizes, "shard", "left").withColumn("_mine", F.pmod(F.hash("fp", F.lit(31)), F.coalesce("_blocks", F.lit(1))))
+    others = F.filter(F.sequence(F.lit(0), F.col("_blocks") - 1), lambda b: b != F.col("_mine"))
+    dealt = dealt.withColumn("_other", F.explode(F.when(F.col("_blocks").isNull(), F.array(F.lit(0))).otherwise(others)))
+    return dealt.select("shard", "fp", "home", F.least("_mine", "_other").alias("_i"), F.greatest("_mine", "_other").alias("_j"))
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -85,6 +85,31 @@ def test_chains_and_dense_clusters():
     assert set(simhash.linked_within(dense, np.ones(16, bool)).tolist()) == {0}
 
 
+@pytest.mark.parametrize("most_rows", [30, 1 << 20])
+def test_an_oversized_shard_is_compared_in_blocks(spark, monkeypatch, most_rows):
+    """Clusters within a few bits that no tree splits: pairs of blocks find the same components, in bounded tasks."""
+    monkeypatch.setattr(simhash, "MOST_ROWS", most_rows)
+    rng = np.random.default_rng(4)
+    centers = rng.integers(0, 2**63, 4).astype(np.uint64)
+    flips = np.asarray([np.bitwise_or.reduce(np.uint64(1) << rng.choice(64, k, replace=False).astype(np.uint64)) for k in rng.integers(1, 7, 400)])
+    fps = np.unique(np.concatenate([centers, np.repeat(centers, 100) ^ flips, rng.integers(0, 2**63, 100).astype(np.uint64)]))
+    distinct = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "_fp long")
+    edges = simhash.links(distinct, len(fps))
+    found = {r.node: r.root for r in simhash.components(edges).collect()}
+    expected = groups({int(x): int(x) for x in fps})
+
+    def classes(root_of):
+        made = {}
+        for x in fps:
+            made.setdefault(root_of(x), set()).add(int(x))
+        return sorted(map(sorted, made.values()))
+
+    assert classes(lambda x: found.get(int(x.view(np.int64)), int(x.view(np.int64)))) == classes(lambda x: expected[int(x)])
+    routed = spark.createDataFrame([(1, int(x), True) for x in fps.view(np.int64)], "shard long, fp long, home boolean")
+    sizes = [r["count"] for r in simhash._in_blocks(routed).groupBy("shard", "_i", "_j").count().collect()]
+    assert max(sizes) <= max(60, most_rows) and (len(sizes) > 1) == (most_rows == 30)
+
+
 def test_star_contraction(spark):
     path = [(k, k + 1) for k in range(40)] + [(100, 200 + k) for k in range(50)] + [(7, 7)]
     got = {r.node: r.root for r in simhash.components(spark.createDataFrame(path, "a long, b long")).collect()}
