@@ -251,6 +251,28 @@ def test_positions_of_many_matches(spark):
     assert got == [m.start() for m in re.finditer("7", text)]
 
 
+def test_variants_of_a_license_are_told_apart(documents):
+    """Every template's own text, whole or with a changed word, names its license and no other at that place."""
+    rows, wanted = [], {}
+    for k, (name, text) in enumerate(licenses.TEMPLATES):
+        words = text.split()
+        changed = [w if j != len(words) // 3 else "changed" for j, w in enumerate(words)]
+        for copy, mine in ((0, words), (1000, changed if len(words) > 60 else words)):
+            rows.append((copy + k, " ".join(["some", "words", "before", *mine, "and", "after"])))
+            wanted[copy + k] = {name}
+    got = {}
+    for r in licenses.scan(documents(rows)).collect():
+        got.setdefault(r.doc_id, set()).add(r.license)
+    assert got == wanted
+
+
+def test_two_licenses_in_one_text(documents):
+    texts = dict(licenses.TEMPLATES)
+    both = f"{texts['AGPL-3.0']} Files in lib are under another one. {texts['LGPL-2.1']} {texts['BSD-2-Clause']}"
+    got = licenses.scan(documents([(1, both)])).collect()
+    assert {r.license for r in got} == {"AGPL-3.0", "LGPL-2.1", "BSD-2-Clause"}
+
+
 def test_licenses_against_every_window(spark, documents):
     draw = random.Random(3)
     rows = list(ODD_ROWS)
@@ -264,15 +286,17 @@ def test_licenses_against_every_window(spark, documents):
             text[at:at] = notice
         rows.append((100 + k, " ".join(text)))
     words = WordHashes()
-    templates = [np.unique(licenses.shingles(word_hashes(words, t))) for _, t in licenses.TEMPLATES]
+    whole = [licenses.shingles(word_hashes(words, t)) for _, t in licenses.TEMPLATES]
+    templates = [(np.unique(x), len(x)) for x in whole]
     wanted = set()
     for doc_id, text in rows:
         mine = licenses.shingles(word_hashes(words, text))
-        for k, t in enumerate(templates):
+        for k, (t, length) in enumerate(templates):
             hit = np.isin(mine, t)
-            if any(len(np.unique(mine[a : a + len(t)][hit[a : a + len(t)]])) >= 0.8 * len(t) for a in np.flatnonzero(hit)):
+            if any(len(np.unique(mine[a : a + length][hit[a : a + length]])) >= 0.8 * len(t) for a in np.flatnonzero(hit)):
                 wanted.add((doc_id, k))
-    got = licenses.scan(documents(rows)).collect()
+    one = tuple(("any", text) for _, text in licenses.TEMPLATES)  # of one license all templates count
+    got = licenses.scan(documents(rows), one).collect()
     assert {(r.doc_id, r.template) for r in got} == wanted
     assert len(wanted) > 70
     assert all(r.containment >= 0.8 for r in got)
