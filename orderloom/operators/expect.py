@@ -20,6 +20,16 @@ def expect_count(df: DataFrame, expected: int, what: str = "table") -> None:
         raise ExpectationFailed(f"{what}: expected {expected} rows, got {found}")
 
 
+def count_report(tables: Sequence[tuple[str, DataFrame, DataFrame]]) -> DataFrame:
+    """(table, expected, found, as_expected) for every (name, what it was written from, what it holds): one row each."""
+    made = None
+    for name, source, written in tables:
+        expected, found = (df.agg(F.count(F.lit(1)).alias("n")) for df in (source, written))
+        row = expected.select(F.lit(name).alias("table"), F.col("n").alias("expected"), found.scalar().alias("found"))
+        made = row if made is None else made.unionByName(row)
+    return made.withColumn("as_expected", F.col("expected") == F.col("found"))
+
+
 def violators(df: DataFrame, **expected) -> DataFrame:
     """Rows in which some column differs from its expected constant; NULL differs."""
     wrong = F.lit(False)

@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderloom.operators.digest import differences_by_digest
-from orderloom.operators.expect import differences, paired, violators
+from orderloom.operators.expect import count_report, differences, paired, violators
 from orderloom.operators.orders import GOLD_KEYS, aggregate_orders, gold_from_bronze
+from orderloom.plans import medallion
 from orderloom.queries import tables as t
 from orderloom.queries.registry import query
+from orderloom.queries.writes import LATE, dirty_sources, two_day_lake
+from orderloom.schemas import IDS_WIDE
 from orderloom.session import materialize
+from orderloom.sources import generate
+from orderloom.streaming import freeze
 
 
 @query(t.sql("SELECT * FROM gold WHERE total_orders <> 1 OR total_quantity <> 30", "gold"))
@@ -109,3 +115,86 @@ def changed_lines_by_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = t.order_item(spark, sf_dir)
     changed = F.when(F.col("id_order") == 33, F.col("qty") + 1).otherwise(F.col("qty"))
     return differences_by_digest(lines.withColumn("qty", changed), lines)
+
+
+_KEPT = "NOT (no_id OR no_customer OR repeated)"
+
+
+@query(
+    t.sql(
+        "SELECT *, expected = found AS as_expected FROM ("
+        f"SELECT 'order' AS \"table\", COUNT(*) AS expected, COUNT(*) FILTER ({_KEPT}) AS found FROM checked"
+        " UNION ALL SELECT 'customer', COUNT(*), COUNT(*) FROM customer"
+        " UNION ALL SELECT 'product', COUNT(*), COUNT(*) FROM part"
+        " UNION ALL SELECT 'order_item', COUNT(*), COUNT(*) FROM lineitem)",
+        "checked",
+    )
+)
+def reconciled_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the source tables against those read back from bronze: orders lack what was quarantined."""
+    lake = dirty_sources(spark, sf_dir)
+    medallion.load_bronze_dimensions(lake)
+    medallion.load_bronze_orders(lake)
+    names = ("order", "customer", "product", "order_item")
+    return count_report([(n, lake.read(medallion.SOURCE, n), lake.read("raw", n)) for n in names])
+
+
+@query(
+    f"SELECT side AS \"table\", COUNT(*) AS \"groups\", CAST(SUM(total_quantity) AS BIGINT) AS quantity,"
+    " CAST(SUM(total_orders) AS BIGINT) AS orders, CAST(0 AS BIGINT) AS differing"
+    f" FROM ({LATE}) CROSS JOIN (SELECT unnest(['order_agg', 'order_agg_sdp']) AS side) GROUP BY side"
+)
+def gold_sides_agree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same two days through the batch and the streaming side: both gold tables, and how many rows differ."""
+    lake = two_day_lake(spark, sf_dir, streaming=True)
+    cents = F.round("total_value", 2)
+    sides = {n: lake.read("report", n).withColumn("total_value", cents) for n in ("order_agg", freeze.GOLD_TABLE)}
+    differing = differences_by_digest(*sides.values()).agg(F.count(F.lit(1))).scalar()
+    rows = None
+    for name, gold in sides.items():
+        row = gold.agg(
+            F.lit(name).alias("table"),
+            F.count(F.lit(1)).alias("groups"),
+            F.sum("total_quantity").alias("quantity"),
+            F.sum("total_orders").alias("orders"),
+        )
+        rows = row if rows is None else rows.unionByName(row)
+    return rows.withColumn("differing", differing)
+
+
+@query(
+    "SELECT day AS seed_date, 2000000 + (day - DATE '2024-01-01') * 5000 + 1 AS first_id,"
+    " 2000000 + (day - DATE '2024-01-01') * 5000 + 5000 AS last_id, CAST(5000 AS BIGINT) AS orders,"
+    " CAST(0 AS BIGINT) AS shared FROM (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events)"
+)
+def generated_days_are_disjoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders generated for every day that has events: each day's range of ids, and the ids it shares with another day."""
+    days = t.load(spark, sf_dir, "events").select(F.to_date("ts").alias("seed_date")).distinct()
+    slots = days.withColumn("slot", F.explode(F.sequence(F.lit(1), F.lit(generate.ORDERS_PER_DAY))))
+    orders = generate.gen_day_orders(slots, IDS_WIDE)
+    copies = orders.groupBy("id").agg(F.min("date").alias("date"), F.countDistinct("date").alias("days"))
+    return copies.groupBy(F.col("date").cast("date").alias("seed_date")).agg(
+        F.min("id").alias("first_id"),
+        F.max("id").alias("last_id"),
+        F.count(F.lit(1)).alias("orders"),
+        F.count_if(F.col("days") > 1).alias("shared"),
+    )
+
+
+_AREAS = (("NATION_1", "north"), ("NATION_2", "north"), ("NATION_3", "south"), ("NATION_99", "nowhere"))
+
+
+@query(
+    t.sql(
+        "SELECT COALESCE(area, 'elsewhere') AS area, COUNT(*) AS customers FROM cust LEFT JOIN (VALUES "
+        + ", ".join(f"('{country}', '{area}')" for country, area in _AREAS)
+        + ") AS areas(country, area) USING (country) GROUP BY 1",
+        "cust",
+    )
+)
+def customers_by_literal_area(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A relation of literal rows in a declared shape, joined to the customers."""
+    shape = T.StructType().add("country", T.StringType()).add("area", T.StringType())
+    areas = spark.createDataFrame(list(_AREAS), shape)
+    named = t.customer(spark, sf_dir).join(areas, "country", "left")
+    return named.groupBy(F.coalesce("area", F.lit("elsewhere")).alias("area")).agg(F.count(F.lit(1)).alias("customers"))

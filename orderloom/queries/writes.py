@@ -164,7 +164,7 @@ def updated_then_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read("report", "order_agg")
 
 
-def _dirty_sources(spark: SparkSession, sf_dir: str) -> Lake:
+def dirty_sources(spark: SparkSession, sf_dir: str) -> Lake:
     lake = scratch_lake(spark)
     source = m.SOURCE
     overwrite_table(t.customer(spark, sf_dir), lake.name(source, "customer"), schemas.customer_schema(IDS))
@@ -180,7 +180,7 @@ _STRICT = dirty.INVALID_SQL.replace("450000", "1000")
 @query(_STRICT)
 def bronze_order_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quarantine table of a bronze load whose gate then stops the run."""
-    lake = _dirty_sources(spark, sf_dir)
+    lake = dirty_sources(spark, sf_dir)
     try:
         m.load_bronze_orders(lake, fail_ratio=0.0)
     except q.QuarantineRatioExceeded:
@@ -198,7 +198,7 @@ def bronze_order_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def bronze_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row counts of the bronze tables after a load of dirty sources."""
-    lake = _dirty_sources(spark, sf_dir)
+    lake = dirty_sources(spark, sf_dir)
     m.load_bronze_dimensions(lake)
     m.load_bronze_orders(lake)
     counts = [
@@ -252,7 +252,7 @@ def _second_day(lake: Lake, spark: SparkSession, sf_dir: str, day: str) -> None:
     merge_update(renames, lake.name(source, "product"), ["product_id"], ["name"])
 
 
-_LATE = t.sql(
+LATE = t.sql(
     "SELECT customer_name, country, CAST(date_trunc('month', order_date) AS DATE) AS order_date, product_id,"
     " CASE WHEN product_id % 5 = 0 AND date_trunc('month', order_date) = DATE '2001-07-01'"
     " THEN product_name || '.1' ELSE product_name END AS product_name,"
@@ -263,23 +263,25 @@ _LATE = t.sql(
 )
 
 
-def two_day_lake(spark: SparkSession, sf_dir: str) -> Lake:
-    lake = scratch_lake(spark)
-    _first_load(lake, spark, sf_dir, SECOND_DAY)
-    m.run_day(lake, SECOND_DAY)
-    _second_day(lake, spark, sf_dir, SECOND_DAY)
-    m.run_day(lake, SECOND_DAY)
+def two_day_lake(spark: SparkSession, sf_dir: str, streaming: bool = False) -> Lake:
+    """Both days through the batch side, and with ``streaming`` through the other one as well."""
+    lake, checkpoints = scratch_lake(spark), scratch_path(spark, "offsets")
+    for arrive in (_first_load, _second_day):
+        arrive(lake, spark, sf_dir, SECOND_DAY)
+        m.run_day(lake, SECOND_DAY)
+        if streaming:
+            freeze.refresh(lake, checkpoints)
     return lake
 
 
-@query(_LATE)
+@query(LATE)
 def freeze_two_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Backfill, rename, daily run: only the last day's lines carry the new names."""
     return two_day_lake(spark, sf_dir).read("report", "order_agg")
 
 
 def _refreshed_views(spark: SparkSession, sf_dir: str) -> Lake:
-    lake = _dirty_sources(spark, sf_dir)
+    lake = dirty_sources(spark, sf_dir)
     freeze.refresh_dimension_views(lake)
     return lake
 
@@ -310,7 +312,7 @@ def two_day_stream(spark: SparkSession, sf_dir: str) -> Lake:
     return lake
 
 
-@query(_LATE)
+@query(LATE)
 def stream_freeze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same two days through the stream-static join."""
     return two_day_stream(spark, sf_dir).read("report", freeze.GOLD_TABLE)

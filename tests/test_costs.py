@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from orderloom.functions import columns as x
-from orderloom.operators.pivot import weekly_cells, weekly_pivot
+from orderloom.operators.pivot import TooManyLabels, weekly_cells, weekly_pivot
 from orderloom.operators.pricing import price_usage
 from orderloom.operators.report import format_report
 from orderloom.plans import costs as c
@@ -275,3 +275,12 @@ def test_days():
     assert x.as_day(datetime(2024, 1, 1, 5)) == date(2024, 1, 1)
     assert x.as_day("  ") == x.as_day(None) == date.today()
     assert x.day_start_ms("1970-01-02") == 86_400_000
+
+
+def test_pivot_of_too_many_labels_is_refused(spark):
+    """No label is left out: the pivot raises, and the cells hold them all."""
+    data = spark.range(30).selectExpr("'2024-01-01' AS week", "concat('l', id) AS s", "CAST(id AS DOUBLE) AS usd")
+    with pytest.raises(TooManyLabels, match="weekly_cells"):
+        weekly_pivot(data, "s", "usd", most_labels=28)
+    assert len(weekly_pivot(data, "s", "usd", most_labels=29).columns) == 31  # one label sums to nothing
+    assert weekly_cells(data, "s", "usd").count() == 30
