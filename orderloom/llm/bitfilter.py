@@ -15,18 +15,29 @@ BITS = 1 << 25  # 4 MB
 HASHES = 3
 
 
-def places(keys: np.ndarray) -> Iterator[np.ndarray]:
-    """Places of keys in the filter: their low bits moved on by steps of their high ones."""
+def place(keys: np.ndarray, k: int) -> np.ndarray:
+    """The ``k``-th place of keys in the filter: their low bits moved on by steps of their high ones."""
     step = (keys >> np.uint64(40)) | np.uint64(1)
+    return ((keys + np.uint64(k) * step) & np.uint64(BITS - 1)).astype(np.int32)
+
+
+def places(keys: np.ndarray) -> Iterator[np.ndarray]:
+    return (place(keys, k) for k in range(HASHES))
+
+
+def passing(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Where the keys are that may be among those that ``bits`` was built from: most others go at the first place."""
+    left = np.arange(len(keys))
     for k in range(HASHES):
-        yield ((keys + np.uint64(k) * step) & np.uint64(BITS - 1)).astype(np.int64)
+        bit = place(keys[left], k)
+        left = left[(bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1]
+    return left
 
 
 def passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Whether each key may be among those that ``bits`` was built from."""
-    found = np.ones(len(keys), dtype=bool)
-    for bit in places(keys):
-        found &= (bits[bit >> 3] >> (bit & 7)) & 1 == 1
+    found = np.zeros(len(keys), dtype=bool)
+    found[passing(bits, keys)] = True
     return found
 
 

@@ -39,8 +39,9 @@ WINDOW_WORDS = 13
 LEAST_WORDS = 5
 SHARE = 0.8
 
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 150_000
 _CELLS = 1 << 20  # of arrays compared at once
+_STREAM = 1 << 17  # words of texts hashed at once
 
 
 class WordHashes(dict):
@@ -157,29 +158,39 @@ def _item_seeds(items: DataFrame) -> DataFrame:
 def _text_seeds(texts: DataFrame, bits: np.ndarray, masks: tuple[str, ...]) -> DataFrame:
     """(key, _k1, _k2): the seeds of rows (_k1, _k2, _text) that pass the filter, each hash of a text once."""
 
+    def found(arrays: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """(text, hash), each once, of texts that are hashed as one stream."""
+        starts = np.cumsum([0, *(len(x) for x in arrays)])
+        stream = np.concatenate(arrays)
+        owners, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+        for mask in masks:
+            made = _seed_hash(stream, mask)
+            spots = bitfilter.passing(bits, made)
+            rows = np.searchsorted(starts, spots, side="right") - 1
+            within = spots + len(mask) <= starts[rows + 1]  # not over the end of its text
+            owners.append(rows[within])
+            hashes.append(made[spots[within]])
+        owner, key = np.concatenate(owners), np.concatenate(hashes)
+        order = np.lexsort((key, owner))
+        owner, key = owner[order], key[order]
+        fresh = np.r_[True, (owner[1:] != owner[:-1]) | (key[1:] != key[:-1])][: len(owner)]
+        return owner[fresh], key[fresh]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for batch in batches:
-            arrays = [word_hashes(words, text) for text in batch.column(2).to_pylist()]
-            starts = np.cumsum([0, *(len(x) for x in arrays)])
-            stream = np.concatenate([*arrays, np.zeros(0, np.uint64)])
-            owners, found = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-            for mask in masks:
-                made = _seed_hash(stream, mask)
-                spots = np.flatnonzero(bitfilter.passes(bits, made))
-                rows = np.searchsorted(starts, spots, side="right") - 1
-                within = spots + len(mask) <= starts[rows + 1]  # not over the end of its text
-                owners.append(rows[within])
-                found.append(made[spots[within]])
-            owner, hashes = np.concatenate(owners), np.concatenate(found)
-            order = np.lexsort((hashes, owner))
-            owner, hashes = owner[order], hashes[order]
-            fresh = np.r_[True, (owner[1:] != owner[:-1]) | (hashes[1:] != hashes[:-1])][: len(owner)]
-            rows = pa.array(owner[fresh])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(hashes[fresh].view(np.int64)), *(batch.column(k).take(rows) for k in (0, 1))],
-                names=["key", *_KEY],
-            )
+            held, size, first = [], 0, 0
+            for row in range(batch.num_rows):
+                held.append(word_hashes(words, batch.column(2)[row].as_py()))
+                size += len(held[-1])
+                if size < _STREAM and row + 1 < batch.num_rows:
+                    continue
+                owner, key = found(held)
+                at = pa.array(owner + first)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key.view(np.int64)), *(batch.column(k).take(at) for k in (0, 1))], names=["key", *_KEY]
+                )
+                held, size, first = [], 0, row + 1
 
     return texts.select(*_KEY, "_text").mapInArrow(run, "key long, _k1 long, _k2 long")
 

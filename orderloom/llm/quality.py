@@ -34,7 +34,7 @@ TRAINING_ROWS = 8_000
 DIMENSIONS = 1 << 18
 STEM = 4
 BAD, GOOD, ABSTAIN = 1, 0, 2
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 150_000
 
 
 @dataclass(frozen=True)
