@@ -224,7 +224,7 @@ def _verified(pairs: DataFrame) -> DataFrame:
 
 
 def _leaks(texts: DataFrame, items: DataFrame) -> DataFrame:
-    """Leaks between rows (_k1, _k2, _text) and (_i1, _i2, _item), distinct on both sides, by their keys, written."""
+    """Leaks between rows (_k1, _k2, _text) and distinct rows (_i1, _i2, _item), by their keys."""
     seeds = staged_once(_item_seeds(items.withColumnsRenamed({"_i1": "_k1", "_i2": "_k2", "_item": "_text"})), "test-seeds")
     widths = [r["width"] for r in seeds.select("width").distinct().collect()]  # at most one for each of ``MASKS``
     masks = tuple(sorted({mask for width in widths for mask in MASKS[width]}))
@@ -233,7 +233,7 @@ def _leaks(texts: DataFrame, items: DataFrame) -> DataFrame:
     met = staged_once(hits.join(seeds, "key").select(*_KEY, "_i1", "_i2").distinct(), "texts-and-tests")
     asked = texts.join(met.select(*_KEY).distinct(), list(_KEY), "left_semi").dropDuplicates(list(_KEY))
     pairs = asked.join(met.join(items, ["_i1", "_i2"]), list(_KEY))
-    return staged_once(_verified(pairs), "leaks")
+    return _verified(pairs)
 
 
 def _items(tests: DataFrame, test_text: str) -> DataFrame:
@@ -241,7 +241,7 @@ def _items(tests: DataFrame, test_text: str) -> DataFrame:
     text = F.col(test_text)
     first, second = _keys(text)
     held = tests.where(F.length(text) > 0).select(first.alias("_i1"), second.alias("_i2"), text.alias("_item"))
-    return staged_once(held.dropDuplicates(["_i1", "_i2"]), "tests")
+    return held.dropDuplicates(["_i1", "_i2"])
 
 
 def _texts(docs: DataFrame, text_col: str) -> DataFrame:
@@ -265,7 +265,7 @@ def find_leaks(
     empty result.
     """
     prepare(docs.sparkSession)
-    leaks = _leaks(_texts(docs, text_col), _items(tests, test_text))
+    leaks = staged_once(_leaks(_texts(docs, text_col), _items(tests, test_text)), "leaks")
     rows = docs.select(docs[id_col].alias("_doc"), *_keys(whole_text(text_col))).join(leaks, list(_KEY))
     first, second = _keys(F.col(test_text))
     named = tests.where(F.length(test_text) > 0).select(tests[test_id].alias("_test"), first.alias("_i1"), second.alias("_i2"))

@@ -34,6 +34,8 @@ SHARD_ROWS = 2048
 SAMPLE_ROWS = 20_000
 #: Fingerprints that one task compares with each other at most; a larger shard is dealt to pairs of blocks.
 MOST_ROWS = 16 * SHARD_ROWS
+#: Edges of components in one file of a round.
+FILE_EDGES = 2048
 
 
 def fingerprint(text: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
@@ -238,23 +240,28 @@ def _in_blocks(routed: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node reachable, for every node of the undirected edges (a, b).
 
-    Alternating large and small stars; each round is written to the shared folder. Neighbourhoods are
-    never gathered: a hub's minimum is a partial aggregate, joined back to its edges.
+    Alternating large and small stars; each round is written to the shared folder, in as many files as its edges are
+    worth. Neighbourhoods are never gathered: a hub's minimum is a partial aggregate, joined back to its edges.
     """
     now = staged_once(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), "edges")
-    before = None
+    most = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n, before = now.count(), None
+
+    def written(star: DataFrame, label: str) -> DataFrame:
+        return staged_once(star.coalesce(min(most, 1 + n // FILE_EDGES)), label)
+
     while True:
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        large = staged_once(large, "large-star")
+        large = written(large, "large-star")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         hooked = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        now = staged_once(least.select("a", F.col("m").alias("b")).union(hooked).distinct(), "small-star")
+        now = written(least.select("a", F.col("m").alias("b")).union(hooked).distinct(), "small-star")
         state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:
             break
-        before = state
+        n, before = state[0], state
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
         now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )
