@@ -80,3 +80,18 @@ def monthly_distinct_from_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     record_days(spark, table, silver.filter("order_id % 2 = 0"), ["country"], MEASURES, days[:1])
     record_days(spark, table, silver, ["country"], MEASURES, days)
     return wide_counts(spark.table(table), ["country"], F.trunc("order_date", "month"), MEASURES)
+
+
+@query(t.sql("SELECT * FROM dirty WHERE id IS NOT NULL AND id_customer IS NOT NULL", "dirty"))
+def appended_order_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The view of identified orders: recomputed, rebuilt as a stream, then appended to as the other half arrives."""
+    lake, checkpoints = scratch_lake(spark), scratch_path(spark, "offsets")
+    source, shape = lake.name(m.SOURCE, "order"), schemas.order_schema(IDS)
+    orders = t.dirty_order(spark, sf_dir)
+    overwrite_table(orders.filter("total < 200000"), source, shape)
+    freeze.refresh_order_view(lake)
+    freeze.refresh_order_view(lake, checkpoints)
+    orders.filter("total >= 200000 OR total IS NULL").write.mode("append").insertInto(source)
+    freeze.refresh_order_view(lake, checkpoints)
+    freeze.refresh_order_view(lake, checkpoints)
+    return lake.read(*freeze.ORDERS)

@@ -16,7 +16,7 @@ from orderloom.operators.orders import enrich_order
 from orderloom.operators.tablewrites import overwrite_table
 from orderloom.plans.medallion import ORDER_LAYOUT, PRODUCT_LAYOUT, SOURCE, backfill_gold
 from orderloom.sources.tables import Lake
-from orderloom.streaming.append import stream_append
+from orderloom.streaming.append import filled_by_stream, stream_append
 
 ITEMS = ("raw", "order_item_sdp")
 SILVER = ("curated", "order_enriched_sdp")
@@ -28,9 +28,27 @@ def identified_orders(order: DataFrame) -> DataFrame:
     return order.filter(F.col("id").isNotNull() & F.col("id_customer").isNotNull())
 
 
-def refresh_dimension_views(lake: Lake) -> None:
-    """Recompute the three views. Silver reads all orders at each trigger, so they are sorted within
-    files but not shuffled into a layout."""
+ORDERS = ("raw", "order_sdp")
+
+
+def refresh_order_view(lake: Lake, checkpoints: str | None = None) -> None:
+    """The identified orders: recomputed, or with ``checkpoints`` only what is new since the last refresh appended.
+
+    The view keeps a row or not by that row alone, so while orders are only ever appended at the source, appending
+    gives what recomputing gives. A view that was last recomputed is rebuilt by the first incremental refresh. Silver
+    reads all orders at each trigger, so they are sorted within files but not shuffled into a layout.
+    """
+    shape, target = schemas.order_schema(lake.ids), lake.name(*ORDERS)
+    if checkpoints is None:
+        overwrite_table(identified_orders(lake.read(SOURCE, "order")), target, shape, sort_by=ORDER_LAYOUT)
+        return
+    rebuild = not filled_by_stream(lake, target)
+    source, offsets = (SOURCE, "order"), f"{checkpoints}/order_view"
+    stream_append(lake, source, ORDERS, shape, offsets, transform=identified_orders, full_refresh=rebuild)
+
+
+def refresh_dimension_views(lake: Lake, order_checkpoints: str | None = None) -> None:
+    """Bring the three views up to date; customers and products change in place and are recomputed."""
     kind = lake.ids
     overwrite_table(
         lake.read(SOURCE, "customer"), lake.name("raw", "customer_sdp"), schemas.customer_schema(kind)
@@ -41,12 +59,7 @@ def refresh_dimension_views(lake: Lake) -> None:
         schemas.product_schema(kind),
         cluster_by=PRODUCT_LAYOUT,
     )
-    overwrite_table(
-        identified_orders(lake.read(SOURCE, "order")),
-        lake.name("raw", "order_sdp"),
-        schemas.order_schema(kind),
-        sort_by=ORDER_LAYOUT,
-    )
+    refresh_order_view(lake, order_checkpoints)
 
 
 def stream_items(
@@ -86,10 +99,17 @@ def refresh_gold_view(lake: Lake) -> None:
 
 
 def refresh(
-    lake: Lake, checkpoints: str, full_refresh: bool = False, files_per_batch: int | None = None
+    lake: Lake,
+    checkpoints: str,
+    full_refresh: bool = False,
+    files_per_batch: int | None = None,
+    append_orders: bool = False,
 ) -> None:
-    """One update of the whole streaming side, in dependency order."""
-    refresh_dimension_views(lake)
+    """One update of the whole streaming side, in dependency order.
+
+    With ``append_orders`` the order view takes in new orders instead of being recomputed.
+    """
+    refresh_dimension_views(lake, checkpoints if append_orders else None)
     stream_items(lake, checkpoints, full_refresh, files_per_batch)
     stream_silver(lake, checkpoints, full_refresh, files_per_batch)
     refresh_gold_view(lake)

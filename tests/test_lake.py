@@ -114,6 +114,28 @@ def test_incremental_lines_equal_the_full_copy(spark, lake):
     expect_equal(lake.read("raw", "order_item"), lake.read(m.SOURCE, "order_item"))
 
 
+def test_appended_orders_equal_the_recomputed_view(spark, lake):
+    """Through both refreshes, with orders and lines that arrive in between, silver and gold are the same."""
+    offsets = scratch_path(spark, "offsets")
+    seed_example(spark, lake)
+    freeze.refresh(lake, offsets, append_orders=True)
+    late = spark.createDataFrame(
+        [(4, 10, 7.0, "2023-01-03", 1), (None, 10, 7.0, "2023-01-03", 1), (5, None, 7.0, "2023-01-03", 1)],
+        schemas.order_schema(),
+    )
+    late.write.insertInto(lake.name(m.SOURCE, "order"))
+    lines = spark.createDataFrame([(4, 1, "Item E", 1, 7.0), (5, 1, "Item F", 1, 7.0)], schemas.order_item_schema())
+    lines.write.insertInto(lake.name(m.SOURCE, "order_item"))
+    before = lake.read(*freeze.ORDERS).count()
+    freeze.refresh(lake, offsets, append_orders=True)
+    assert lake.read(*freeze.ORDERS).count() == before + 1
+    expect_equal(lake.read(*freeze.ORDERS), freeze.identified_orders(lake.read(m.SOURCE, "order")))
+    silver, gold = rows(lake.read(*freeze.SILVER)), rows(gold_of(lake, freeze.GOLD_TABLE))
+    assert any(4 in r for r in silver) and not any("Item F" in r for r in silver)
+    freeze.refresh(lake, offsets)  # recomputed
+    assert (rows(lake.read(*freeze.SILVER)), rows(gold_of(lake, freeze.GOLD_TABLE))) == (silver, gold)
+
+
 def test_backlog_in_several_batches(spark, lake):
     offsets = scratch_path(spark, "offsets")
     rows_in = spark.range(0, 100, 1, 10).selectExpr(
