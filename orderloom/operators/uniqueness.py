@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderloom.operators.keys import within_key_range
-from orderloom.operators.tablewrites import ensure_table, replace_partitions
+from orderloom.operators.tablewrites import ensure_table, overwrite_table, replace_partitions
 from orderloom.schemas import check_schema
 from orderloom.session import materialize
 
@@ -75,6 +75,13 @@ class KeyLedger:
         replace_partitions(counts, self.table, self.schema(rows), [Row(**{BATCH: batch})], cluster_by=self.keys)
 
 
+    def record_all(self, rows: DataFrame) -> None:
+        """Begin the ledger anew from ``rows`` of many batches, told by their column ``batch``."""
+        counts = rows.select(*self.keys, BATCH).na.drop("any").groupBy(*self.keys, BATCH)
+        counts = counts.agg(F.count(F.lit(1)).alias("copies"))
+        overwrite_table(counts, self.table, self.schema(rows), partition_by=(BATCH,), cluster_by=self.keys)
+
+
 def flagged(rows: DataFrame, repeated: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
     """``rows`` plus ``flag``: the key is in ``repeated``, a written table with distinct keys.
 

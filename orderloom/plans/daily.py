@@ -36,6 +36,7 @@ from orderloom.plans.medallion import (
     load_bronze_items,
     load_gold,
 )
+from orderloom.schemas import check_schema
 from orderloom.session import materialize
 from orderloom.sources.tables import Lake
 
@@ -44,6 +45,8 @@ QUARANTINE = ("raw", "order_daily_quarantine")
 LEDGER = ("ops", "order_ids")
 KEYS = ("id",)
 _FLAG = "_is_repeated"
+#: Batch of the orders without a date in the first load.
+NO_DATE = "undated"
 
 
 def _in_batches(shape: T.StructType) -> T.StructType:
@@ -91,6 +94,29 @@ def load_order_batch(
     return good, bad, ratio
 
 
+def load_order_history(
+    lake: Lake, orders: DataFrame, fail_ratio: float = 1.0, rules: Sequence[quality.Rule] | None = None
+) -> tuple[int, int, float]:
+    """The first load: all orders at once, in batches by their date, so that any day can be loaded again later."""
+    kind = lake.ids
+    rules = quality.order_rules() if rules is None else rules
+    rows = check_schema(orders, schemas.order_schema(kind), "orders")
+    rows = rows.withColumn(BATCH, F.coalesce("date", F.lit(NO_DATE)))
+    annotated = quality.annotate(rows, rules)
+    counting, seen = quality.observed(annotated)
+    invalid = materialize(quality.invalid_rows(counting), "invalid")
+    for name, kept, shape in (
+        (QUARANTINE, invalid, schemas.quarantine_schema(kind)),
+        (VALID, quality.valid_rows(annotated), schemas.order_schema(kind)),
+    ):
+        if name == VALID:
+            good, bad, ratio = quality.observed_ratio(seen)
+            quality.gate(good, bad, ratio, fail_ratio)
+        overwrite_table(kept, lake.name(*name), _in_batches(shape), partition_by=(BATCH,), cluster_by=KEYS)
+    _ledger(lake).record_all(rows)
+    return good, bad, ratio
+
+
 def _change_sides(lake: Lake, turned: DataFrame, rules: Sequence[quality.Rule]) -> None:
     """Judge the rows of ``turned`` (id, batch, repeated) again and rewrite the partitions they are in."""
     batches = turned.select(BATCH).distinct().collect()  # at most one row for each batch
@@ -118,24 +144,26 @@ def run_day(
 ) -> tuple[int, int, float]:
     """Bronze, silver and gold for one day, with work that follows the day's orders.
 
-    The first run takes all orders as one batch; later ones take those dated on the day. Silver is as in the
-    full run: lines are booked once, also those of an order that a later batch repeats.
+    The first run takes all orders, in batches by date; later ones take those dated on the day, as its batch. Silver
+    is as in the full run: lines are booked once, also those of an order that a later batch repeats.
     """
     day = as_day(seed_date).isoformat()
     orders = lake.read(SOURCE, "order")
-    first = needs_backfill(lake.spark, lake.name(*LEDGER))
     load_bronze_dimensions(lake)
-    counts = load_order_batch(lake, orders if first else orders.filter(F.col("date") == day), day, fail_ratio)
+    if needs_backfill(lake.spark, lake.name(*LEDGER)):
+        counts = load_order_history(lake, orders, fail_ratio)
+    else:
+        counts = load_order_batch(lake, orders.filter(F.col("date") == day), day, fail_ratio)
     load_bronze_items(lake, checkpoints)
 
     target, shape = lake.name("curated", "order_enriched"), schemas.silver_schema(lake.ids)
     customer, product = lake.read("raw", "customer"), lake.read("raw", "product")
-    booked = lake.read(*VALID).filter(F.col(BATCH) == day).drop(BATCH)
-    lines = lake.read("raw", "order_item")
+    booked, lines = lake.read(*VALID), lake.read("raw", "order_item")
     if needs_backfill(lake.spark, target):
-        overwrite_table(enrich_order(customer, booked, lines, product), target, shape, cluster_by=SILVER_LAYOUT)
+        enriched = enrich_order(customer, booked.drop(BATCH), lines, product)
+        overwrite_table(enriched, target, shape, cluster_by=SILVER_LAYOUT)
     else:
-        today = booked.filter(F.col("date") == day)
+        today = booked.filter(F.col(BATCH) == day).drop(BATCH)
         fresh = enrich_order(customer, today, within_key_range(lines, "id_order", today, "id"), product)
         merge_insert_only(fresh, target, shape, SILVER_KEYS)
     load_gold(lake, seed_date)

@@ -242,3 +242,13 @@ def test_tables_with_maps_are_laid_out(spark, table):
     data = spark.createDataFrame([(D1, 1, {"a": "b"})], "day date, k int, m map<string,string>")
     w.overwrite_table(data, table, data.schema, partition_by=["day"], cluster_by=["k"])
     assert spark.table(table).first()["m"] == {"a": "b"}
+
+
+@pytest.mark.parametrize("name", [None, "it's", "a/b=c", "é"])
+def test_emptied_partitions_of_any_name(spark, table, name):
+    shape = T.StructType().add("k", T.IntegerType()).add("part", T.StringType())
+    w.overwrite_table(spark.createDataFrame([(1, name), (2, "other")], shape), table, shape, partition_by=["part"])
+    w.replace_partitions(spark.createDataFrame([], shape), table, shape, [Row(part=name)])
+    assert rows(spark.table(table)) == [(2, "other")]
+    w.replace_partitions(spark.createDataFrame([(3, name)], shape), table, shape, [Row(part=name)])
+    assert spark.table(table).count() == 2
