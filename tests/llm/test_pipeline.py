@@ -3,19 +3,21 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline
 from orderloom.llm import packing
 from orderloom.llm.queries import ORACLE_SQL, QUERIES
+from tests.llm.conftest import ODD_ROWS
 
 SF_DIR = "/root/testdata/sf0.001"
 
 
 def test_registered():
     names = set(entry.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {n.split("_")[0] for n in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {n.split("_")[0] for n in QUERIES}
     assert set(QUERIES) | {"pipeline"} <= names
     assert set(ORACLE_SQL) <= set(QUERIES)
 
@@ -54,6 +56,24 @@ def test_stages_keep_the_columns_and_take_effect(spark):
     assert got == wanted
 
 
+def test_odd_documents_pass_all_stages(spark):
+    """Null ids and texts, very long and repeated rows, and columns named like inner ones, among the given documents."""
+    given = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    odd = spark.createDataFrame([(i, t, "en", "odd", 0) for i, t in ODD_ROWS], given.schema)
+    clashing = ("_row", "_k1", "_spans", "score", "piece", "_draw", "key", "words")
+    docs = given.unionByName(odd).withColumns({c: F.lit(c) for c in clashing})
+    kept = docs
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, kept, SF_DIR).cache()
+        assert after.columns == docs.columns
+        assert after.filter(" OR ".join(f"{c} <> '{c}'" for c in clashing)).isEmpty()
+        kept = after
+    packed = corpus_pipeline.STAGES[-1][1](spark, kept, SF_DIR)
+    whole = packed.filter("piece = 0").groupBy("doc_id").count().collect()
+    assert {r.doc_id: r["count"] for r in whole} == {r.doc_id: r["count"] for r in kept.groupBy("doc_id").count().collect()}
+    assert kept.filter("text = 'same row'").count() == 1  # of two
+
+
 def test_empty_documents(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
