@@ -32,8 +32,8 @@ CHUNK_ROWS = 4096
 CHUNK_QUERIES = 2048
 
 #: Calibration aims at this share of the true neighbours; what a search finds is a little above or below.
-CALIBRATION_QUERIES = 128
-RECALL = 0.94
+CALIBRATION_QUERIES = 256
+RECALL = 0.95
 
 
 @dataclass
