@@ -14,7 +14,14 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom.operators.tablewrites import by_partition, ensure_table, in_partitions, recover, replace_partitions
+from orderloom.operators.tablewrites import (
+    by_partition,
+    ensure_table,
+    in_partitions,
+    overwrite_table,
+    recover,
+    replace_partitions,
+)
 from orderloom.schemas import check_schema
 from orderloom.session import staged
 
@@ -127,6 +134,12 @@ class IndexedTable:
         both = before.unionByName(self.bitmaps(placed)).groupBy("bitmap", SPAN).agg(F.bitmap_or_agg("ids").alias("ids"))
         replace_partitions(both, self.index, self._index_schema(), spans, cluster_by=("bitmap",))
 
+    def replace(self, rows: DataFrame) -> None:
+        """Put ``rows`` in place of the whole table, and index them. Cut off in between, ``rebuild`` finishes it."""
+        placed = check_schema(rows, self.schema, self.table).withColumn(SPAN, self._span())
+        overwrite_table(placed, self.table, self._stored(), partition_by=(SPAN,), cluster_by=self.keys)
+        self.rebuild()
+
     def rebuild(self) -> None:
         """Index the table as it is, after it was written by other means."""
         ids = self.bitmaps(self.spark.table(self.table))

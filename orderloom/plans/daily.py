@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from orderloom import schemas
 from orderloom.functions.columns import as_day
 from orderloom.operators import quality
+from orderloom.operators.idbitmap import IndexedTable
 from orderloom.operators.keys import within_key_range
 from orderloom.operators.orders import enrich_order
 from orderloom.operators.tablewrites import (
@@ -140,12 +141,19 @@ def _change_sides(lake: Lake, turned: DataFrame, rules: Sequence[quality.Rule])
 
 
 def run_day(
-    lake: Lake, seed_date: str | date, fail_ratio: float = 1.0, checkpoints: str | None = None
+    lake: Lake,
+    seed_date: str | date,
+    fail_ratio: float = 1.0,
+    checkpoints: str | None = None,
+    silver_span_shift: int | None = None,
 ) -> tuple[int, int, float]:
     """Bronze, silver and gold for one day, with work that follows the day's orders.
 
     The first run takes all orders, in batches by date; later ones take those dated on the day, as its batch. Silver
     is as in the full run: lines are booked once, also those of an order that a later batch repeats.
+
+    With ``silver_span_shift`` silver is an ``IndexedTable`` of that span, for order ids that a day spreads over the
+    whole range: otherwise known lines are looked for in the key range of the day's.
     """
     day = as_day(seed_date).isoformat()
     orders = lake.read(SOURCE, "order")
@@ -156,15 +164,26 @@ def run_day(
         counts = load_order_batch(lake, orders.filter(F.col("date") == day), day, fail_ratio)
     load_bronze_items(lake, checkpoints)
 
+    _load_silver(lake, day, silver_span_shift)
+    load_gold(lake, seed_date)
+    return counts
+
+
+def _load_silver(lake: Lake, day: str, span_shift: int | None) -> None:
     target, shape = lake.name("curated", "order_enriched"), schemas.silver_schema(lake.ids)
     customer, product = lake.read("raw", "customer"), lake.read("raw", "product")
     booked, lines = lake.read(*VALID), lake.read("raw", "order_item")
+    indexed = None if span_shift is None else IndexedTable(lake.spark, target, shape, SILVER_KEYS, span_shift)
     if needs_backfill(lake.spark, target):
         enriched = enrich_order(customer, booked.drop(BATCH), lines, product)
-        overwrite_table(enriched, target, shape, cluster_by=SILVER_LAYOUT)
+        if indexed:
+            indexed.replace(enriched)
+        else:
+            overwrite_table(enriched, target, shape, cluster_by=SILVER_LAYOUT)
+        return
+    today = booked.filter(F.col(BATCH) == day).drop(BATCH)
+    fresh = enrich_order(customer, today, within_key_range(lines, "id_order", today, "id"), product)
+    if indexed:
+        indexed.merge_insert_only(fresh)
     else:
-        today = booked.filter(F.col(BATCH) == day).drop(BATCH)
-        fresh = enrich_order(customer, today, within_key_range(lines, "id_order", today, "id"), product)
         merge_insert_only(fresh, target, shape, SILVER_KEYS)
-    load_gold(lake, seed_date)
-    return counts

@@ -10,7 +10,7 @@ from orderloom.plans import daily
 from orderloom.queries import quality as dirty
 from orderloom.queries import tables as t
 from orderloom.queries.registry import query
-from orderloom.queries.writes import scratch_lake
+from orderloom.queries.writes import LATE, scratch_lake, two_day_lake
 from orderloom.sources.tables import Lake
 
 BATCHES = ("2024-01-01", "2024-01-02", "2024-01-03")
@@ -43,3 +43,10 @@ def duplicate_ids_over_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(dirty.VALID_SQL)
 def valid_orders_over_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return three_days(spark, sf_dir).read(*daily.VALID).drop(daily.BATCH)
+
+
+@query(LATE)
+def freeze_two_days_by_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``freeze_two_days`` through the daily run, with silver behind a bitmap index."""
+    lake = two_day_lake(spark, sf_dir, run=lambda lake, day: daily.run_day(lake, day, silver_span_shift=2))
+    return lake.read("report", "order_agg")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -263,12 +264,14 @@ LATE = t.sql(
 )
 
 
-def two_day_lake(spark: SparkSession, sf_dir: str, streaming: bool = False) -> Lake:
+def two_day_lake(
+    spark: SparkSession, sf_dir: str, streaming: bool = False, run: Callable[[Lake, str], object] = m.run_day
+) -> Lake:
     """Both days through the batch side, and with ``streaming`` through the other one as well."""
     lake, checkpoints = scratch_lake(spark), scratch_path(spark, "offsets")
     for arrive in (_first_load, _second_day):
         arrive(lake, spark, sf_dir, SECOND_DAY)
-        m.run_day(lake, SECOND_DAY)
+        run(lake, SECOND_DAY)
         if streaming:
             freeze.refresh(lake, checkpoints)
     return lake
