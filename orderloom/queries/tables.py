@@ -193,16 +193,17 @@ def cost_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as job runs with epoch-millisecond start times."""
+    """Events as job runs with start times in epoch milliseconds, rounded to the nearest, halves away from zero."""
     events = load(spark, sf_dir, "events")
-    millis = F.floor(F.expr("extract(SECOND FROM ts)") * 1000) % 1000
+    seconds = epoch_second(F.col("ts"), events.schema["ts"].dataType).cast("decimal(18,0)")
+    exact = seconds * 1000 + F.expr("extract(SECOND FROM ts)") % 1 * 1000
     kind = F.col("event_type")
     name = F.when(kind == "purchase", F.lit("nightly purchase reconciliation for all regions"))
     name = name.when(kind == "signup", F.lit(None)).otherwise(kind)
     return events.select(
         F.col("user_id").alias("job_id"),
         name.alias("name"),
-        (epoch_second(F.col("ts"), events.schema["ts"].dataType) * 1000 + millis).cast("bigint").alias("start_time"),
+        F.round(exact).cast("bigint").alias("start_time"),
         F.when(kind != "error", F.lit("TERMINATED")).alias("status"),
     )
 

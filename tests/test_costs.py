@@ -10,6 +10,7 @@ from orderloom.operators.pivot import TooManyLabels, weekly_cells, weekly_pivot
 from orderloom.operators.pricing import price_usage
 from orderloom.operators.report import format_report
 from orderloom.plans import costs as c
+from orderloom.queries import tables as t
 from orderloom.sources.costfeed import flatten_cost_json
 from orderloom.sources.runs import run_summary, runs_on_day
 
@@ -261,6 +262,20 @@ def test_runs_on_day(spark):
     assert tuple(run_summary(listed).first()) == (3, 2)
 
 
+def test_run_starts_round_to_the_millisecond(spark, tmp_path):
+    """As in the SQL: half a millisecond before midnight counts to the next day."""
+    moments = ["2024-01-11 23:59:59.999500", "2024-01-12 09:20:41.999784", "2024-01-12 23:59:59.999499", "1969-12-31 23:59:59.999500"]
+    events = spark.createDataFrame([(n, m) for n, m in enumerate(moments)], "user_id bigint, ts string")
+    events = events.select("user_id", F.col("ts").cast("timestamp_ntz").alias("ts"), F.lit("view").alias("event_type"))
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    runs = t.runs(spark, str(tmp_path))
+    day = 1_705_017_600_000  # 2024-01-12 00:00 UTC
+    assert [r["start_time"] for r in runs.orderBy("job_id").collect()] == [day, day + 33_642_000, day + 86_399_999, -1]
+    assert [r["started_at"] for r in runs_on_day(runs, "2024-01-12").orderBy("job_id").collect()] == [
+        "2024-01-12 00:00:00", "2024-01-12 09:20:42", "2024-01-12 23:59:59",
+    ]
+
+
 def test_labels(spark):
     df = spark.createDataFrame(
         [("Amazon Simple Storage", "PREMIUM_JOBS_COMPUTE_US_EAST_OHIO", "2024-01-07"), ("AmazonX", "JOBS", "2024-01-08")],
