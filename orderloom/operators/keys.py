@@ -4,9 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Bits of one bitmap, as ``bitmap_construct_agg`` builds them: 2 to the power of ``SHIFT``.
+SHIFT = 15
+BITS = 1 << SHIFT
+
+
+def has_bit(bitmap: Column, place: Column) -> Column:
+    """Whether the bit at ``place``, an int from 0, is set; NULL without a bitmap."""
+    byte = F.conv(F.hex(F.substring(bitmap, F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return F.bit_get(byte, place % 8) == 1
+
 
 def within_key_range(big: DataFrame, big_key: str, small: DataFrame, small_key: str) -> DataFrame:
     """Rows of ``big`` whose key lies between the smallest and largest key of ``small``.
@@ -20,16 +30,45 @@ def within_key_range(big: DataFrame, big_key: str, small: DataFrame, small_key:
     return big.filter(F.col(big_key).between(F.lit(low), F.lit(high)))
 
 
-def unmatched(new: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``new`` whose key is not in ``target``; a NULL key never matches.
+def found_keys(new: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The distinct keys of ``new`` that are in ``target``; a NULL key never is.
 
-    The target contributes its key columns only, cut to the key range of ``new``. Found keys are
-    looked up with a semi join first: ``new`` is its build side, so a small ``new`` is broadcast and
-    a huge target is scanned without a shuffle. Both build sides are reduced to distinct keys, which
-    combine map-side, so a key with very many copies is one row there. ``new`` is read three times;
-    pass a written frame.
+    The target contributes its key columns only, cut to the key range of ``new``. They are looked up with a semi
+    join: ``new`` is its build side, so a small ``new`` is broadcast and a huge target is scanned without a shuffle.
+    Both sides are reduced to distinct keys, which combine map-side, so a key with very many copies is one row there.
     """
     candidates = within_key_range(target.select(*keys), keys[0], new, keys[0])
     wanted = new.select(*keys).na.drop("any").distinct()
-    found = candidates.join(wanted, list(keys), "left_semi").distinct()
-    return new.join(found, list(keys), "left_anti")
+    return candidates.join(wanted, list(keys), "left_semi").distinct()
+
+
+def unmatched(new: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``new``, a frame read from Parquet files, whose key is not in ``target``; a NULL key never matches.
+
+    ``new`` is read four times, of which only the last one reads more than its keys.
+    """
+    return without_keys(new, found_keys(new, target, keys), keys)
+
+
+def without_keys(new: DataFrame, found: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``new``, a frame read from Parquet files, whose key is not in ``found``.
+
+    Only keys are shuffled: they are joined together with their rows' places in the files. What is found becomes a
+    bit for its row, in a bitmap for every ``BITS`` rows of a file, and the rows are filtered by these where they are
+    read. The bitmaps are broadcast: one bit for a row, 12 MB for 100 million.
+    """
+    place = new.metadataColumn("_metadata")
+    paths = [r[0] for r in new.select(place["file_path"]).distinct().collect()]  # one for each file
+    numbers = new.sparkSession.createDataFrame(list(enumerate(paths)), "_file int, _path string")
+    placed = new.select("*", place["file_path"].alias("_path"), place["row_index"].alias("_row"))
+    rows = placed.join(F.broadcast(numbers), "_path").drop("_path")
+    marks = (
+        rows.select(*keys, "_file", "_row")
+        .join(found.select(*keys), list(keys), "left_semi")
+        .groupBy("_file", F.shiftright("_row", SHIFT).alias("_block"))
+        .agg(F.bitmap_construct_agg(F.pmod("_row", F.lit(BITS))).alias("_marks"))
+    )
+    blocks = rows.withColumn("_block", F.shiftright("_row", SHIFT))
+    marked = blocks.join(F.broadcast(marks), ["_file", "_block"], "left")
+    known = has_bit(F.col("_marks"), F.pmod("_row", F.lit(BITS)).cast("int"))
+    return marked.filter(~F.coalesce(known, F.lit(False))).select(*new.columns)

@@ -77,11 +77,15 @@ def clustered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     spreads over several files. There are as many ranges as shuffle partitions, which are set by data size.
     """
     rest = _hashable(df, keys)
-    placed = df.withColumn("_spread", F.xxhash64(*rest) if rest else F.lit(0))
-    placed = placed.withColumn("_origin", F.spark_partition_id())
+    return _ranged(df, keys, F.xxhash64(*rest) if rest else F.lit(0))
+
+
+def _ranged(df: DataFrame, keys: Sequence[str], spread: Column) -> DataFrame:
+    """``spread`` is computed where rows are dealt out, so that it is not shuffled with them."""
+    placed = df.withColumn("_origin", F.spark_partition_id())
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = placed.repartitionByRange(tasks, *[F.col(k) for k in keys], F.col("_spread"), F.col("_origin"))
-    return ranged.sortWithinPartitions(*keys).drop("_spread", "_origin")
+    ranged = placed.repartitionByRange(tasks, *[F.col(k) for k in keys], spread, F.col("_origin"))
+    return ranged.sortWithinPartitions(*keys).drop("_origin")
 
 
 def by_partition(df: DataFrame, partition_by: Sequence[str], keys: Sequence[str]) -> DataFrame:
@@ -93,11 +97,7 @@ def by_partition(df: DataFrame, partition_by: Sequence[str], keys: Sequence[str]
     """
     leading = [*partition_by, *[k for k in keys if k not in partition_by]]
     rest = _hashable(df, leading)
-    placed = df.withColumn("_spread", F.xxhash64(*rest) if rest else F.lit(0))
-    placed = placed.withColumn("_origin", F.spark_partition_id())
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = placed.repartitionByRange(tasks, *[F.col(k) for k in leading], F.col("_spread"), F.col("_origin"))
-    return ranged.sortWithinPartitions(*leading).drop("_spread", "_origin")
+    return _ranged(df, leading, F.xxhash64(*rest) if rest else F.lit(0))
 
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
