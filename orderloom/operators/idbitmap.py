@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderloom.operators.keys import BITS, SHIFT, has_bit, without_keys
 from orderloom.operators.tablewrites import (
     by_partition,
     ensure_table,
@@ -25,10 +26,9 @@ from orderloom.operators.tablewrites import (
 from orderloom.schemas import check_schema
 from orderloom.session import staged
 
-#: Ids of one bitmap, as ``bitmap_construct_agg`` builds them: 2 to the power of ``SHIFT``.
-SHIFT = 15
-BITS = 1 << SHIFT
 SPAN = "id_span"
+#: Partitions of a table at most: spans further on are dealt to the same ones again.
+SPANS = 256
 
 
 def _number(key: str) -> Column:
@@ -39,8 +39,9 @@ def _number(key: str) -> Column:
 class IndexedTable:
     """``table`` keyed by ``keys``, the first of which, an integer, is indexed in ``<table>__ids``.
 
-    ``2 ** span_shift`` bitmaps make a partition; choose it so that the table has at most a few thousand of them.
-    Rows whose id is NULL are never found; they are in the partition of the NULL span.
+    ``2 ** span_shift`` bitmaps make a span, every ``SPANS``-th of which shares a partition, so that the number of
+    partitions does not grow with the range of ids. Rows whose id is NULL are never found; they are in the partition
+    of the NULL span.
     """
 
     spark: SparkSession
@@ -55,7 +56,10 @@ class IndexedTable:
         return f"`{database}`.`{name}__ids`" if database else f"`{name}__ids`"
 
     def _span(self) -> Column:
-        return F.shiftright(_number(self.keys[0]), self.span_shift)
+        return self._span_of(_number(self.keys[0]))
+
+    def _span_of(self, bitmap: Column) -> Column:
+        return F.pmod(F.shiftright(bitmap, self.span_shift), F.lit(SPANS).cast("long"))
 
     def _stored(self) -> T.StructType:
         return T.StructType([*self.schema.fields, T.StructField(SPAN, T.LongType())])
@@ -78,7 +82,7 @@ class IndexedTable:
             rows.filter(key.isNotNull())
             .groupBy(_number(self.keys[0]).alias("bitmap"))
             .agg(F.bitmap_construct_agg(place).alias("ids"))
-            .withColumn(SPAN, F.shiftright("bitmap", self.span_shift))
+            .withColumn(SPAN, self._span_of(F.col("bitmap")))
         )
 
     def known(self, rows: DataFrame, flag: str) -> DataFrame:
@@ -94,9 +98,8 @@ class IndexedTable:
         asked = placed.select(F.col("_of").alias("bitmap")).distinct()
         ids = self.spark.table(self.index).filter(in_partitions((SPAN,), spans)).join(asked, "bitmap", "left_semi")
         joined = placed.join(ids.select(F.col("bitmap").alias("_of"), F.col("ids").alias("_ids")), "_of", "left")
-        byte = F.expr("CAST(conv(hex(substring(_ids, _place DIV 8 + 1, 1)), 16, 10) AS INT)")
-        has = byte.bitwiseAND(F.expr("shiftleft(1, _place % 8)")) > 0
-        found = joined.select(*rows.columns, F.coalesce(has, F.lit(False)).alias(flag))
+        has = F.coalesce(has_bit(F.col("_ids"), F.col("_place")), F.lit(False))
+        found = joined.select(*rows.columns, has.alias(flag))
         return found.unionByName(rows.filter(key.isNull()).withColumn(flag, F.lit(False)))
 
     def _spans_of(self, rows: DataFrame) -> list[Row]:
@@ -109,18 +112,20 @@ class IndexedTable:
         return rows.select(*self.keys).join(suspects.select(*self.keys).distinct(), list(self.keys), "left_semi").distinct()
 
     def merge_insert_only(self, new: DataFrame) -> None:
-        """Insert the rows with an unknown key; repeated new keys and NULL keys all insert, as in the plain merge."""
+        """Insert the rows with an unknown key; repeated new keys and NULL keys all insert, as in the plain merge.
+
+        Keys alone are looked up and staged; whole rows are written once, then filtered and laid out.
+        """
         self.ensure()
         recover(self.spark, self.table)
         with (
             staged(check_schema(new, self.schema, self.table), "merge") as rows,
-            staged(self.known(rows, "_known"), "known") as marked,
+            staged(self.known(rows.select(*self.keys), "_known"), "known") as marked,
+            staged(self.held(marked.filter("_known").na.drop("any")), "held") as held,
         ):
-            suspects, fresh = (marked.filter(c).drop("_known") for c in ("_known", "NOT _known"))
-            fresh = fresh.unionByName(suspects.join(self.held(suspects), list(self.keys), "left_anti"))
-            with staged(fresh.withColumn(SPAN, self._span()), "fresh") as placed:
-                self._add_ids(placed)  # first: an id in the index but not in the table is merely looked for in vain
-                self._append(placed)
+            # first: an id in the index but not in the table is merely looked for in vain
+            self._add_ids(marked.filter("NOT _known"))
+            self._append(without_keys(rows, held, self.keys).withColumn(SPAN, self._span()))
 
     def _append(self, placed: DataFrame) -> None:
         columns = self.spark.table(self.table).columns

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from conftest import rows
 from orderloom.operators.colocated import Colocated, gold_in_place, silver_in_place
-from orderloom.operators.idbitmap import BITS, SPAN, IndexedTable
+from orderloom.operators.idbitmap import BITS, SPAN, SPANS, IndexedTable
 from orderloom.operators.orders import aggregate_orders, enrich_order
 from orderloom.operators.tablewrites import merge_insert_only
 from orderloom.queries import tables as t
@@ -171,3 +171,14 @@ def test_an_index_ahead_of_its_table_loses_nothing(spark, indexed):
 def test_empty_merge(spark, indexed):
     indexed.merge_insert_only(pairs(spark, []))
     assert indexed.read().isEmpty()
+
+
+def test_far_ids_do_not_add_partitions(spark, indexed):
+    """Ids of many more spans than there are partitions, in two merges: the partitions are bounded, the merge exact."""
+    ids = [n * 2 * BITS + 3 for n in range(-50, 3 * SPANS)]
+    indexed.merge_insert_only(pairs(spark, [(k, 1, "old") for k in ids[::2]]))
+    indexed.merge_insert_only(pairs(spark, [(k, 1, "new") for k in ids]))
+    assert rows(indexed.read()) == sorted(((k, 1, "new" if n % 2 else "old") for n, k in enumerate(ids)), key=repr)
+    for table in (indexed.table, indexed.index):
+        assert spark.table(table).select(SPAN).distinct().count() <= SPANS
+    assert spark.table(indexed.index).agg(F.sum(F.bitmap_count("ids"))).first()[0] == len(ids)
