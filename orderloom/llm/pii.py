@@ -5,8 +5,8 @@ overlap; boosted trees judge each from its format and its context, never from th
 labels (digit sums, part ranges). Base spans are never added, so the trees learn from what can be: twins
 of base spans, in their contexts, in formats that the base does not know (an address with "(at)", a phone without
 its plus) and candidates whose text tells what they are, against other candidates off the base spans.
-Thresholds are calibrated for each kind on such held-out rows, twins in held-out contexts among them, so a kind whose
-scores cannot be trusted adds nothing.
+They learn from every such example, equal ones as one row of their weight, and thresholds are calibrated for each kind
+on all held-out ones, twins in held-out contexts among them, so a kind whose scores cannot be trusted adds nothing.
 """
 
 from __future__ import annotations
@@ -81,8 +81,10 @@ KINDS = (
 )
 MARK = "[PII]"
 
-#: Bounds of the sample of candidates that trees are trained and thresholds calibrated on.
-SAMPLE_ROWS = 20_000
+#: Steps of a score: thresholds are told apart to this fineness, so that there are at most so many for each kind.
+STEPS = 10_000
+#: Values of a feature, larger ones being equal: what the trees can tell apart, and few enough for equal rows to combine.
+BINS = 64
 PRECISION = 0.99
 LEAST_HELD_OUT = 30
 CONTEXT = 24
@@ -231,12 +233,12 @@ def _features(rows: DataFrame) -> DataFrame:
     return rows.select(
         "_row", "_key", "c", (F.col("c.label") | told).cast("double").alias("_label"), F.col("c.touching").alias("_touching"),
         (unsure & ~F.col("c.label")).alias("_unsure"),
-        *[F.coalesce(v.cast("double"), F.lit(0.0)).alias(f"_f_{k}") for k, v in made.items()],
+        *[F.least(F.coalesce(v.cast("double"), F.lit(0.0)), F.lit(BINS - 1.0)).alias(f"_f_{k}") for k, v in made.items()],
     )
 
 
-def _twins(sample: DataFrame) -> DataFrame:
-    """Rows like those of ``sample``: one for each base span that has another format, drawn by its place."""
+def _twins(rows: DataFrame) -> DataFrame:
+    """Rows like those of ``rows``: one for each base span that has another format, drawn by its place."""
     match, made = F.col("c.match"), F.lit(None).cast("string")
     for rank, kind in enumerate(KINDS):
         forms = []
@@ -249,7 +251,7 @@ def _twins(sample: DataFrame) -> DataFrame:
             form = F.element_at(F.array(*forms), F.pmod(F.hash("_key", "c.start"), F.lit(len(forms))) + 1)
             is_one = form.rlike(f"^(?:{kind.wide})$") & _passes(kind.name, form)
             made = F.when((F.col("c.rank") == rank) & is_one, form).otherwise(made)
-    twins = sample.where(F.col("c.label")).select("_row", "_key", F.col("c").withField("match", made).alias("c"))
+    twins = rows.where(F.col("c.label")).select("_row", "_key", F.col("c").withField("match", made).alias("c"))
     twins = twins.where(F.col("c.match").isNotNull())
     return _features(twins.withColumn("c", F.col("c").withField("touching", F.lit(False))))
 
@@ -259,35 +261,38 @@ def _assembled(rows: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=columns, outputCol="_features").transform(rows).drop(*columns)
 
 
-def train(sample: DataFrame) -> tuple[GBTClassificationModel, dict[str, float]] | None:
-    """Boosted trees on four fifths of the sample, and each kind's threshold on the rest.
+def _vectors(examples: DataFrame) -> DataFrame:
+    """Examples with equal features, label, fold and touching as one row of weight ``_many``; they combine map-side."""
+    columns = [f"_f_{k}" for k in FEATURES]
+    return examples.groupBy(*columns, "_label", "_fold", "_touching").agg(F.count(F.lit(1)).cast("double").alias("_many"))
+
 
-    A threshold is the lowest score from which ``PRECISION`` of the held-out rows are personal data, base
-    spans apart; a kind without one, or with too few held-out rows, gets none and adds nothing.
+def train(examples: DataFrame) -> tuple[GBTClassificationModel, dict[str, int]] | None:
+    """Boosted trees on four fifths of all examples, and each kind's threshold on all of the rest.
+
+    ``examples`` are rows of ``_vectors``: every example counts, equal ones as one row of their weight. A threshold is
+    the lowest ``_step`` of scores from which ``PRECISION`` of the held-out examples are personal data, base spans
+    apart; a kind without one, or with too few held-out examples, gets none and adds nothing.
     """
-    classes = {r["_label"]: r["count"] for r in sample.groupBy("_label").count().collect()}
+    classes = {r["_label"]: r["n"] for r in examples.groupBy("_label").agg(F.sum("_many").alias("n")).collect()}
     if min(classes.get(0.0, 0), classes.get(1.0, 0)) < LEAST_HELD_OUT:
         return None
-    rows = _assembled(sample)
-    trees = GBTClassifier(featuresCol="_features", labelCol="_label", maxIter=10, maxDepth=4, maxBins=32, seed=7)
-    model = trees.fit(rows.where("_fold < 4").coalesce(4))
-    held = scored(model, rows.where("_fold = 4 AND NOT _touching")).select(F.col("c.kind").alias("kind"), "_label", "_score").collect()
-    thresholds = {}
-    for kind in KINDS:
-        mine = sorted(((r["_score"], r["_label"]) for r in held if r["kind"] == kind.name), reverse=True)
-        right, best = 0, None
-        for k, (score, label) in enumerate(mine, 1):
-            right += label
-            last = k == len(mine) or mine[k][0] < score
-            if last and k >= LEAST_HELD_OUT and right / k >= PRECISION:
-                best = score
-        if best is not None:
-            thresholds[kind.name] = best
-    return model, thresholds
+    rows = _assembled(examples.withColumn("_rank", F.col("_f_kind")))
+    trees = GBTClassifier(
+        featuresCol="_features", labelCol="_label", weightCol="_many", maxIter=10, maxDepth=4, maxBins=BINS, seed=7
+    )
+    model = trees.fit(rows.where("_fold < 4"))
+    held = scored(model, rows.where("_fold = 4 AND NOT _touching")).groupBy("_rank", "_step")
+    steps = held.agg(F.sum("_many").alias("n"), F.sum(F.col("_many") * F.col("_label")).alias("right"))
+    above = Window.partitionBy("_rank").orderBy(F.desc("_step"))  # at most STEPS + 1 rows for each of the kinds
+    told = steps.select("_rank", "_step", F.sum("n").over(above).alias("n"), F.sum("right").over(above).alias("right"))
+    good = told.where((F.col("n") >= LEAST_HELD_OUT) & (F.col("right") >= F.col("n") * PRECISION))
+    best = {int(r["_rank"]): r["least"] for r in good.groupBy("_rank").agg(F.min("_step").alias("least")).collect()}
+    return model, {kind.name: best[rank] for rank, kind in enumerate(KINDS) if rank in best}
 
 
 def scored(model: GBTClassificationModel, assembled: DataFrame) -> DataFrame:
-    made = model.transform(assembled).withColumn("_score", vector_to_array("probability")[1])
+    made = model.transform(assembled).withColumn("_step", F.floor(vector_to_array("probability")[1] * STEPS))
     return made.drop("rawPrediction", "probability", "prediction", "_features")
 
 
@@ -312,19 +317,16 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         "pii-spans",
     )
     one = staged_once(_features(_judged(found)), "pii-candidates")
-    part = min(1.0, SAMPLE_ROWS / max(1, one.count()))
-    draw = F.pmod(F.xxhash64("_key", "c.start", "c.rank", F.lit(3)), F.lit(1_000_000))
-    sample = one.where((draw < int(part * 1_000_000)) & (F.col("c.label") | ~F.col("_touching")))
-    sample = sample.where("NOT _unsure").unionByName(_twins(sample))
-    sample = staged_once(sample.withColumn("_fold", F.pmod(F.hash("_key", F.lit(5)), F.lit(5))), "pii-sample")
-    trained = train(sample)
+    examples = one.where((F.col("c.label") | ~F.col("_touching")) & ~F.col("_unsure")).unionByName(_twins(one))
+    examples = examples.withColumn("_fold", F.pmod(F.hash("_key", F.lit(5)), F.lit(5)))
+    trained = train(staged_once(_vectors(examples), "pii-examples"))
     if trained is None or not trained[1]:
         return found.select("_row", "_id", "_base", F.array_sort("_base").alias("_spans"))
     model, thresholds = trained
-    least = F.lit(2.0)
+    least = F.lit(STEPS + 1)
     for kind, threshold in thresholds.items():
         least = F.when(F.col("c.kind") == kind, F.lit(threshold)).otherwise(least)
-    judged = scored(model, _assembled(one.where(~F.col("_touching")))).where(F.col("_score") >= least)
+    judged = scored(model, _assembled(one.where(~F.col("_touching")))).where(F.col("_step") >= least)
     added = judged.select("_row", F.struct("c.start", "c.rank", "c.end", "c.kind").alias("s"))
     added = added.groupBy(F.col("_row").alias("_of")).agg(F.collect_list("s").alias("_added"))  # one text's spans
     joined = found.join(added, F.col("_row") == F.col("_of"), "left")

@@ -163,6 +163,15 @@ def test_personal_data_against_plain_search(spark, documents):
     assert pii.report(documents([])).count() == 0
 
 
+def test_trees_learn_from_every_example(spark, documents, monkeypatch):
+    """Far more candidates than any sample held, equal ones in few rows: all of them reach the training."""
+    rows = [(k, " sold ".join(f"item {n % 90 + 10} {n % 900 + 100} 555" for n in range(k, k + 30))) for k in range(1000)]
+    given = []
+    monkeypatch.setattr(pii, "train", lambda examples: given.append((examples.count(), examples.agg(F.sum("_many")).first()[0])))
+    assert pii.report(documents(rows)).count() == len(rows)
+    assert given[0][1] == 2 * 30 * len(rows) > given[0][0]  # as a card and as a phone
+
+
 def test_trees_add_what_looks_like_personal_data(spark, documents):
     """Phones without the plus sign, in the same context as many with it, are added; plain numbers are not."""
     draw = random.Random(9)
