@@ -1,7 +1,8 @@
-"""Exact distinct counts that add up: bitmaps of ids by day beside gold.
+"""Exact distinct counts that add up: bits of ids by day beside gold.
 
-Distinct counts of days cannot be summed to a month. Their bitmaps can: a month's is the union of its days', and a
-day that is loaded again replaces only its own.
+Distinct counts of days cannot be summed to a month. Their bits can: a month's are the union of its days', and a
+day that is loaded again replaces only its own. Bits are kept in words of 64 ids, a plain number each: where a group
+has few ids of a wide range, a word costs no more than the id.
 """
 
 from __future__ import annotations
@@ -12,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom.operators.idbitmap import BITS, SHIFT
 from orderloom.operators.tablewrites import ensure_table, replace_partitions
 
 DAY = "order_date"
@@ -20,21 +20,21 @@ DAY = "order_date"
 
 def state_schema(by: Sequence[tuple[str, T.DataType]]) -> T.StructType:
     fields = [T.StructField(name, kind) for name, kind in by]
-    rest = [("measure", T.StringType()), ("bitmap", T.LongType()), ("ids", T.BinaryType()), (DAY, T.DateType())]
+    rest = [("measure", T.StringType()), ("word", T.LongType()), ("bits", T.LongType()), (DAY, T.DateType())]
     return T.StructType([*fields, *(T.StructField(name, kind) for name, kind in rest)])
 
 
 def id_state(lines: DataFrame, by: Sequence[str], measures: Sequence[str]) -> DataFrame:
-    """(by..., measure, bitmap, ids, order_date): for each day and group, the ids of every measured column.
+    """(by..., measure, word, bits, order_date): for each day and group, the ids of every measured column.
 
-    Bits combine map-side, so a row for each group, column and ``BITS`` ids is shuffled, however many lines
+    Bits combine map-side, so a row for each group, column and word of 64 ids is shuffled, however many lines
     there are. NULL ids count in no group, as in COUNT(DISTINCT).
     """
     entries = F.array(*(F.struct(F.lit(m).alias("measure"), F.col(m).cast("long").alias("id")) for m in measures))
     each = lines.select(*by, DAY, F.explode(entries).alias("_e")).select(*by, DAY, "_e.measure", "_e.id")
-    number, place = F.shiftright("id", SHIFT), F.pmod("id", F.lit(BITS))
-    grouped = each.filter(F.col("id").isNotNull()).groupBy(*by, "measure", number.alias("bitmap"), DAY)
-    return grouped.agg(F.bitmap_construct_agg(place).alias("ids")).select(*by, "measure", "bitmap", "ids", DAY)
+    bit = F.expr("shiftleft(1L, CAST(id & 63 AS INT))")
+    grouped = each.filter(F.col("id").isNotNull()).groupBy(*by, "measure", F.shiftright("id", 6).alias("word"), DAY)
+    return grouped.agg(F.bit_or(bit).alias("bits")).select(*by, "measure", "word", "bits", DAY)
 
 
 def record_days(
@@ -50,8 +50,8 @@ def record_days(
 
 def distinct_counts(state: DataFrame, by: Sequence[str], period: Column) -> DataFrame:
     """(period, by..., one column for each measure): exact distinct ids of the days of each period."""
-    merged = state.groupBy(period.alias("period"), *by, "measure", "bitmap").agg(F.bitmap_or_agg("ids").alias("ids"))
-    counts = merged.groupBy("period", *by, "measure").agg(F.sum(F.bitmap_count("ids")).alias("ids"))
+    merged = state.groupBy(period.alias("period"), *by, "measure", "word").agg(F.bit_or("bits").alias("bits"))
+    counts = merged.groupBy("period", *by, "measure").agg(F.sum(F.bit_count("bits").cast("long")).alias("ids"))
     return counts
 
 

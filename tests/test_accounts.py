@@ -103,6 +103,18 @@ def test_a_hot_customer_is_one_bit(spark):
     assert wide_counts(state, ["country"], F.lit(1), ["c"]).first()["distinct_c"] == 50
 
 
+def test_far_ids_take_no_more_than_themselves(spark, lake):
+    """One id of a wide range after the other, negative and huge ones too: a number each, not a bitmap."""
+    ids = [n * 40_009 for n in range(-100, 400)] + [2**62, -(2**62), -1, 63, 64]
+    lines = spark.createDataFrame([(date(2024, 1, 1 + n % 3), k) for n, k in enumerate(ids + ids)], "order_date date, k long")
+    state = id_state(lines, [], ["k"])
+    assert 1000 < state.count() <= lines.distinct().count()
+    assert all(f.dataType.simpleString() != "binary" for f in state.schema)
+    table, days = lake.name("report", "ids"), [date(2024, 1, d) for d in (1, 2, 3)]
+    record_days(spark, table, lines, [], ["k"], days)
+    assert wide_counts(spark.table(table), [], F.lit(1), ["k"]).first()["distinct_k"] == len(set(ids))
+
+
 # ---- dropped lines --------------------------------------------------------------------------------
 
 
