@@ -214,16 +214,37 @@ def replace_partitions(
         filled = {tuple(r) for r in fresh.select(*by).distinct().collect()}
         for value in touched:
             if tuple(value) not in filled:
-                spec = ", ".join(
-                    f"`{c}` = NULL" if v is None else f"`{c}` = '{str(v).replace(chr(39), chr(92) + chr(39))}'"
-                    for c, v in zip(by, value, strict=True)
-                )
-                spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+                _drop_partition(spark, table, by, value)
         if filled:
             _overwrite_dynamically(by_partition(fresh, by, cluster_by), table)
     spark.catalog.refreshTable(table)
 
 
+def replace_partition(df: DataFrame, table: str, schema: T.StructType, value: Row) -> None:
+    """Replace the one partition ``value`` by the rows of ``df``, which must not read the table.
+
+    ``df`` comes without the partition columns, so it has no row outside, and is written as it is computed: neither
+    staged nor laid out. The partition is dropped first: a run that is cut off is to be repeated.
+    """
+    spark = df.sparkSession
+    by = partition_columns(spark, table)
+    if sorted(by) != sorted(value.asDict()):
+        raise NotASlice(f"{table}: partitioned by {by}, not by {sorted(value.asDict())}")
+    placed = df.withColumns({c: F.lit(value[c]).cast(schema[c].dataType) for c in by})
+    guarded = check_schema(placed, schema, table)
+    _drop_partition(spark, table, by, [value[c] for c in by])
+    _overwrite_dynamically(guarded, table)
+    spark.catalog.refreshTable(table)
+
+
+def _drop_partition(spark: SparkSession, table: str, by: Sequence[str], value: Sequence) -> None:
+    spec = ", ".join(
+        f"`{c}` = NULL" if v is None else f"`{c}` = '{str(v).replace(chr(39), chr(92) + chr(39))}'"
+        for c, v in zip(by, value, strict=True)
+    )
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+
+
 def _overwrite_dynamically(df: DataFrame, table: str) -> None:
     spark = df.sparkSession
     before = spark.conf.get(_OVERWRITE_MODE)

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from orderloom import schemas
 from orderloom.operators.orders import enrich_order
-from orderloom.operators.tablewrites import ensure_table, replace_partitions, table_exists
+from orderloom.operators.tablewrites import ensure_table, replace_partition, table_exists
 from orderloom.session import materialize
 from orderloom.sources.tables import Lake
 from orderloom.streaming.freeze import ITEMS
@@ -63,24 +63,22 @@ def write_batch(lake: Lake, lines: DataFrame, batch: int) -> None:
     """Join one micro-batch and account for it. The lines are judged once, in a written frame.
 
     The static side is read as it is now. All three writes replace the batch, the numbers last: a batch with numbers
-    is complete.
+    is complete. Joined and dropped lines are written once, where they are computed.
     """
     customer, order, product = (lake.read("raw", f"{t}_sdp") for t in ("customer", "order", "product"))
     judged = materialize(judged_lines(customer, order, lines, product), "judged-lines")
     matched = judged.filter(F.col("reason").isNull()).drop("reason")
-    here, shapes = [Row(**{BATCH: batch})], _shapes(lake)
-    joined = materialize(enrich_order(customer, order, matched, product).withColumn(BATCH, F.lit(batch).cast("long")), "joined")
-    dropped = judged.filter(F.col("reason").isNotNull()).withColumn(BATCH, F.lit(batch).cast("long"))
+    here, shapes = Row(**{BATCH: batch}), _shapes(lake)
+    replace_partition(enrich_order(customer, order, matched, product), lake.name(*JOINED), shapes[JOINED], here)
+    replace_partition(judged.filter(F.col("reason").isNotNull()), lake.name(*DROPPED), shapes[DROPPED], here)
+    joined = judged.sparkSession.table(lake.name(*JOINED)).filter(F.col(BATCH) == batch)
     numbers = judged.agg(
         F.count(F.lit(1)).alias("lines"),
         F.count_if(F.col("reason").isNull()).alias("matched"),
         F.count_if(F.col("reason").isNotNull()).alias("dropped"),
     )
-    numbers = numbers.withColumns(
-        {"joined_rows": joined.agg(F.count(F.lit(1))).scalar(), BATCH: F.lit(batch).cast("long")}
-    )
-    for name, rows in ((JOINED, joined), (DROPPED, dropped), (ACCOUNT, numbers)):
-        replace_partitions(rows, lake.name(*name), shapes[name], here)
+    numbers = numbers.withColumn("joined_rows", joined.agg(F.count(F.lit(1))).scalar())
+    replace_partition(numbers, lake.name(*ACCOUNT), shapes[ACCOUNT], here)
 
 
 def stream_silver_accounted(

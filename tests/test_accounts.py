@@ -189,6 +189,20 @@ def test_repeated_orders_count_a_line_once(spark, lake):
     assert lake.read(*account.JOINED).filter("order_id = 70").count() == 2 * buyers
 
 
+def test_joined_lines_are_written_once(spark, lake, monkeypatch):
+    """Only the judged lines are staged; a batch that comes again without a line that joins clears its partition."""
+    offsets, labels, write = scratch_path(spark, "offsets"), [], account.materialize
+    monkeypatch.setattr(account, "materialize", lambda df, label: labels.append(label) or write(df, label))
+    seed(spark, lake)
+    consume(lake, offsets)
+    assert labels == ["judged-lines"]
+    lost = spark.createDataFrame([(404, 1, "f", 1, 1.0)], schemas.order_item_schema())
+    account.write_batch(lake, lost, 0)
+    assert lake.read(*account.JOINED).isEmpty()
+    assert [tuple(r) for r in lake.read(*account.DROPPED).select("id_order", "reason").collect()] == [(404, "no order")]
+    assert [tuple(r) for r in lake.read(*account.ACCOUNT).collect()] == [(1, 0, 1, 0, 0)]
+
+
 def test_full_refresh_accounts_anew(spark, lake):
     offsets = scratch_path(spark, "offsets")
     seed(spark, lake)

@@ -252,3 +252,16 @@ def test_emptied_partitions_of_any_name(spark, table, name):
     assert rows(spark.table(table)) == [(2, "other")]
     w.replace_partitions(spark.createDataFrame([(3, name)], shape), table, shape, [Row(part=name)])
     assert spark.table(table).count() == 2
+
+
+def test_one_partition_is_replaced_as_it_is_computed(spark, table):
+    w.overwrite_table(spark.createDataFrame([(D1, 1, 1), (D2, 2, 2)], SLICED), table, SLICED, partition_by=("day",))
+    w.replace_partition(spark.createDataFrame([(3, 3), (4, 4)], "k int, v int"), table, SLICED, Row(day=D1))
+    assert rows(spark.table(table).select("day", "k")) == [(D1, 3), (D1, 4), (D2, 2)]
+    w.replace_partition(spark.createDataFrame([], "k int, v int"), table, SLICED, Row(day=D1))
+    assert rows(spark.table(table).select("day", "k")) == [(D2, 2)]
+    with pytest.raises(w.NotASlice):
+        w.replace_partition(spark.createDataFrame([(3, 3)], "k int, v int"), table, SLICED, Row(k=1))
+    with pytest.raises(SchemaDrift):
+        w.replace_partition(spark.createDataFrame([(3,)], "k int"), table, SLICED, Row(day=D2))
+    assert rows(spark.table(table).select("day", "k")) == [(D2, 2)]
