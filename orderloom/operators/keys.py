@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.session import materialize
+
 #: Bits of one bitmap, as ``bitmap_construct_agg`` builds them: 2 to the power of ``SHIFT``.
 SHIFT = 15
 BITS = 1 << SHIFT
@@ -30,6 +32,16 @@ def within_key_range(big: DataFrame, big_key: str, small: DataFrame, small_key:
     return big.filter(F.col(big_key).between(F.lit(low), F.lit(high)))
 
 
+def with_keys_of(big: DataFrame, big_key: str, small: DataFrame, small_key: str) -> DataFrame:
+    """Rows of ``big`` whose key is a key of ``small``, in its key range.
+
+    The distinct keys are written first, so that the optimiser knows their real size: few are broadcast, and no row of
+    ``big`` is shuffled before it is known to be wanted.
+    """
+    wanted = materialize(small.select(F.col(small_key).alias(big_key)).na.drop("any").distinct(), "wanted-keys")
+    return within_key_range(big, big_key, wanted, big_key).join(wanted, big_key, "left_semi")
+
+
 def found_keys(new: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The distinct keys of ``new`` that are in ``target``; a NULL key never is.
 

@@ -120,7 +120,8 @@ def overwrite_table(
 
     An existing table keeps its partitioning; naming another one raises before anything is written.
     ``cluster_by`` lays the table out across files, at the price of a shuffle; ``sort_by`` only
-    orders the rows within each file.
+    orders the rows within each file. With ``sort_by`` a partitioned table takes ``df`` as it is dealt to tasks, which
+    should then hold a few partitions each.
     """
     spark = df.sparkSession
     guarded = check_schema(df, schema, table)
@@ -130,12 +131,12 @@ def overwrite_table(
     if partition_by is not None and list(partition_by) != now:
         raise PartitioningChanged(f"{table}: partitioned by {now}, not by {list(partition_by)}")
     partition_by = now
-    if partition_by:
+    if sort_by:
+        guarded = guarded.sortWithinPartitions(*sort_by)
+    elif partition_by:
         guarded = by_partition(guarded, partition_by, cluster_by)
     elif cluster_by:
         guarded = clustered(guarded, cluster_by)
-    elif sort_by:
-        guarded = guarded.sortWithinPartitions(*sort_by)
     destination = _standby(table) if exists else table
     writer = guarded.write
     (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(destination)

@@ -18,7 +18,7 @@ from orderloom import schemas
 from orderloom.functions.columns import as_day
 from orderloom.operators import quality
 from orderloom.operators.idbitmap import IndexedTable
-from orderloom.operators.keys import within_key_range
+from orderloom.operators.keys import with_keys_of
 from orderloom.operators.orders import enrich_order
 from orderloom.operators.tablewrites import (
     ensure_table,
@@ -182,7 +182,7 @@ def _load_silver(lake: Lake, day: str, span_shift: int | None) -> None:
             overwrite_table(enriched, target, shape, cluster_by=SILVER_LAYOUT)
         return
     today = booked.filter(F.col(BATCH) == day).drop(BATCH)
-    fresh = enrich_order(customer, today, within_key_range(lines, "id_order", today, "id"), product)
+    fresh = enrich_order(customer, today, with_keys_of(lines, "id_order", today, "id"), product)
     if indexed:
         indexed.merge_insert_only(fresh)
     else:

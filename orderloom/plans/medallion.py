@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from orderloom import schemas
 from orderloom.functions.columns import EPOCH_DAY, as_day
 from orderloom.operators import quality
-from orderloom.operators.keys import within_key_range
-from orderloom.operators.orders import aggregate_orders, enrich_order
+from orderloom.operators.keys import with_keys_of
+from orderloom.operators.orders import aggregate_orders, enrich_order, gold_in_ranges
 from orderloom.operators.tablewrites import (
     append_new,
     ensure_table,
@@ -183,7 +183,7 @@ def load_silver(lake: Lake, seed_date: str | date) -> None:
     """Enrich everything on the first run, afterwards only the orders of ``seed_date``.
 
     The daily run inserts unknown lines and leaves the others alone, which freezes the names they
-    were booked under. Its line scan is cut to the id range of the day's orders.
+    were booked under. Its line scan is cut to the id range of the day's orders, and to their ids before any shuffle.
     """
     target, shape = lake.name("curated", "order_enriched"), schemas.silver_schema(lake.ids)
     customer, product = lake.read("raw", "customer"), lake.read("raw", "product")
@@ -192,7 +192,7 @@ def load_silver(lake: Lake, seed_date: str | date) -> None:
         overwrite_table(enrich_order(customer, orders, lines, product), target, shape, cluster_by=SILVER_LAYOUT)
         return
     today = orders.filter(F.col("date") == as_day(seed_date).isoformat())
-    new_lines = within_key_range(lines, "id_order", today, "id")
+    new_lines = with_keys_of(lines, "id_order", today, "id")
     fresh = enrich_order(customer, today, new_lines, product)
     # Files of one date need no further layout.
     merge_insert_only(fresh, target, shape, SILVER_KEYS)
@@ -210,13 +210,9 @@ def load_gold(lake: Lake, seed_date: str | date) -> None:
 
 
 def backfill_gold(lake: Lake, silver: DataFrame, table: str) -> None:
-    overwrite_table(
-        aggregate_orders(silver),
-        lake.name("report", table),
-        schemas.gold_schema(lake.ids),
-        partition_by=("order_date",),
-        cluster_by=GOLD_LAYOUT,
-    )
+    """Sum all of ``silver`` in the table's layout: gold is not shuffled again to be written."""
+    gold, shape = gold_in_ranges(silver, GOLD_LAYOUT), schemas.gold_schema(lake.ids)
+    overwrite_table(gold, lake.name("report", table), shape, partition_by=("order_date",), sort_by=GOLD_LAYOUT)
 
 
 def run_day(

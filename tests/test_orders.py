@@ -1,7 +1,10 @@
+from pyspark.sql import functions as F
 from pyspark.testing import assertDataFrameEqual
 
+from conftest import rows
 from golden import GOLD, SILVER
 from orderloom import schemas
+from orderloom.operators import orders
 from orderloom.operators.orders import aggregate_orders, enrich_order, gold_from_bronze
 
 
@@ -47,3 +50,17 @@ def test_gold_from_bronze_joins_one_row_per_order(spark, shop):
     plan = gold_from_bronze(*shop)._jdf.queryExecution().optimizedPlan().toString()
     join = plan.index("Join Inner, (order_id")
     assert "Aggregate [id_order" in plan[join:]
+
+
+def test_gold_in_ranges_is_gold_with_two_shuffles(spark, shop):
+    """The same rows, NULL and frozen names included, dealt out by the layout without a shuffle of their own."""
+    silver = orders.enrich_order(*shop)
+    renamed = silver.withColumn("product_name", F.concat("product_name", F.lit(".1")))
+    unnumbered = silver.withColumns({"order_id": F.lit(None).cast("int"), "country": F.lit(None).cast("string")})
+    lines = silver.unionByName(silver).unionByName(renamed).unionByName(unnumbered)
+    layout = ("order_date", "product_id")
+    found = orders.gold_in_ranges(lines, layout)
+    assert rows(found) == rows(orders.aggregate_orders(lines))
+    plan = found.sortWithinPartitions(*layout)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange rangepartitioning") == 1
+    assert plan.count("Exchange hashpartitioning(customer_name") == 1

@@ -3,11 +3,13 @@
 import pytest
 from pyspark.sql import functions as F
 
-from orderloom.operators.keys import unmatched, within_key_range
+from orderloom.operators.keys import unmatched, with_keys_of, within_key_range
 from orderloom.operators.orders import enrich_order, gold_from_bronze
 from orderloom.operators.pricing import price_usage
 from orderloom.operators.tablewrites import overwrite_table
+from orderloom.plans import medallion as m
 from orderloom.queries import tables as t
+from orderloom.queries import writes
 from orderloom.queries.all import ENTRIES
 from orderloom.schemas import order_item_schema
 
@@ -137,3 +139,33 @@ def test_a_merge_shuffles_whole_rows_only_to_lay_them_out(spark, tmp_path):
     schemas_read = [line.split("ReadSchema")[1] for line in plan.splitlines() if "ReadSchema" in line]
     assert len(schemas_read) > 1 and sum("v:string" in line for line in schemas_read) == 1
     assert sorted(r["k"] for r in left.collect()) == list(range(1, 5000, 2))
+
+
+def test_the_days_lines_are_found_without_shuffling_the_others(spark):
+    """Few wanted keys are broadcast, also where the frame they come from passes for a large one."""
+    lines = spark.range(0, 20_000, 1, 4).selectExpr("IF(id % 50 = 0, NULL, id % 5000) AS id_order", "id AS seq")
+    orders = spark.range(0, 2_000_000, 1, 4).selectExpr("IF(id % 7 = 0, NULL, id) AS id", "repeat('x', 50) AS pad").filter("id % 1000 = 5 OR id IS NULL")
+    found = with_keys_of(lines, "id_order", orders, "id")
+    expected = [(r, k) for k in range(20_000) if k % 50 and (r := k % 5000) % 1000 == 5 and r % 7]
+    assert sorted((r["id_order"], r["seq"]) for r in found.collect()) == sorted(expected)
+    plan = plan_of(found)
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_first_load_and_second_day_share_no_line(spark, tmp_path):
+    """Both days together hold every order and line once, an order without a date in the first; no line is shuffled for it."""
+    sf = "/root/testdata/sf0.001"
+    folder = str(tmp_path)
+    for name in ("customer", "nation", "part", "lineitem"):
+        spark.read.parquet(f"{sf}/{name}.parquet").write.parquet(f"{folder}/{name}.parquet")
+    undated = F.when(F.col("o_orderkey") % 40 != 0, F.col("o_orderdate"))
+    spark.read.parquet(f"{sf}/orders.parquet").withColumn("o_orderdate", undated).write.parquet(f"{folder}/orders.parquet")
+    lake = writes.scratch_lake(spark)
+    whole = spark.read.parquet(f"{folder}/lineitem.parquet").count()
+    writes._first_load(lake, spark, folder, writes.SECOND_DAY)
+    early = lake.read(m.SOURCE, "order_item").count()
+    assert lake.read(m.SOURCE, "order").filter("date IS NULL").count() > 0
+    writes._second_day(lake, spark, folder, writes.SECOND_DAY)
+    lines = lake.read(m.SOURCE, "order_item")
+    assert 0 < early < lines.count() == whole
+    assert lake.read(m.SOURCE, "order").count() == spark.read.parquet(f"{folder}/orders.parquet").count()
